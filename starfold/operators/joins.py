@@ -93,18 +93,25 @@ def salted_join(
     )
 
 
+def skewed(big: DataFrame, side: DataFrame, on: Sequence[str], share: float = 0.01) -> list[tuple]:
+    """Hot keys of ``big`` for a join to ``side``; none are looked for when ``side`` would be broadcast."""
+    return [] if is_small(side) else hot_keys(big, on, share)
+
+
 def skew_join(
-    big: DataFrame, side: DataFrame, on: Sequence[str] | str, how: str = "inner", share: float = 0.01, salts: int = 32
+    big: DataFrame, side: DataFrame, on: Sequence[str] | str, how: str = "inner",
+    hot: Sequence[tuple] | None = None, salts: int = 32,
 ) -> DataFrame:
     """Join ``big`` to ``side`` on equal column names, whatever their size and skew.
 
     A side small enough to broadcast is left to Catalyst (no shuffle, no skew).
-    Otherwise hot keys of ``big`` are looked up and salted.
+    Otherwise the hot keys of ``big`` are salted. They are looked up unless given:
+    give them when ``big`` is itself a long plan, found on the table it starts from.
     """
     on = [on] if isinstance(on, str) else list(on)
     if is_small(side):
         return big.join(side, on, how)
-    hot = hot_keys(big, on, share)
+    hot = hot_keys(big, on) if hot is None else hot
     if not hot and how in ("inner", "left_semi"):
         return big.join(side, on, how)
     return salted_join(big, side, on, hot, how, salts)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .dedup import top1_per_group
-from .joins import skew_join
+from .joins import skew_join, skewed
 
 
 def lookup(
@@ -51,9 +51,11 @@ def resolve_keys(source: DataFrame, dims: Mapping[str, tuple[DataFrame, Mapping[
     ``dims`` maps the surrogate column to (dimension, {source column: dimension
     column}). Rows without a match drop out; :func:`unresolved` lists them.
     """
-    for sk, (dim, keys) in dims.items():
-        side = dim.select(sk, *[F.col(d).alias(s) for s, d in keys.items()])
-        source = skew_join(source, side, list(keys))
+    sides = {sk: dim.select(sk, *[F.col(d).alias(s) for s, d in keys.items()]) for sk, (dim, keys) in dims.items()}
+    # Found before the first join, so that no join is computed again to count keys.
+    hot = {sk: skewed(source, sides[sk], list(keys)) for sk, (_, keys) in dims.items()}
+    for sk, (_, keys) in dims.items():
+        source = skew_join(source, sides[sk], list(keys), hot=hot[sk])
     return source
 
 
@@ -77,6 +79,7 @@ def key_map(old_dim: DataFrame, new_dim: DataFrame, sk: str, natural: Sequence[s
 def rekey(fact: DataFrame, maps: Mapping[str, DataFrame]) -> DataFrame:
     """Swap surrogate keys of one model for those of another; ``maps`` come from :func:`key_map`."""
     columns = fact.columns
+    hot = {sk: skewed(fact, pairs, [sk]) for sk, pairs in maps.items()}
     for sk, pairs in maps.items():
-        fact = skew_join(fact, pairs, sk).withColumn(sk, F.col("_new_sk")).drop("_new_sk")
+        fact = skew_join(fact, pairs, sk, hot=hot[sk]).withColumn(sk, F.col("_new_sk")).drop("_new_sk")
     return fact.select(*columns)

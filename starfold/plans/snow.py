@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from ..operators.keys import assign_sk
 from ..operators.lookup import key_map, rekey
+from ..session import written
 
 #: Natural key of each dimension, shared by both models.
 NATURAL_KEYS = {
@@ -52,7 +53,11 @@ def dimensions(star: Mapping[str, DataFrame], snow: Mapping[str, DataFrame]) ->
 
 def snow_fact(fact: DataFrame, star: Mapping[str, DataFrame], snow: Mapping[str, DataFrame]) -> DataFrame:
     """The star fact re-keyed to the snowflake dimensions through natural keys."""
-    maps = {sk: key_map(star[name], snow[name], sk, natural) for name, (sk, natural) in NATURAL_KEYS.items()}
+    # Written once: the pairs' true size, not an estimate of their join, decides how the fact meets them.
+    maps = {
+        sk: written(key_map(star[name], snow[name], sk, natural), f"map-{sk}")
+        for name, (sk, natural) in NATURAL_KEYS.items()
+    }
     return rekey(fact, maps)
 
 

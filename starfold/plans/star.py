@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import calendar_parts, days_between
 from ..functions.numbers import dec, flag, money, rounded
 from ..operators.dedup import top1_per_group
-from ..operators.joins import skew_join
+from ..operators.joins import skew_join, skewed
 from ..operators.keys import assign_sk
 from ..operators.lookup import resolve_keys
 from ..operators.reshape import select_values
@@ -243,4 +243,6 @@ def star_fact(t: Tables, dims: Tables) -> DataFrame:
         money("importe_bruto").alias("importe_bruto"), money("importe_neto").alias("importe_neto"))
     orders = written(order_keys(t, dims), "order-keys")
     lots = written(lot_keys(t, dims), "lot-keys")
-    return fact_measures(skew_join(skew_join(lines, lots, "lote_id"), orders, "pedido_id"))
+    hot_lots, hot_orders = skewed(lines, lots, ["lote_id"]), skewed(lines, orders, ["pedido_id"])
+    with_lots = skew_join(lines, lots, "lote_id", hot=hot_lots)
+    return fact_measures(skew_join(with_lots, orders, "pedido_id", hot=hot_orders))
