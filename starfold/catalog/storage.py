@@ -1 +1,151 @@
+"""Sources and sinks: what is written is read back and compared."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.numbers import money, number_text
+from ..plans.kpi import kpi_report, write_report
+from ..plans.questions import QUESTIONS, ask_star
+from ..schemas import OLTP
+from ..session import scratch_path
+from ..sinks import VersionedLayer, append, append_rejects, write_csv_report, write_partitioned
+from ..sources import conform, inline_table, read_csv_typed, read_query, register_views, series
+from .questions import TARGETS, question_body
+from .registry import Source, query
+from .sql import with_views
+
+
+@query("s1_sql_query", "SELECT c_mktsegment, COUNT(*) AS pedidos FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment")
+def sql_query(s: Source):
+    """SQL text over DataFrames."""
+    return read_query(
+        s.spark, "SELECT c_mktsegment, COUNT(*) AS pedidos FROM {orders} JOIN {customer} ON o_custkey = c_custkey GROUP BY c_mktsegment",
+        orders=s.orders, customer=s.customer)
+
+
+@query("s1_registered_views", "SELECT n_name, COUNT(*) AS clientes FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name")
+def registered_views(s: Source):
+    """SQL text over registered layer views."""
+    register_views({"customer": s.customer, "nation": s.nation}, prefix="src_")
+    return read_query(s.spark, "SELECT n_name, COUNT(*) AS clientes FROM src_customer JOIN src_nation ON c_nationkey = n_nationkey GROUP BY n_name")
+
+
+@query("s2_csv_locale", "SELECT c_custkey AS cliente_id, c_name AS nombre, CAST(c_acctbal AS DECIMAL(12,2)) AS saldo FROM customer")
+def csv_locale(s: Source):
+    """Semicolon CSV with decimal comma and grouped thousands, read with declared types."""
+    path = scratch_path(s.spark, "csv")
+    grouped = F.translate(F.format_number(money("c_acctbal"), 2), ",.", ".,")
+    rows = s.customer.select(F.col("c_custkey").alias("cliente_id"), F.col("c_name").alias("nombre"), grouped.alias("saldo"))
+    rows.write.option("sep", ";").option("header", True).csv(path)
+    return read_csv_typed(s.spark, path, "cliente_id BIGINT, nombre STRING, saldo DECIMAL(12,2)")
+
+
+@query("s3_csv_plain", "SELECT o_orderkey AS estacion_id, o_orderstatus = 'O' AS activa, CAST(o_orderdate AS DATE) AS fecha_instalacion, CAST(o_totalprice AS DECIMAL(12,2)) AS latitud FROM orders")
+def csv_plain(s: Source):
+    """Comma CSV with boolean, date and decimal columns."""
+    path = scratch_path(s.spark, "csv")
+    s.orders.select(
+        F.col("o_orderkey").alias("estacion_id"), (F.col("o_orderstatus") == "O").alias("activa"),
+        F.to_date("o_orderdate").alias("fecha_instalacion"), money("o_totalprice").alias("latitud"),
+    ).write.option("header", True).csv(path)
+    return read_csv_typed(s.spark, path, "estacion_id BIGINT, activa BOOLEAN, fecha_instalacion DATE, latitud DECIMAL(12,2)",
+                          sep=",", decimal=".", group="")
+
+
+@query("s4_series", """SELECT CAST(d AS DATE) AS fecha, COUNT(o_orderkey) AS pedidos FROM
+    (SELECT unnest(generate_series((SELECT MIN(o_orderdate) FROM orders), (SELECT MAX(o_orderdate) FROM orders), INTERVAL 1 DAY)) AS d)
+    LEFT JOIN orders ON CAST(o_orderdate AS DATE) = CAST(d AS DATE) GROUP BY 1""")
+def every_day(s: Source):
+    """Orders of every day between the first and the last one, days without any included."""
+    days = s.orders.select("o_orderkey", F.to_date("o_orderdate").alias("fecha"))
+    first, length = days.agg(F.min("fecha"), F.datediff(F.max("fecha"), F.min("fecha"))).first()
+    calendar = series(s.spark, 0, length).select(F.date_add(F.lit(first), F.col("g").cast("int")).alias("fecha"))
+    counts = days.groupBy("fecha").agg(F.count(F.lit(1)).alias("n"))
+    return calendar.join(counts, "fecha", "left").select("fecha", F.coalesce("n", F.lit(0)).alias("pedidos"))
+
+
+@query("s5_inline_table", "SELECT p_partkey, objetivo_ingresos FROM part JOIN (VALUES " + ", ".join(f"('{f}', {t})" for f, t in TARGETS) + ") t(f, objetivo_ingresos) ON f = p_type")
+def inline(s: Source):
+    targets = inline_table(s.spark, TARGETS, "p_type string, objetivo_ingresos int")
+    return s.part.join(targets, "p_type").select("p_partkey", "objetivo_ingresos")
+
+
+@query("s6_declared_schema", with_views("pedidos", """SELECT pedido_id, cliente_id, cliente_id AS contrato_id, fecha_pedido, CAST(fecha_pedido + 4 AS DATE) AS fecha_entrega_solicitada,
+    CASE o_orderstatus WHEN 'O' THEN 'pendiente' WHEN 'P' THEN 'enviado' ELSE 'entregado' END AS estado, o_orderpriority AS observaciones
+    FROM pedidos JOIN (SELECT o_orderkey + 1 AS pedido_id, o_orderpriority FROM orders) USING (pedido_id)"""))
+def declared_schema(s: Source):
+    return conform(s.warehouse.oltp["pedidos"], OLTP["pedidos"].schema)
+
+
+@query("k1_append", "SELECT o_orderstatus, COUNT(*) AS pedidos FROM orders GROUP BY o_orderstatus")
+def appended(s: Source):
+    """A table appended to in two slices."""
+    path = scratch_path(s.spark, "append")
+    append(s.orders.filter("o_orderdate < timestamp'1998-01-01'"), path)
+    append(s.orders.filter("o_orderdate >= timestamp'1998-01-01'"), path)
+    return s.spark.read.parquet(path).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("pedidos"))
+
+
+@query("k2_append_rejects", "SELECT run_id, COUNT(*) AS filas FROM orders JOIN lineitem ON l_orderkey = o_orderkey, (SELECT unnest(['run-1', 'run-2']) AS run_id) "
+       "WHERE l_shipdate < o_orderdate GROUP BY run_id")
+def appended_rejects(s: Source):
+    """Rejects of two runs stay apart by their run identifier."""
+    orders = s.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
+    rejects = s.lineitem.join(orders, "l_orderkey").filter("l_shipdate < o_orderdate")
+    path = scratch_path(s.spark, "rejects")
+    for run in ("run-1", "run-2"):
+        append_rejects(rejects, path, run)
+    return s.spark.read.parquet(path).groupBy("run_id").agg(F.count(F.lit(1)).alias("filas"))
+
+
+@query("k3_discard", "SELECT COUNT(*) AS conservadas FROM lineitem WHERE l_returnflag <> 'R'")
+def discard(s: Source):
+    """A discarded branch is just not written."""
+    return s.lineitem.filter("l_returnflag <> 'R'").agg(F.count(F.lit(1)).alias("conservadas"))
+
+
+@query("k4_csv_round_trip", "SELECT c_custkey AS cliente_id, c_name AS nombre, CAST(c_acctbal AS DECIMAL(12,2)) AS saldo FROM customer")
+def csv_round_trip(s: Source):
+    path = scratch_path(s.spark, "report")
+    rows = s.customer.select(F.col("c_custkey").alias("cliente_id"), F.col("c_name").alias("nombre"), money("c_acctbal").alias("saldo"))
+    write_csv_report(rows, path, masks={"saldo": number_text("saldo", 2, symbol=",")}, order_by=[F.desc("saldo"), "cliente_id"])
+    return read_csv_typed(s.spark, path, "cliente_id BIGINT, nombre STRING, saldo DECIMAL(12,2)")
+
+
+@query("k4_kpi_file", with_views("hechos", f"SELECT familia_producto, ingresos_reales, costes_totales, margen_total FROM ({question_body('a7', True)})"))
+def kpi_file(s: Source):
+    """The KPI report written with its masks and read back."""
+    targets = inline_table(s.spark, TARGETS, "familia_producto string, objetivo_ingresos int")
+    path = scratch_path(s.spark, "kpi")
+    write_report(kpi_report(ask_star(s.warehouse.star, QUESTIONS["a7"]), targets), path)
+    return read_csv_typed(s.spark, path, "familia_producto STRING, ingresos_reales DECIMAL(18,2), costes_totales DECIMAL(18,2), margen_total DECIMAL(18,2)",
+                          decimal=".", group="")
+
+
+@query("k5_rebuild_layer", "SELECT c_mktsegment, COUNT(*) AS clientes, SUM(CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END) AS deudores FROM customer GROUP BY c_mktsegment")
+def rebuilt_layer(s: Source):
+    """A layer rebuilt as a new version: readers get the last published one."""
+    layer = VersionedLayer(s.spark, scratch_path(s.spark, "layer"))
+    layer.publish({"clientes": s.customer.limit(0)})
+    layer.publish({"clientes": s.customer})
+    deudor = F.when(F.col("c_acctbal") < 0, 1).otherwise(0)
+    return layer.read("clientes").groupBy("c_mktsegment").agg(
+        F.count(F.lit(1)).alias("clientes"), F.sum(deudor).cast("decimal(38,0)").alias("deudores"))
+
+
+@query("k6_incremental_version", "SELECT CAST(year(o_orderdate) AS INT) AS anio, COUNT(*) AS pedidos FROM orders GROUP BY 1")
+def incremental_version(s: Source):
+    """A version that adds rows to a table without rewriting those of earlier versions."""
+    orders = s.orders.withColumn("anio", F.year("o_orderdate"))
+    layer = VersionedLayer(s.spark, scratch_path(s.spark, "layer"))
+    layer.publish({"pedidos": orders.filter("anio < 1998")}, partition_by={"pedidos": ["anio"]})
+    layer.publish(append={"pedidos": orders.filter("anio >= 1998")}, partition_by={"pedidos": ["anio"]})
+    return layer.read("pedidos").groupBy("anio").agg(F.count(F.lit(1)).alias("pedidos"))
+
+
+@query("k_partitioned_write", "SELECT CAST(l_returnflag AS VARCHAR) AS l_returnflag, COUNT(*) AS lineas FROM lineitem GROUP BY 1")
+def partitioned_write(s: Source):
+    path = scratch_path(s.spark, "partitioned")
+    write_partitioned(s.lineitem, path, ["l_returnflag"])
+    return s.spark.read.parquet(path).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("lineas"))

@@ -31,9 +31,13 @@ def not_null(column: str) -> RowRule:
     return RowRule(f"not_null:{column}", F.col(column).isNull(), F.lit(None).cast("string"))
 
 
+def _rule(name: str, holds: Column, value: Column) -> RowRule:
+    return RowRule(name, ~F.coalesce(holds, F.lit(True)), value.cast("string"))
+
+
 def check(name: str, holds: Column, value: Column) -> RowRule:
     """A condition that must not be false; NULL passes."""
-    return RowRule(f"check:{name}", ~F.coalesce(holds, F.lit(True)), value.cast("string"))
+    return _rule(f"check:{name}", holds, value)
 
 
 def in_range(column: str, low: float | None = None, high: float | None = None, open_low: bool = False) -> RowRule:
@@ -43,20 +47,20 @@ def in_range(column: str, low: float | None = None, high: float | None = None, o
         holds = holds & (c > low if open_low else c >= low)
     if high is not None:
         holds = holds & (c <= high)
-    return check(f"range:{column}", holds, c)
+    return _rule(f"range:{column}", holds, c)
 
 
 def in_domain(column: str, allowed: Sequence) -> RowRule:
-    return check(f"domain:{column}", F.col(column).isin(*allowed), F.col(column))
+    return _rule(f"domain:{column}", F.col(column).isin(*allowed), F.col(column))
 
 
 def not_before(later: str, earlier: str, strict: bool = False) -> RowRule:
     a, b = F.col(later), F.col(earlier)
-    return check(f"order:{earlier}<{later}" if strict else f"order:{earlier}<={later}", a > b if strict else a >= b, a)
+    return _rule(f"order:{earlier}<{later}" if strict else f"order:{earlier}<={later}", a > b if strict else a >= b, a)
 
 
 def max_length(column: str, length: int) -> RowRule:
-    return check(f"length:{column}", F.length(column) <= length, F.col(column))
+    return _rule(f"length:{column}", F.length(column) <= length, F.col(column))
 
 
 @dataclass(frozen=True)

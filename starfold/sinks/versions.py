@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .append import write_partitioned
 
-_MARKER = "_PUBLISHED"
+_MANIFEST = "manifest.json"
 
 
 class VersionedLayer:
     """A folder with one sub-folder per version; readers see the last published one.
 
-    Parquet has no transaction across tables. A load writes every table into a
-    new version and creates the marker file last: creating one file is atomic on
-    every Hadoop file system, so a failed load leaves the former version in place.
+    Parquet has no transaction across tables. A load writes its tables into a new
+    version and creates the manifest last: creating one file is atomic on every
+    Hadoop file system, so a failed load leaves the former version in place. The
+    manifest lists the folders of each table, so a version can add rows to a table
+    without rewriting what earlier versions wrote.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -27,37 +31,63 @@ class VersionedLayer:
         hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return hadoop_path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
 
-    def _versions(self) -> dict[int, bool]:
+    def _numbers(self) -> list[int]:
         fs, root = self._fs(self.path)
         if not fs.exists(root):
-            return {}
+            return []
         names = [s.getPath().getName() for s in fs.listStatus(root)]
-        numbers = [int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit()]
-        return {n: fs.exists(self._fs(f"{self.folder(n)}/{_MARKER}")[1]) for n in numbers}
+        return sorted(int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit())
 
     def folder(self, version: int) -> str:
         return f"{self.path}/v{version:06d}"
 
+    def _manifest(self, version: int) -> dict[str, list[str]] | None:
+        path = f"{self.folder(version)}/{_MANIFEST}"
+        fs, hadoop_path = self._fs(path)
+        if not fs.exists(hadoop_path):
+            return None
+        return json.loads("".join(r.value for r in self.spark.read.text(path, wholetext=True).collect()))
+
     def current(self) -> int | None:
-        """Number of the last published version."""
-        return max((n for n, published in self._versions().items() if published), default=None)
+        """Number of the last published version; unfinished ones do not count."""
+        for number in reversed(self._numbers()):
+            if self._manifest(number) is not None:
+                return number
+        return None
 
     def read(self, table: str, version: int | None = None) -> DataFrame:
         version = self.current() if version is None else version
-        if version is None:
-            raise FileNotFoundError(f"no published version in {self.path}")
-        return self.spark.read.parquet(f"{self.folder(version)}/{table}")
-
-    def publish(self, tables: Mapping[str, DataFrame], partition_by: Mapping[str, Sequence[str]] | None = None) -> int:
-        """Write all ``tables`` as the next version, then make it current."""
-        version = max(self._versions(), default=0) + 1
-        for name, df in tables.items():
+        manifest = self._manifest(version) if version is not None else None
+        if not manifest or table not in manifest:
+            raise FileNotFoundError(f"{table} is not in a published version of {self.path}")
+        parts = [self.spark.read.parquet(f"{self.path}/{part}") for part in manifest[table]]
+        return reduce(DataFrame.unionByName, parts)
+
+    def publish(
+        self,
+        tables: Mapping[str, DataFrame] | None = None,
+        append: Mapping[str, DataFrame] | None = None,
+        partition_by: Mapping[str, Sequence[str]] | None = None,
+    ) -> int:
+        """Write the next version and make it current.
+
+        ``tables`` are replaced, ``append`` adds rows to tables of the current
+        version, all others are carried over. Publishing a table anew compacts it.
+        """
+        current = self.current()
+        manifest = dict(self._manifest(current) or {}) if current is not None else {}
+        version = max(self._numbers(), default=0) + 1
+        for name, df in {**(tables or {}), **(append or {})}.items():
             columns = (partition_by or {}).get(name, ())
-            target = f"{self.folder(version)}/{name}"
+            part = f"v{version:06d}/{name}"
             if columns:
-                write_partitioned(df, target, columns)
+                write_partitioned(df, f"{self.path}/{part}", columns)
             else:
-                df.write.parquet(target)
-        fs, marker = self._fs(f"{self.folder(version)}/{_MARKER}")
-        fs.create(marker, False).close()
+                df.write.parquet(f"{self.path}/{part}")
+            earlier = manifest.get(name, []) if name in (append or {}) else []
+            manifest[name] = [*earlier, part]
+        fs, target = self._fs(f"{self.folder(version)}/{_MANIFEST}")
+        stream = fs.create(target, False)
+        stream.write(json.dumps(manifest).encode())
+        stream.close()
         return version
