@@ -16,9 +16,8 @@ _UNITS = {unit: 1024**i for i, unit in enumerate(("B", "KiB", "MiB", "GiB", "TiB
 
 
 def broadcast_limit(df: DataFrame) -> int:
-    """``spark.sql.autoBroadcastJoinThreshold`` in bytes."""
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    return int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes; -1 when broadcasts are off."""
+    return df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
 
 def estimated_bytes(df: DataFrame) -> float:

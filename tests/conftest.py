@@ -7,7 +7,7 @@ from starfold.session import build_session
 def spark(tmp_path_factory):
     session = build_session(
         "starfold-tests", "local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g",
+        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g", "spark.default.parallelism": "2",
            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))},
     )
     yield session
