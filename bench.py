@@ -43,8 +43,8 @@ def main() -> None:
 
     run(spark.read.parquet(f"{folder}/lineitem.parquet"))  # starts the JVM's threads and caches the file
     w = warehouse(spark, folder)
-    timed("build_star", lambda: [w.star[name] for name in w.star])
-    timed("build_snow", lambda: [w.snow[name] for name in w.snow])
+    timed("build_star", lambda: w.star["fact_exportaciones"])
+    timed("build_snow", lambda: w.snow["fact_exportaciones"])
     for name in QUESTIONS + OTHERS:
         timed(name, lambda: run(QUERIES[name](spark, folder)))
     print(json.dumps({

@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SALT = "_salt"
 
@@ -35,6 +36,23 @@ def is_small(df: DataFrame) -> bool:
     return estimated_bytes(df) <= broadcast_limit(df)
 
 
+def row_bytes(schema: T.StructType) -> int:
+    """Generous in-memory width of a row; texts are taken as 64 characters."""
+    fixed = {T.BooleanType: 8, T.IntegerType: 8, T.LongType: 8, T.DateType: 8, T.DoubleType: 8}
+    return 16 + sum(fixed.get(type(f.dataType), 24 if isinstance(f.dataType, T.DecimalType) else 80) for f in schema.fields)
+
+
+def sized(side: DataFrame, rows: int) -> DataFrame:
+    """``side`` hinted by a bound on its rows that the caller knows.
+
+    Catalyst multiplies sizes through joins, so a joined side always looks huge
+    and the other side may be broadcast in its place. Within the broadcast limit
+    ``side`` is broadcast, beyond it both sides are shuffled and merged.
+    """
+    fits = rows * row_bytes(side.schema) <= broadcast_limit(side)
+    return F.broadcast(side) if fits else side.hint("merge")
+
+
 def any_null(cols: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
 

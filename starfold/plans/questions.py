@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import days_between
 from ..functions.numbers import safe_ratio
-from ..operators.joins import is_small, salted_join, skew_join
+from ..operators.joins import is_small, salted_join, sized, skew_join
 from .snow import products_with_family
 from .star import commercial_category, dominant_size, route_attributes
 
@@ -234,8 +234,13 @@ def ask_oltp(t: Tables, q: Question, hot: Mapping[str, Sequence[tuple]] | None =
     """
     hot = hot or {}
     lines = t["detalle_pedido"].select("pedido_id", "lote_id", "kilos_solicitados", "importe_neto")
-    for key, side in (("lote_id", oltp_lots(t, q.keys)), ("pedido_id", oltp_orders(t, q.keys))):
-        lines = salted_join(lines, side, [key], hot[key]) if hot.get(key) else lines.join(side, key)
+    halves = (("lote_id", oltp_lots(t, q.keys), "cosechas"), ("pedido_id", oltp_orders(t, q.keys), "pedidos"))
+    for key, side, parent in halves:
+        if hot.get(key):
+            lines = salted_join(lines, side, [key], hot[key])
+        else:
+            # A half has at most one row per row of its parent, whose count is in the file footers.
+            lines = lines.join(sized(side, t[parent].count()), key)
     return answer(lines, q, line_measure)
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,12 +23,20 @@ class LazyTables(Mapping):
         self._stored = stored
         self._layer = layer
         self._built: dict[str, DataFrame] = {}
+        self._locks: dict[str, Lock] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._built:
-            df = self._builders[name]()
-            self._built[name] = written(df, f"{self._layer}-{name}") if self._stored(name) else df
-        return self._built[name]
+        with self._locks.setdefault(name, Lock()):
+            if name not in self._built:
+                df = self._builders[name]()
+                self._built[name] = written(df, f"{self._layer}-{name}") if self._stored(name) else df
+            return self._built[name]
+
+    def build(self, names: Sequence[str], at_once: int = 4) -> None:
+        """Build several tables, ``at_once`` of them as concurrent Spark jobs."""
+        with ThreadPoolExecutor(at_once) as pool:
+            for done in [pool.submit(self.__getitem__, name) for name in names]:
+                done.result()
 
     def __iter__(self) -> Iterator[str]:
         return iter(self._builders)
@@ -60,15 +70,22 @@ class Warehouse:
         for name, builder in oltp(self.oltp).items():
             self.oltp.define(name, builder)
         self.star = LazyTables(star_plans.dimensions(self.oltp, catalog), lambda n: n.startswith("dim_"), "star")
-        self.star.define("fact_exportaciones", lambda: write_fact(
-            spark, star_plans.star_fact(self.oltp, self.star), "star-fact"))
+        self.star.define("fact_exportaciones", self._star_fact)
         self.snow = LazyTables({}, lambda n: n.startswith("dim_"), "snow")
         for name, builder in snow_plans.dimensions(self.star, self.snow).items():
             self.snow.define(name, builder)
-        self.snow.define("fact_exportaciones", lambda: write_fact(
-            spark, snow_plans.snow_fact(self.star["fact_exportaciones"], self.star, self.snow), "snow-fact"))
+        self.snow.define("fact_exportaciones", self._snow_fact)
         self._hot: dict[str, list[tuple]] | None = None
 
+    def _star_fact(self) -> DataFrame:
+        self.star.build([n for n in self.star if n.startswith("dim_")])
+        return write_fact(self.spark, star_plans.star_fact(self.oltp, self.star), "star-fact")
+
+    def _snow_fact(self) -> DataFrame:
+        fact = self.star["fact_exportaciones"]
+        self.snow.build([n for n in self.snow if n.startswith("dim_")])
+        return write_fact(self.spark, snow_plans.snow_fact(fact, self.star, self.snow), "snow-fact")
+
     def hot_line_keys(self) -> dict[str, list[tuple]]:
         """Orders and lots holding a large share of the lines, looked up once.
 
