@@ -98,7 +98,7 @@ def price_list(s: Source):
 @query("t9_shipments", with_views("costes_envio", """SELECT pedido_id AS envio_id, pedido_id, ruta_id, ruta_id AS transitario_id, CAST(fecha_pedido + 1 AS DATE) AS fecha_envio,
     CAST(fecha_pedido + 1 + dias_estimados AS DATE) AS fecha_entrega_estimada, CAST(fecha_pedido + 1 + dias AS DATE) AS fecha_entrega_real,
     kilos_pedido AS kilos_totales, 'CONT-' || lpad(CAST(pedido_id AS VARCHAR), 6, '0') AS numero_contenedor,
-    CAST(ROUND(kilos_pedido * coste_kg, 2) AS DECIMAL(12,2)) AS coste_envio_total, CAST(coste_kg AS DECIMAL(10,4)) AS coste_por_kg,
+    CAST(ROUND(kilos_pedido * coste_kg, 2) AS DECIMAL(18,2)) AS coste_envio_total, CAST(coste_kg AS DECIMAL(10,4)) AS coste_por_kg,
     CASE WHEN pedido_id % 7 = 0 THEN 'incidencia' WHEN pedido_id % 5 = 0 THEN 'aduana' ELSE 'entregado' END AS estado FROM costes_envio"""))
 def shipments(s: Source):
     return s.warehouse.oltp["envios"]
@@ -119,8 +119,8 @@ def shipment_incidents(s: Source):
 
 
 _INVOICES = """SELECT t.pedido_id AS factura_id, t.pedido_id, CAST(fecha_pedido + 1 AS DATE) AS fecha_emision, CAST(fecha_pedido + 31 AS DATE) AS fecha_vencimiento,
-    bruto_pedido AS importe_bruto, CAST(bruto_pedido - neto_pedido AS DECIMAL(12,2)) AS descuento, CAST(ROUND(neto_pedido * 0.04, 2) AS DECIMAL(12,2)) AS impuestos,
-    CAST(ROUND(neto_pedido * 1.04, 2) AS DECIMAL(12,2)) AS importe_total, CASE WHEN t.pedido_id % 5 = 0 THEN 'USD' ELSE 'EUR' END AS divisa,
+    bruto_pedido AS importe_bruto, CAST(bruto_pedido - neto_pedido AS DECIMAL(18,2)) AS descuento, CAST(ROUND(neto_pedido * 0.04, 2) AS DECIMAL(18,2)) AS impuestos,
+    CAST(ROUND(neto_pedido * 1.04, 2) AS DECIMAL(18,2)) AS importe_total, CASE WHEN t.pedido_id % 5 = 0 THEN 'USD' ELSE 'EUR' END AS divisa,
     CASE WHEN t.pedido_id % 6 = 0 THEN 'pagada' ELSE 'pendiente' END AS estado FROM totales t JOIN pedidos p ON p.pedido_id = t.pedido_id"""
 
 
@@ -148,8 +148,8 @@ def unit_cost(s: Source):
 _SHIP_PARTS = {name: stepped(base, "pedido_id", modulus, step) for name, (base, modulus, step) in derive.SHIPPING_COSTS.items()}
 
 
-@query("t15_shipping_cost", with_views("costes_envio", f"""SELECT pedido_id AS coste_logistico_id, pedido_id AS envio_id, CAST(ROUND(transporte, 2) AS DECIMAL(12,2)) AS coste_transporte,
-    {', '.join(f'{p} AS {n}' for n, p in _SHIP_PARTS.items())}, CAST(ROUND(total_log, 2) AS DECIMAL(12,2)) AS coste_total_logistica, logistico_kg AS coste_por_kg FROM costes_envio"""))
+@query("t15_shipping_cost", with_views("costes_envio", f"""SELECT pedido_id AS coste_logistico_id, pedido_id AS envio_id, CAST(ROUND(transporte, 2) AS DECIMAL(18,2)) AS coste_transporte,
+    {', '.join(f'{p} AS {n}' for n, p in _SHIP_PARTS.items())}, CAST(ROUND(total_log, 2) AS DECIMAL(18,2)) AS coste_total_logistica, logistico_kg AS coste_por_kg FROM costes_envio"""))
 def shipping_cost(s: Source):
     return s.warehouse.oltp["costes_logisticos"]
 

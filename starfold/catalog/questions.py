@@ -29,7 +29,7 @@ def question_body(name: str, stored: bool) -> str:
     q = QUESTIONS[name]
     sums, means = (_FACT, _FACT_MEANS) if stored else (_LINE, _LINE_MEANS)
     columns = [*q.keys]
-    columns += [f"CAST(SUM({sums[m]}) AS DECIMAL(18,2)) AS {n}" for n, m in q.sums.items()]
+    columns += [f"CAST(SUM({sums[m]}) AS DECIMAL(24,2)) AS {n}" for n, m in q.sums.items()]
     columns += [f"{mean6(*means[m])} AS {n}" for n, m in q.means.items()]
     view = "hechos" if stored else "lineas"
     return f"SELECT {', '.join(columns)} FROM {view} GROUP BY {', '.join(q.keys)}"

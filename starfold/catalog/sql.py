@@ -78,8 +78,8 @@ VIEWS = {
         {pick(['maritimo', 'terrestre', 'aereo', 'multimodal'], 's_suppkey')} AS tipo_transporte,
         CAST(2 + s_suppkey % 7 AS INT) AS dias_estimados, CAST(0.24 + (s_suppkey % 6) * 0.05 AS DECIMAL(10,2)) AS coste_kg
         FROM supplier""",
-    "totales": """SELECT pedido_id, CAST(SUM(kilos) AS DECIMAL(10,2)) AS kilos_pedido, CAST(SUM(bruto) AS DECIMAL(12,2)) AS bruto_pedido,
-        CAST(SUM(neto) AS DECIMAL(12,2)) AS neto_pedido FROM detalle GROUP BY pedido_id""",
+    "totales": """SELECT pedido_id, CAST(SUM(kilos) AS DECIMAL(18,2)) AS kilos_pedido, CAST(SUM(bruto) AS DECIMAL(18,2)) AS bruto_pedido,
+        CAST(SUM(neto) AS DECIMAL(18,2)) AS neto_pedido FROM detalle GROUP BY pedido_id""",
     "envios": """SELECT p.pedido_id, p.cliente_id, p.fecha_pedido, r.*, t.kilos_pedido,
         CAST(r.dias_estimados + p.pedido_id % 2 AS INT) AS dias,
         t.kilos_pedido * r.coste_kg * 0.70 AS transporte

@@ -119,7 +119,7 @@ def kpi_file(s: Source):
     targets = inline_table(s.spark, TARGETS, "familia_producto string, objetivo_ingresos int")
     path = scratch_path(s.spark, "kpi")
     write_report(kpi_report(ask_star(s.warehouse.star, QUESTIONS["a7"]), targets), path)
-    return read_csv_typed(s.spark, path, "familia_producto STRING, ingresos_reales DECIMAL(18,2), costes_totales DECIMAL(18,2), margen_total DECIMAL(18,2)",
+    return read_csv_typed(s.spark, path, "familia_producto STRING, ingresos_reales DECIMAL(24,2), costes_totales DECIMAL(24,2), margen_total DECIMAL(24,2)",
                           decimal=".", group="")
 
 

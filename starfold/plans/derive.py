@@ -169,11 +169,8 @@ def price_list(crops: DataFrame, start: str, end: str, prices: Mapping[str, str]
 
 def order_totals(lines: DataFrame) -> DataFrame:
     """Kilos and amounts per order; combined before the shuffle, so a huge order is no hot spot."""
-    return lines.groupBy("pedido_id").agg(
-        dec(F.sum("kilos_solicitados"), 10, 2).alias("kilos"),
-        money(F.sum("importe_bruto")).alias("bruto"),
-        money(F.sum("importe_neto")).alias("neto"),
-    )
+    sums = {"kilos": "kilos_solicitados", "bruto": "importe_bruto", "neto": "importe_neto"}
+    return lines.groupBy("pedido_id").agg(*[dec(F.sum(c), 18, 2).alias(name) for name, c in sums.items()])
 
 
 def shipment_state(orders: Column) -> Column:
@@ -193,7 +190,7 @@ def shipments(orders: DataFrame, totals: DataFrame, routes: DataFrame, route_of:
         add_days(planned, order % 2).alias("fecha_entrega_real"),
         F.col("kilos").alias("kilos_totales"),
         F.concat(F.lit("CONT-"), zero_pad("pedido_id", 6)).alias("numero_contenedor"),
-        rounded(F.col("kilos") * F.col("coste_base_kg"), 2).alias("coste_envio_total"),
+        rounded(F.col("kilos") * F.col("coste_base_kg"), 2, 18).alias("coste_envio_total"),
         dec("coste_base_kg", 10, 4).alias("coste_por_kg"),
         (state if state is not None else shipment_state(order)).alias("estado"),
     )
@@ -234,9 +231,9 @@ def invoices(orders: DataFrame, totals: DataFrame) -> DataFrame:
         add_days("fecha_pedido", 1).alias("fecha_emision"),
         add_days("fecha_pedido", 31).alias("fecha_vencimiento"),
         F.col("bruto").alias("importe_bruto"),
-        rounded(F.col("bruto") - net, 2).alias("descuento"),
-        rounded(net * num(TAX_RATE), 2).alias("impuestos"),
-        rounded(net * (1 + num(TAX_RATE)), 2).alias("importe_total"),
+        rounded(F.col("bruto") - net, 2, 18).alias("descuento"),
+        rounded(net * num(TAX_RATE), 2, 18).alias("impuestos"),
+        rounded(net * (1 + num(TAX_RATE)), 2, 18).alias("importe_total"),
         F.when(order % 5 == 0, "USD").otherwise("EUR").alias("divisa"),
         F.when(order % 6 == 0, "pagada").otherwise("pendiente").alias("estado"),
     )
@@ -282,9 +279,9 @@ def shipping_costs(shipments: DataFrame) -> DataFrame:
     total = transport + _total(list(parts.values()))
     return shipments.select(
         F.col("envio_id").alias("coste_logistico_id"), "envio_id",
-        rounded(transport, 2).alias("coste_transporte"),
+        rounded(transport, 2, 18).alias("coste_transporte"),
         *[part.alias(name) for name, part in parts.items()],
-        rounded(total, 2).alias("coste_total_logistica"),
+        rounded(total, 2, 18).alias("coste_total_logistica"),
         rounded(total / F.col("kilos_totales"), 4, 10).alias("coste_por_kg"),
     )
 

@@ -22,11 +22,11 @@ def kpi_report(families: DataFrame, targets: DataFrame) -> DataFrame:
     """
     with_target = lookup(families, targets, {"familia_producto": "familia_producto"},
                          {"objetivo_ingresos": ("objetivo", 0)})
-    hundred = add_constant(with_target, "cien", 100)
+    hundred = add_constant(with_target, "cien", 100, "decimal(3,0)")
     ratios = hundred.withColumns({
-        # The numerator's scale decides how many digits the quotient keeps.
-        "ratio_margen": safe_ratio(dec("margen_total", 28, 16), "ingresos_reales"),
-        "ratio_objetivo": safe_ratio(dec("ingresos_reales", 28, 16), dec("objetivo", 15, 0)),
+        # The numerator's scale decides how many digits the quotient keeps: twelve, beside sums of any size.
+        "ratio_margen": dec(safe_ratio(dec("margen_total", 38, 14), "ingresos_reales"), 28, 12),
+        "ratio_objetivo": dec(safe_ratio(dec("ingresos_reales", 38, 14), dec("objetivo", 15, 0)), 28, 12),
     })
     percent = {
         "pct_margen": F.round(F.col("ratio_margen") * F.col("cien"), 10).cast("decimal(28,10)"),

@@ -99,7 +99,7 @@ def partial_sums(lines: DataFrame, keys: Sequence[str], q: Question, measure) ->
 
 def final_columns(q: Question) -> list[Column]:
     """Measures from summed sums and counts: exact decimals, so results do not depend on row order."""
-    sums = [F.sum(f"_s_{n}").cast("decimal(18,2)").alias(n) for n in q.sums]
+    sums = [F.sum(f"_s_{n}").cast("decimal(24,2)").alias(n) for n in q.sums]
     means = [
         F.round(F.sum(f"_s_{n}") / F.nullif(F.sum(f"_n_{n}"), F.lit(0)), 6).cast("decimal(18,6)").alias(n)
         for n in q.means
@@ -108,7 +108,7 @@ def final_columns(q: Question) -> list[Column]:
 
 
 def direct_columns(q: Question, measure) -> list[Column]:
-    sums = [F.sum(measure(m)).cast("decimal(18,2)").alias(n) for n, m in q.sums.items()]
+    sums = [F.sum(measure(m)).cast("decimal(24,2)").alias(n) for n, m in q.sums.items()]
     means = [
         F.round(F.sum(measure(m)) / F.nullif(F.count(measure(m)), F.lit(0)), 6).cast("decimal(18,6)").alias(n)
         for n, m in q.means.items()
@@ -254,4 +254,4 @@ def refresh_aggregate(old: DataFrame, delta: DataFrame) -> DataFrame:
     """Incremental refresh: all measures are sums, so the delta's aggregate is added to the old one."""
     q = QUESTIONS["a6"]
     both = old.unionByName(delta)
-    return both.groupBy(*q.keys).agg(*[F.sum(n).cast("decimal(18,2)").alias(n) for n in q.sums])
+    return both.groupBy(*q.keys).agg(*[F.sum(n).cast("decimal(24,2)").alias(n) for n in q.sums])

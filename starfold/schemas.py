@@ -2,7 +2,8 @@
 
 Fixed values: table and column names, types, key columns, domains and ranges are
 the data model itself and must stay as they are for existing queries to run.
-Identifiers are BIGINT, since INT runs out at warehouse scale.
+Identifiers are BIGINT, since INT runs out at warehouse scale, and amounts summed
+over the lines of an order are DECIMAL(18,2), since one order may hold very many.
 """
 
 from __future__ import annotations
@@ -195,8 +196,8 @@ LOGISTICS = {
         positive=("duracion_estimada_dias", "coste_base_kg")),
     "envios": Table(
         "envio_id BIGINT, pedido_id BIGINT, ruta_id BIGINT, transitario_id BIGINT, fecha_envio DATE, "
-        "fecha_entrega_estimada DATE, fecha_entrega_real DATE, kilos_totales DECIMAL(10,2), numero_contenedor STRING, "
-        "coste_envio_total DECIMAL(12,2), coste_por_kg DECIMAL(10,4), estado STRING",
+        "fecha_entrega_estimada DATE, fecha_entrega_real DATE, kilos_totales DECIMAL(18,2), numero_contenedor STRING, "
+        "coste_envio_total DECIMAL(18,2), coste_por_kg DECIMAL(10,4), estado STRING",
         key=("envio_id",), positive=("kilos_totales",), not_negative=("coste_envio_total", "coste_por_kg"),
         parents={"pedido_id": "pedidos", "ruta_id": "rutas_logisticas", "transitario_id": "transitarios"},
         domains={"estado": ("preparado", "en_transito", "aduana", "entregado", "incidencia")},
@@ -215,13 +216,13 @@ LOGISTICS = {
 
 FINANCE = {
     "facturas": Table(
-        "factura_id BIGINT, pedido_id BIGINT, fecha_emision DATE, fecha_vencimiento DATE, importe_bruto DECIMAL(12,2), "
-        "descuento DECIMAL(12,2), impuestos DECIMAL(12,2), importe_total DECIMAL(12,2), divisa STRING, estado STRING",
+        "factura_id BIGINT, pedido_id BIGINT, fecha_emision DATE, fecha_vencimiento DATE, importe_bruto DECIMAL(18,2), "
+        "descuento DECIMAL(18,2), impuestos DECIMAL(18,2), importe_total DECIMAL(18,2), divisa STRING, estado STRING",
         key=("factura_id",), unique=(("pedido_id",),), parents={"pedido_id": "pedidos"},
         domains={"estado": ("pendiente", "pagada", "vencida", "anulada")},
         date_order=(("fecha_vencimiento", "fecha_emision"),)),
     "cobros": Table(
-        "cobro_id BIGINT, factura_id BIGINT, fecha_cobro DATE, importe_cobrado DECIMAL(12,2), metodo_pago STRING, "
+        "cobro_id BIGINT, factura_id BIGINT, fecha_cobro DATE, importe_cobrado DECIMAL(18,2), metodo_pago STRING, "
         "banco STRING, observaciones? STRING",
         key=("cobro_id",), parents={"factura_id": "facturas"}, positive=("importe_cobrado",),
         domains={"metodo_pago": ("transferencia", "credito", "contado")}),
@@ -233,8 +234,8 @@ FINANCE = {
         not_negative=("coste_semillas", "coste_agua", "coste_fertilizantes", "coste_mano_obra", "coste_maquinaria",
                       "coste_total_produccion", "coste_por_kg")),
     "costes_logisticos": Table(
-        "coste_logistico_id BIGINT, envio_id BIGINT, coste_transporte DECIMAL(12,2), coste_aduana DECIMAL(12,2), "
-        "coste_almacenaje DECIMAL(12,2), coste_seguro DECIMAL(12,2), coste_total_logistica DECIMAL(12,2), "
+        "coste_logistico_id BIGINT, envio_id BIGINT, coste_transporte DECIMAL(18,2), coste_aduana DECIMAL(12,2), "
+        "coste_almacenaje DECIMAL(12,2), coste_seguro DECIMAL(12,2), coste_total_logistica DECIMAL(18,2), "
         "coste_por_kg DECIMAL(10,4)",
         key=("coste_logistico_id",), unique=(("envio_id",),), parents={"envio_id": "envios"},
         not_negative=("coste_transporte", "coste_aduana", "coste_almacenaje", "coste_seguro", "coste_total_logistica",
