@@ -57,8 +57,8 @@ def upserted_by_two_keys(s: Source):
         return rows.groupBy(F.col("l_suppkey").alias("suppkey"), F.col("l_returnflag").alias("flag")).agg(
             (F.count(F.lit(1)) * sign).alias("lineas"))
 
-    old = counted(s.lineitem.filter("l_shipdate < timestamp'1999-01-01'"), 1)
-    new = counted(s.lineitem.filter("l_shipdate >= timestamp'1999-01-01' and l_returnflag <> 'N'"), -1)
+    old = counted(s.lineitem.filter("l_shipdate < '1999-01-01'"), 1)
+    new = counted(s.lineitem.filter("l_shipdate >= '1999-01-01' and l_returnflag <> 'N'"), -1)
     return upsert(old, new, ["suppkey", "flag"])
 
 

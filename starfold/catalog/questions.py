@@ -41,7 +41,7 @@ def question_sql(name: str, stored: bool) -> str:
 
 for _name in ("a1", "a2", "a3", "a4", "a5"):
     query(f"{_name}_oltp", question_sql(_name, stored=False))(
-        lambda s, n=_name: ask_oltp(s.warehouse.oltp, QUESTIONS[n], s.warehouse.hot_line_keys()))
+        lambda s, n=_name: ask_oltp(s.warehouse.oltp, QUESTIONS[n], s.warehouse.hot_join_keys()))
     query(f"{_name}_star", question_sql(_name, stored=True))(lambda s, n=_name: ask_star(s.warehouse.star, QUESTIONS[n]))
     query(f"{_name}_snow", question_sql(_name, stored=True))(lambda s, n=_name: ask_snow(s.warehouse.snow, QUESTIONS[n]))
 
@@ -84,7 +84,7 @@ _RECONCILED = " UNION ALL ".join(
 def reconcile_models(s: Source):
     """Where rounding per line makes the star differ from the OLTP answer."""
     w = s.warehouse
-    oltp = ask_oltp(w.oltp, QUESTIONS["a1"], w.hot_line_keys())
+    oltp = ask_oltp(w.oltp, QUESTIONS["a1"], w.hot_join_keys())
     return reconcile(oltp, ask_star(w.star, QUESTIONS["a1"]), QUESTIONS["a1"].keys, _MEASURES)
 
 

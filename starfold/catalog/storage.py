@@ -82,8 +82,8 @@ def declared_schema(s: Source):
 def appended(s: Source):
     """A table appended to in two slices."""
     path = scratch_path(s.spark, "append")
-    append(s.orders.filter("o_orderdate < timestamp'1998-01-01'"), path)
-    append(s.orders.filter("o_orderdate >= timestamp'1998-01-01'"), path)
+    append(s.orders.filter("o_orderdate < '1998-01-01'"), path)
+    append(s.orders.filter("o_orderdate >= '1998-01-01'"), path)
     return s.spark.read.parquet(path).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("pedidos"))
 
 

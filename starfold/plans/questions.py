@@ -184,7 +184,11 @@ _ORDER_COLUMNS = {"anio", "trimestre", "pais", "nombre_cliente", "nombre_transit
                   "puerto_llegada"}
 
 
-def oltp_orders(t: Tables, columns: Sequence[str]) -> DataFrame:
+def _meet(rows: DataFrame, side: DataFrame, key: str, hot: Mapping[str, Sequence[tuple]]) -> DataFrame:
+    return salted_join(rows, side, [key], hot[key]) if hot.get(key) else rows.join(side, key)
+
+
+def oltp_orders(t: Tables, columns: Sequence[str], hot: Mapping[str, Sequence[tuple]]) -> DataFrame:
     """Order-grain half of the chain: order, shipment, logistic cost and what ``columns`` ask for."""
     wanted = set(columns)
     shipped = t["envios"].select(
@@ -194,10 +198,11 @@ def oltp_orders(t: Tables, columns: Sequence[str]) -> DataFrame:
         "pedido_id", "cliente_id", F.year("fecha_pedido").alias("anio"), F.quarter("fecha_pedido").alias("trimestre"))
     orders = orders.join(shipped, "pedido_id").join(cost, "envio_id")
     if wanted & {"pais", "nombre_cliente"}:
-        orders = orders.join(t["clientes"].select("cliente_id", "pais", "nombre_cliente"), "cliente_id")
+        orders = _meet(orders, t["clientes"].select("cliente_id", "pais", "nombre_cliente"), "cliente_id", hot)
     if wanted & {"nombre_transitario", "puerto_salida", "puerto_llegada"}:
         routes = route_attributes(t["rutas_logisticas"], t["transitarios"], t["puertos"])
-        orders = orders.join(routes.select("ruta_id", "nombre_transitario", "puerto_salida", "puerto_llegada"), "ruta_id")
+        legs = routes.select("ruta_id", "nombre_transitario", "puerto_salida", "puerto_llegada")
+        orders = _meet(orders, legs, "ruta_id", hot)
     return orders.select("pedido_id", "logistico_kg", "dias", *[c for c in columns if c in _ORDER_COLUMNS])
 
 
@@ -229,18 +234,15 @@ def ask_oltp(t: Tables, q: Question, hot: Mapping[str, Sequence[tuple]] | None =
     """Answer ``q`` over the normalised tables.
 
     The chain of up to eleven tables is joined as two small halves, at order and
-    at lot grain, that meet on the line table. ``hot`` names the line keys
-    (``pedido_id``, ``lote_id``) that hold a large share of the lines; they are salted.
+    at lot grain, that meet on the line table. ``hot`` lists, per key column, the
+    values that hold a large share of the rows referring to them; they are salted.
     """
     hot = hot or {}
     lines = t["detalle_pedido"].select("pedido_id", "lote_id", "kilos_solicitados", "importe_neto")
-    halves = (("lote_id", oltp_lots(t, q.keys), "cosechas"), ("pedido_id", oltp_orders(t, q.keys), "pedidos"))
+    halves = (("lote_id", oltp_lots(t, q.keys), "cosechas"), ("pedido_id", oltp_orders(t, q.keys, hot), "pedidos"))
     for key, side, parent in halves:
-        if hot.get(key):
-            lines = salted_join(lines, side, [key], hot[key])
-        else:
-            # A half has at most one row per row of its parent, whose count is in the file footers.
-            lines = lines.join(sized(side, t[parent].count()), key)
+        # A half has at most one row per row of its parent, whose count is in the file footers.
+        lines = _meet(lines, side if hot.get(key) else sized(side, t[parent].count()), key, hot)
     return answer(lines, q, line_measure)
 
 

@@ -8,9 +8,11 @@ from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.joins import broadcast_limit, estimated_bytes, hot_keys
+from ..operators.joins import hot_keys, is_small
+from ..schemas import FINANCE, LOGISTICS, PRODUCTION, QUALITY, SALES, SNOW, STAR
 from ..session import scratch_path, written
 from ..sinks.append import write_partitioned
+from ..sinks.databases import save_database
 from . import snow as snow_plans
 from . import star as star_plans
 
@@ -86,19 +88,28 @@ class Warehouse:
         self.snow.build([n for n in self.snow if n.startswith("dim_")])
         return write_fact(self.spark, snow_plans.snow_fact(fact, self.star, self.snow), "snow-fact")
 
-    def hot_line_keys(self) -> dict[str, list[tuple]]:
-        """Orders and lots holding a large share of the lines, looked up once.
+    def hot_join_keys(self) -> dict[str, list[tuple]]:
+        """Lots, orders, customers and routes holding a large share of the rows that refer to them.
 
-        Lines small enough to be broadcast cannot be a hot spot and are not scanned.
+        Looked up once. Tables small enough to be broadcast cannot be a hot spot and are not scanned.
         """
         if self._hot is None:
-            lines = self.oltp["detalle_pedido"]
-            small = estimated_bytes(lines) <= broadcast_limit(lines)
-            self._hot = {k: [] if small else hot_keys(lines, [k]) for k in ("lote_id", "pedido_id")}
+            holders = {"lote_id": "detalle_pedido", "pedido_id": "detalle_pedido", "cliente_id": "pedidos", "ruta_id": "envios"}
+            self._hot = {
+                key: [] if is_small(self.oltp[name]) else hot_keys(self.oltp[name], [key]) for key, name in holders.items()}
         return self._hot
 
-    def register_views(self, separator: str = "_") -> None:
-        """Expose every built layer to SQL as ``oltp_<table>``, ``star_<table>`` and ``snow_<table>``."""
-        for layer, tables in (("oltp", self.oltp), ("star", self.star), ("snow", self.snow)):
-            for name in tables:
-                tables[name].createOrReplaceTempView(f"{layer}{separator}{name}")
+    def save(self, path: str, names: Mapping[str, Sequence[str]] | None = None) -> None:
+        """Save the layers as databases under ``path``; ``names`` limits it to some tables of each.
+
+        Existing SQL then runs over ``olap_star.fact_exportaciones``, ``oltp_ventas.pedidos`` and so on.
+        """
+        for database, (tables, declared) in {
+            "oltp_produccion": (self.oltp, PRODUCTION), "oltp_calidad": (self.oltp, QUALITY), "oltp_ventas": (self.oltp, SALES),
+            "oltp_logistica": (self.oltp, LOGISTICS), "oltp_finanzas": (self.oltp, FINANCE),
+            "olap_star": (self.star, STAR), "olap_snow": (self.snow, SNOW),
+        }.items():
+            wanted = [n for n in declared if names is None or n in names.get(database, ())]
+            if wanted:
+                save_database(self.spark, database, f"{path}/{database}", {n: tables[n] for n in wanted},
+                              partition_by={"fact_exportaciones": ["anio_pedido"]})

@@ -7,7 +7,6 @@ from fixtures import base_oltp, reference_oltp
 from pyspark.sql import functions as F
 
 from starfold.operators.reconcile import reconcile
-from starfold.plans.customers import STAGING_NAMES  # noqa: F401
 from starfold.plans.increment import increment
 from starfold.plans.kpi import COLUMNS, kpi_report, load_results, write_report
 from starfold.plans.questions import QUESTIONS, ask_dimensional, ask_oltp, ask_snow, ask_star, build_aggregate, refresh_aggregate
@@ -85,7 +84,7 @@ def test_layouts_agree(base, question, groups):
     q = QUESTIONS[question]
     star, snow = ask_star(base.star, q), ask_snow(base.snow, q)
     assert star.count() == groups and star.exceptAll(snow).count() == 0
-    oltp = ask_oltp(base.oltp, q, base.hot_line_keys())
+    oltp = ask_oltp(base.oltp, q, base.hot_join_keys())
     # A line may differ by half a cent per rounded measure; no group holds more than 90 lines.
     assert reconcile(oltp, star, q.keys, [*q.sums, *q.means], tolerance=1.0).count() == 0
     salted = ask_oltp(base.oltp, q, {"lote_id": [(1,), (2,)], "pedido_id": [(5,)]})
@@ -153,3 +152,24 @@ def test_aggregate_refresh(base, loaded):
     old = build_aggregate(tables, fact.filter("pedido_id <= 180"))
     refreshed = refresh_aggregate(old, build_aggregate(tables, fact.filter("pedido_id > 180")))
     assert refreshed.exceptAll(build_aggregate(tables)).count() == 0 and refreshed.count() == 360
+
+
+def test_saved_databases_answer_sql(spark, base, tmp_path):
+    base.save(str(tmp_path), {
+        "olap_star": ["fact_exportaciones", "dim_tiempo", "dim_producto"], "oltp_calidad": ["calibres"],
+        "olap_snow": ["dim_producto", "dim_familia_producto"]})
+    by_quarter = spark.sql("""
+        SELECT t.trimestre, SUM(f.importe_neto) AS ingresos FROM olap_star.fact_exportaciones f
+        JOIN olap_star.dim_tiempo t ON t.tiempo_sk = f.tiempo_sk GROUP BY t.trimestre""")
+    total = base.star["fact_exportaciones"].agg(F.sum("importe_neto")).first()[0]
+    assert by_quarter.count() == 4 and by_quarter.agg(F.sum("ingresos")).first()[0] == total
+    families = spark.sql("""
+        SELECT fp.familia_producto, COUNT(*) AS n FROM olap_snow.dim_producto p
+        JOIN olap_snow.dim_familia_producto fp ON fp.familia_sk = p.familia_sk GROUP BY fp.familia_producto""")
+    assert {r.familia_producto: r.n for r in families.collect()} == {"Hortalizas": 30, "Frutas": 5, "Frutos rojos": 15, "Citricos": 10}
+    top = spark.sql("""
+        SELECT calibre, COUNT(*) AS n FROM (SELECT lote_id, calibre, ROW_NUMBER() OVER (
+          PARTITION BY lote_id ORDER BY kilos_calibre DESC, calibre) AS rn FROM oltp_calidad.calibres) WHERE rn = 1 GROUP BY calibre""")
+    assert {r.calibre: r.n for r in top.collect()} == {"S": 45, "M": 45, "L": 45, "XL": 45}
+    for database in ("olap_star", "oltp_calidad", "olap_snow"):
+        spark.sql(f"DROP DATABASE {database} CASCADE")

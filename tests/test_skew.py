@@ -38,7 +38,8 @@ def no_broadcast(spark):
 
 
 def test_hot_keys_are_found(spark, skewed_dir, no_broadcast):
-    assert warehouse(spark, skewed_dir).hot_line_keys() == {"lote_id": [(8,)], "pedido_id": [(6,)]}
+    hot = warehouse(spark, skewed_dir).hot_join_keys()
+    assert hot["lote_id"] == [(8,)] and hot["pedido_id"] == [(6,)]
 
 
 @pytest.mark.parametrize("name", CHECKED)

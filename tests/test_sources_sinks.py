@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from starfold import session
 from starfold.functions.numbers import number_text
-from starfold.sinks import VersionedLayer, append_rejects, report, write_csv_report, write_partitioned
+from starfold.sinks import VersionedLayer, append_rejects, report, save_database, write_csv_report, write_partitioned
 from starfold.sources import conform, inline_table, read_csv_typed, read_jdbc, read_query, series
 
 
@@ -157,3 +157,25 @@ def test_cluster_without_shared_folder_is_refused():
 
 def test_shared_folder_comes_from_the_session(spark):
     assert session.scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
+    a = spark.range(500).withColumn("v", F.col("id") * 2)
+    save_database(spark, "capa", str(tmp_path / "capa"), {"a": a, "b": a}, buckets={"a": (4, "id"), "b": (4, "id")})
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = read_query(spark, "SELECT a.id, b.v FROM capa.a JOIN capa.b ON a.id = b.id")
+        text = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in text and "Exchange" not in text and joined.count() == 500
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+        spark.sql("DROP DATABASE capa CASCADE")
+
+
+def test_written_tables_live_in_the_shared_folder_until_dropped(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path))
+    kept = session.written(spark.range(3), "x")
+    folder = tmp_path / spark.sparkContext.applicationId
+    assert kept.count() == 3 and str(folder) in kept.inputFiles()[0]
+    session.drop_scratch(spark)
+    assert not folder.exists()
