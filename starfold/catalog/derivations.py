@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 
+from ..operators.joins import skew_join
 from ..plans import derive
 from ..plans.retail import FAMILY_PRICES, PART_PRICES
 from .registry import Source, query
@@ -79,7 +80,10 @@ def pricing(s: Source):
     discounts = t["pedidos"].join(t["contratos"], "contrato_id").select(
         "pedido_id", F.col("descuento_general_porcentaje").alias("descuento_porcentaje"))
     families = t["cosechas"].join(t["cultivos"], "cultivo_id").select(F.col("cosecha_id").alias("lote_id"), "familia_producto")
-    lines = t["detalle_pedido"].select("pedido_id", "lote_id", "kilos_solicitados").join(families, "lote_id").join(discounts, "pedido_id")
+    hot = s.warehouse.hot_join_keys()
+    lines = t["detalle_pedido"].select("pedido_id", "lote_id", "kilos_solicitados")
+    lines = skew_join(lines, families, "lote_id", hot=hot["lote_id"])
+    lines = skew_join(lines, discounts, "pedido_id", hot=hot["pedido_id"])
     priced = derive.price_lines(lines, derive.base_price("familia_producto", FAMILY_PRICES))
     return priced.select("pedido_id", "lote_id", "kilos_solicitados", "descuento_porcentaje", "precio_unitario_kg",
                          "importe_bruto", "importe_neto")

@@ -119,8 +119,10 @@ def kpi_file(s: Source):
     targets = inline_table(s.spark, TARGETS, "familia_producto string, objetivo_ingresos int")
     path = scratch_path(s.spark, "kpi")
     write_report(kpi_report(ask_star(s.warehouse.star, QUESTIONS["a7"]), targets), path)
-    return read_csv_typed(s.spark, path, "familia_producto STRING, ingresos_reales DECIMAL(24,2), costes_totales DECIMAL(24,2), margen_total DECIMAL(24,2)",
-                          decimal=".", group="")
+    amounts = "ingresos_reales DECIMAL(24,2), costes_totales DECIMAL(24,2), margen_total DECIMAL(24,2)"
+    report = read_csv_typed(s.spark, path, f"familia_producto STRING, {amounts}, objetivo INT, pct_margen STRING, pct_objetivo STRING",
+                            decimal=".", group="")
+    return report.select("familia_producto", "ingresos_reales", "costes_totales", "margen_total")
 
 
 @query("k5_rebuild_layer", "SELECT c_mktsegment, COUNT(*) AS clientes, CAST(SUM(CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END) AS BIGINT) AS deudores FROM customer GROUP BY c_mktsegment")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Sequence
 from functools import reduce
 
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 SALT = "_salt"
 
 
+_SKETCH_GROUPS, _SKETCH_ITEMS = 256, 100
 _UNITS = {unit: 1024**i for i, unit in enumerate(("B", "KiB", "MiB", "GiB", "TiB", "PiB", "EiB"))}
 
 
@@ -58,51 +60,61 @@ def any_null(cols: Sequence[str]) -> Column:
 
 
 def row_hash(df: DataFrame) -> Column:
-    """Hash of the whole row: spreads rows and, unlike ``rand``, repeats on a retry."""
-    return F.xxhash64(*[F.col(c) for c in df.columns])
+    """Hash of the row and its partition: spreads even equal rows.
 
+    Unlike a random or running number it does not depend on the order of rows in
+    a partition, so a repeated task gives every row the same value again.
+    """
+    return F.xxhash64(*[F.col(c) for c in df.columns], F.spark_partition_id())
 
-def hot_keys(df: DataFrame, on: Sequence[str], share: float = 0.01) -> list[tuple]:
-    """Key values holding more than ``share`` of the rows.
 
-    At most ``1 / share`` keys can do so, which bounds what reaches the driver.
-    Only the key columns are scanned and counts are combined before the shuffle.
-    """
-    total = df.count()
-    heavy = (
-        df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-        .filter((F.col("_n") > F.lit(share * total)) & ~any_null(on))
-        .select(*on)
-    )
-    return [tuple(r) for r in heavy.collect()]
+def key_hash(on: Sequence[str], like: T.StructType) -> Column:
+    """Hash of the key columns, taken in the types of ``like`` so that both sides of a join agree."""
+    return F.xxhash64(*[F.col(c).cast(like[c].dataType) for c in on])
 
 
-def _is_hot(on: Sequence[str], hot: Sequence[tuple]) -> Column:
-    if len(on) == 1:
-        return F.col(on[0]).isin([k[0] for k in hot])
-    matches = [reduce(lambda a, b: a & b, [F.col(c) == F.lit(v) for c, v in zip(on, key)]) for key in hot]
-    return reduce(lambda a, b: a | b, matches)
+def hot_keys(df: DataFrame, on: Sequence[str], share: float = 0.01) -> list[int]:
+    """Hashes of the key values holding more than ``share`` of the rows.
+
+    A frequent-items sketch per task over the key columns alone: keys are not
+    shuffled, only sketches are, merged in ``_SKETCH_GROUPS`` groups. What reaches
+    the driver is bounded by groups and items, whatever the data. The sketch may
+    miss or add a borderline key; that costs or saves balance, never a row.
+    """
+    hashed = df.filter(~any_null(on)).select(
+        F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("_group"), key_hash(on, df.schema).alias("_key"))
+    sketched = hashed.groupBy("_group").agg(
+        F.count(F.lit(1)).alias("rows"), F.expr(f"approx_top_k(_key, {_SKETCH_ITEMS}, {10 * _SKETCH_ITEMS})").alias("top"))
+    rows, counts = 0, Counter()
+    for group in sketched.collect():
+        rows += group.rows
+        counts.update({item.item: item["count"] for item in group.top})
+    return sorted(key for key, n in counts.items() if n > share * rows)
 
 
 def salted_join(
-    big: DataFrame, side: DataFrame, on: Sequence[str], hot: Sequence[tuple], how: str = "inner", salts: int = 32
+    big: DataFrame, side: DataFrame, on: Sequence[str], hot: Sequence[int], how: str = "inner", salts: int | None = None
 ) -> DataFrame:
-    """Equi-join where each hot key is spread over ``salts`` partitions.
+    """Equi-join where each key of ``hot`` (see :func:`hot_keys`) is spread over ``salts`` partitions.
 
     Rows of ``big`` with a hot key get a salt from their row hash, the few rows
     of ``side`` with that key are repeated once per salt, all other rows keep
     salt 0. In an outer or anti join NULL keys match nothing, so they are spread too.
+    By default a key is spread over as many salts as there are shuffle partitions,
+    so that the pieces shrink as the cluster is given more of them.
     """
+    salts = salts or int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if how not in ("inner", "left", "left_anti", "left_semi"):
         raise ValueError(f"cannot salt a {how} join")
     spread = F.pmod(row_hash(big), F.lit(salts)).cast("int")
     zero = F.lit(0)
-    big_salt = F.when(_is_hot(on, hot), spread) if hot else F.when(F.lit(False), zero)
+    is_hot = key_hash(on, big.schema).isin(list(hot))
+    big_salt = F.when(is_hot, spread) if hot else F.when(F.lit(False), zero)
     if how in ("left", "left_anti"):
         big_salt = big_salt.when(any_null(on), spread)
     side_salts = F.array(zero)
     if hot:
-        side_salts = F.when(_is_hot(on, hot), F.sequence(zero, F.lit(salts - 1))).otherwise(side_salts)
+        side_salts = F.when(is_hot, F.sequence(zero, F.lit(salts - 1))).otherwise(side_salts)
     return (
         big.withColumn(SALT, big_salt.otherwise(zero))
         .join(side.withColumn(SALT, F.explode(side_salts)), [*on, SALT], how)
@@ -110,14 +122,14 @@ def salted_join(
     )
 
 
-def skewed(big: DataFrame, side: DataFrame, on: Sequence[str], share: float = 0.01) -> list[tuple]:
+def skewed(big: DataFrame, side: DataFrame, on: Sequence[str], share: float = 0.01) -> list[int]:
     """Hot keys of ``big`` for a join to ``side``; none are looked for when ``side`` would be broadcast."""
     return [] if is_small(side) else hot_keys(big, on, share)
 
 
 def skew_join(
     big: DataFrame, side: DataFrame, on: Sequence[str] | str, how: str = "inner",
-    hot: Sequence[tuple] | None = None, salts: int = 32,
+    hot: Sequence[int] | None = None, salts: int | None = None,
 ) -> DataFrame:
     """Join ``big`` to ``side`` on equal column names, whatever their size and skew.
 

@@ -28,8 +28,8 @@ def _keyed(df: DataFrame, keys: Sequence[str], tag: str) -> DataFrame:
 
 def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """First row per key in ``order``. Rows with a NULL key never merge, so all of them stay."""
-    spread = df.withColumn(_SPREAD, F.when(any_null(keys), row_hash(df)).otherwise(F.lit(0)))
-    return top1_per_group(spread, [*keys, _SPREAD], order).drop(_SPREAD)
+    keyed = top1_per_group(df.filter(~any_null(keys)), keys, order)
+    return keyed.unionByName(df.filter(any_null(keys)))
 
 
 def upsert(

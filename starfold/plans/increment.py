@@ -46,5 +46,5 @@ def increment(t: Tables, dims: Tables, fact: DataFrame, orders: DataFrame) -> tu
     grown = {**{name: dims[name] for name in dims}, "dim_tiempo": dims["dim_tiempo"].unionByName(calendar)}
     slice_ = {name: t[name] for name in t}
     slice_["pedidos"] = pending
-    slice_["detalle_pedido"] = t["detalle_pedido"].join(pending.select("pedido_id"), "pedido_id", "left_semi")
+    slice_["detalle_pedido"] = skew_join(t["detalle_pedido"], pending.select("pedido_id"), "pedido_id", "left_semi")
     return calendar, star_fact(slice_, grown).select(*fact.columns)

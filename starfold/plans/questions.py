@@ -184,11 +184,11 @@ _ORDER_COLUMNS = {"anio", "trimestre", "pais", "nombre_cliente", "nombre_transit
                   "puerto_llegada"}
 
 
-def _meet(rows: DataFrame, side: DataFrame, key: str, hot: Mapping[str, Sequence[tuple]]) -> DataFrame:
+def _meet(rows: DataFrame, side: DataFrame, key: str, hot: Mapping[str, Sequence[int]]) -> DataFrame:
     return salted_join(rows, side, [key], hot[key]) if hot.get(key) else rows.join(side, key)
 
 
-def oltp_orders(t: Tables, columns: Sequence[str], hot: Mapping[str, Sequence[tuple]]) -> DataFrame:
+def oltp_orders(t: Tables, columns: Sequence[str], hot: Mapping[str, Sequence[int]]) -> DataFrame:
     """Order-grain half of the chain: order, shipment, logistic cost and what ``columns`` ask for."""
     wanted = set(columns)
     shipped = t["envios"].select(
@@ -230,7 +230,7 @@ def oltp_lots(t: Tables, columns: Sequence[str]) -> DataFrame:
     return lots.select("lote_id", "producto_kg", *[c for c in columns if c not in _ORDER_COLUMNS])
 
 
-def ask_oltp(t: Tables, q: Question, hot: Mapping[str, Sequence[tuple]] | None = None) -> DataFrame:
+def ask_oltp(t: Tables, q: Question, hot: Mapping[str, Sequence[int]] | None = None) -> DataFrame:
     """Answer ``q`` over the normalised tables.
 
     The chain of up to eleven tables is joined as two small halves, at order and

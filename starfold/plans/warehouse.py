@@ -77,7 +77,7 @@ class Warehouse:
         for name, builder in snow_plans.dimensions(self.star, self.snow).items():
             self.snow.define(name, builder)
         self.snow.define("fact_exportaciones", self._snow_fact)
-        self._hot: dict[str, list[tuple]] | None = None
+        self._hot: dict[str, list[int]] | None = None
 
     def _star_fact(self) -> DataFrame:
         self.star.build([n for n in self.star if n.startswith("dim_")])
@@ -88,12 +88,13 @@ class Warehouse:
         self.snow.build([n for n in self.snow if n.startswith("dim_")])
         return write_fact(self.spark, snow_plans.snow_fact(fact, self.star, self.snow), "snow-fact")
 
-    def hot_join_keys(self) -> dict[str, list[tuple]]:
+    def hot_join_keys(self) -> dict[str, list[int]]:
         """Lots, orders, customers and routes holding a large share of the rows that refer to them.
 
         Looked up once. Tables small enough to be broadcast cannot be a hot spot and are not scanned.
         """
         if self._hot is None:
+            # Key column -> table whose rows refer to it.
             holders = {"lote_id": "detalle_pedido", "pedido_id": "detalle_pedido", "cliente_id": "pedidos", "ruta_id": "envios"}
             self._hot = {
                 key: [] if is_small(self.oltp[name]) else hot_keys(self.oltp[name], [key]) for key, name in holders.items()}

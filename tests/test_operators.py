@@ -41,21 +41,31 @@ def side(spark):
     return spark.range(60).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
 
 
-def test_hot_keys_finds_the_heavy_one(skewed_lines):
-    assert hot_keys(skewed_lines, ["k"], share=0.2) == [(7,)]
+def hashes(spark, *keys, kind="bigint"):
+    """What ``hot_keys`` returns for these keys."""
+    return sorted(spark.range(1).select(F.xxhash64(*[F.lit(v).cast(kind) for v in key])).first()[0] for key in keys)
+
+
+def test_hot_keys_finds_the_heavy_one(spark, skewed_lines):
+    assert hot_keys(skewed_lines, ["k"], share=0.2) == hashes(spark, (7,))
+    assert hot_keys(skewed_lines.filter(F.lit(False)), ["k"]) == []
+
+
+def test_hot_keys_are_few_even_over_many_values(spark):
+    assert hot_keys(spark.range(200_000).repartition(8), ["id"], share=0.01) == []
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_anti", "left_semi"])
-def test_salted_join_equals_plain_join(skewed_lines, side, how, no_broadcast):
+def test_salted_join_equals_plain_join(spark, skewed_lines, side, how, no_broadcast):
     expected = rows(skewed_lines.join(side, ["k"], how))
-    assert rows(salted_join(skewed_lines, side, ["k"], [(7,), (3,)], how, salts=5)) == expected
+    assert rows(salted_join(skewed_lines, side, ["k"], hashes(spark, (7,), (3,)), how, salts=5)) == expected
     assert rows(skew_join(skewed_lines, side, "k", how)) == expected
 
 
 def test_salted_join_spreads_the_hot_key(spark, skewed_lines, side, no_broadcast):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = salted_join(skewed_lines, side, ["k"], [(7,)], "inner", salts=16).filter("k = 7")
+        joined = salted_join(skewed_lines, side, ["k"], hashes(spark, (7,)), "inner", salts=16).filter("k = 7")
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
@@ -65,7 +75,13 @@ def test_salted_join_spreads_the_hot_key(spark, skewed_lines, side, no_broadcast
 def test_salted_join_on_two_keys(spark, no_broadcast):
     big = spark.range(200).select((F.col("id") % 3).alias("a"), (F.col("id") % 4).alias("b"), "id")
     ref = big.select("a", "b").distinct().withColumn("v", F.col("a") * 10 + F.col("b"))
-    assert rows(salted_join(big, ref, ["a", "b"], [(0, 0), (1, 3)], salts=3)) == rows(big.join(ref, ["a", "b"]))
+    assert rows(salted_join(big, ref, ["a", "b"], hashes(spark, (0, 0), (1, 3)), salts=3)) == rows(big.join(ref, ["a", "b"]))
+
+
+def test_salted_join_across_key_types(spark, skewed_lines, side, no_broadcast):
+    narrow = side.withColumn("k", F.col("k").cast("int"))
+    got = salted_join(skewed_lines, narrow, ["k"], hashes(spark, (7,)), "inner", salts=5)
+    assert rows(got) == rows(skewed_lines.join(side, "k"))
 
 
 def test_salted_join_refuses_full_outer(skewed_lines, side):
@@ -169,9 +185,9 @@ def test_upsert_can_set_null(spark, target):
 
 
 def test_upsert_null_keys_are_always_inserted(spark, target):
-    source = inline_table(spark, [(None, "x", 1, 1), (None, "y", 2, 1)], "id int, nombre string, saldo int, v int")
+    source = inline_table(spark, [(None, "x", 1, 1), (None, "y", 2, 1), (None, "y", 2, 1)], "id int, nombre string, saldo int, v int")
     got = Counter(r[1] for r in rows(upsert(target, source, ["id"], order_by=["v"])) if r[0] is None)
-    assert got == {"n": 1, "x": 1, "y": 1}
+    assert got == {"n": 1, "x": 1, "y": 2}
 
 
 def test_upsert_empty_sides(spark, target):
