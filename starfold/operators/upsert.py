@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import written
 from .dedup import top1_per_group
-from .joins import any_null, row_hash, skew_join
+from .joins import any_null, is_small, row_hash, skew_join
 from .keys import assign_sk
 
 _SPREAD = "_spread"
@@ -26,6 +26,22 @@ def _keyed(df: DataFrame, keys: Sequence[str], tag: str) -> DataFrame:
     )
 
 
+def _paired(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, t, s): every target row with its source row, and the source rows without a target.
+
+    A source small enough to broadcast meets the target without moving it: the
+    target is read twice, the second time its keys only. Otherwise both sides are
+    shuffled once by key.
+    """
+    t, s = _keyed(target, keys, "t"), _keyed(source, keys, "s")
+    if not is_small(source):
+        return t.join(s, [*keys, _SPREAD], "full_outer")
+    t, s = t.drop(_SPREAD), s.drop(_SPREAD)
+    matched = t.select(*keys).join(s.select(*keys), keys, "left_semi")
+    inserted = s.join(matched, keys, "left_anti").withColumn("t", F.lit(None).cast(t.schema["t"].dataType))
+    return t.join(s, keys, "left").select(*keys, "t", "s").unionByName(inserted.select(*keys, "t", "s"))
+
+
 def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """First row per key in ``order``. Rows with a NULL key never merge, so all of them stay."""
     keyed = top1_per_group(df.filter(~any_null(keys)), keys, order)
@@ -61,7 +77,7 @@ def upsert(
     if order_by is not None:
         source = one_per_key(source, keys, [F.col(o).desc() if isinstance(o, str) else o.desc() for o in order_by])
     source = source.select(*dict.fromkeys(carried))
-    both = _keyed(target, keys, "t").join(_keyed(source, keys, "s"), [*keys, _SPREAD], "full_outer")
+    both = _paired(target, source, keys)
     was, now = F.col("t._here").isNotNull(), F.col("s._here").isNotNull()
 
     def merged(name: str) -> Column:

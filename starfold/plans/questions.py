@@ -124,9 +124,10 @@ def ask_dimensional(fact: DataFrame, dims: Mapping[str, DataFrame], q: Question,
     """Answer ``q`` over a fact and its dimensions.
 
     Dimensions that fit a broadcast are joined first, without a shuffle. If all
-    do, that is the whole plan. Otherwise the fact is aggregated by the attributes
-    found so far and the keys of the large dimensions before these are joined:
-    a product with a third of all lines shrinks to its groups before it is shuffled.
+    do, that is the whole plan. One large dimension is joined by key (hot keys
+    salted), after which the groups combine where the key's rows already are. With
+    more of them the fact would be shuffled in full for each, so it is aggregated
+    by the attributes found so far and the large dimensions' keys before they are joined.
     """
     needed: dict[str, list[str]] = {}
     for key in q.keys:
@@ -135,7 +136,7 @@ def ask_dimensional(fact: DataFrame, dims: Mapping[str, DataFrame], q: Question,
     small = [n for n, side in sides.items() if is_small(side)]
     large = [n for n in sides if n not in small]
     if pre_aggregate is None:
-        pre_aggregate = bool(large)
+        pre_aggregate = len(large) > 1
     for name in small:
         fact = fact.join(sides[name], SK[name])
     if not pre_aggregate:

@@ -21,6 +21,10 @@ RUNTIME_CONF = {
 }
 
 
+#: Application id -> temporary folder, for local sessions without a shared one.
+_local_folders: dict[str, str] = {}
+
+
 def build_session(app_name: str = "starfold", master: str | None = None, **conf: str) -> SparkSession:
     """Create (or reuse) a session with the settings above; ``conf`` wins."""
     builder = SparkSession.builder.appName(app_name)
@@ -40,13 +44,12 @@ def shared_dir(spark: SparkSession) -> str:
     executors are one process. On a cluster an unset folder is an error.
     """
     context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    folder = context.getConf().get("spark.checkpoint.dir") or _local_folders.get(context.applicationId)
     if folder is None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="starfold-")
+        folder = _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="starfold-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", folder)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder.rstrip("/")

@@ -153,8 +153,16 @@ def test_rekey(spark):
     assert rows(rekey(fact, {"sk": key_map(old, new, "sk", ["name"])})) == [(7, 200), (8, 100), (8, 300)]
 
 
-@pytest.fixture
-def target(spark):
+@pytest.fixture(params=["10MB", "-1"])
+def target(spark, request):
+    """A merge target; the source counts as small once and as large once."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", request.param)
+    yield merge_target(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def merge_target(spark):
     return inline_table(spark, [(1, "a", 10), (2, "b", 20), (None, "n", 0)], "id int, nombre string, saldo int")
 
 
@@ -190,6 +198,14 @@ def test_upsert_null_keys_are_always_inserted(spark, target):
     assert got == {"n": 1, "x": 1, "y": 2}
 
 
+def test_small_source_does_not_move_the_target(spark, sf_dir):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderstatus")
+    merged = upsert(orders, inline_table(spark, [(1, "X")], "o_orderkey bigint, o_orderstatus string"), ["o_orderkey"])
+    text = merged._jdf.queryExecution().executedPlan().toString()
+    assert "LeftOuter" in text and "FullOuter" not in text and "Exchange hashpartitioning" not in text
+    assert merged.filter("o_orderstatus = 'X'").count() == 1 and merged.count() == orders.count()
+
+
 def test_upsert_empty_sides(spark, target):
     nothing = target.filter(F.lit(False))
     assert rows(upsert(target, nothing, ["id"])) == rows(target)

@@ -134,25 +134,35 @@ def test_partitioned_write_makes_few_files(spark, tmp_path):
 
 
 class FakeContext:
-    master = "spark://host:7077"
+    """A context without a checkpoint folder."""
+
+    def __init__(self, master):
+        self.master, self.applicationId, self.folder = master, f"app-{master}", None
 
     def getConf(self):
         return {}
 
+    def getCheckpointDir(self):
+        return self.folder
 
-class FakeConf:
-    def get(self, key, default=None):
-        return default
+    def setCheckpointDir(self, folder):
+        self.folder = folder
 
 
-class FakeCluster:
-    sparkContext = FakeContext()
-    conf = FakeConf()
+class FakeApplication:
+    def __init__(self, master):
+        self.sparkContext = FakeContext(master)
 
 
 def test_cluster_without_shared_folder_is_refused():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        session.shared_dir(FakeCluster())
+        session.shared_dir(FakeApplication("spark://host:7077"))
+
+
+def test_local_session_without_shared_folder_gets_one():
+    local = FakeApplication("local[4]")
+    folder = session.shared_dir(local)
+    assert session.shared_dir(local) == folder == local.sparkContext.folder
 
 
 def test_shared_folder_comes_from_the_session(spark):
