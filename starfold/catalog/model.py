@@ -127,10 +127,20 @@ def incremental_load(s: Source):
     The batch overlaps what is loaded already, and is applied twice: neither may
     add a line again.
     """
+    return _loaded_in_two_steps(s, s.warehouse.star)
+
+
+@query("d14_snow_increment", _FACT_SQL)
+def incremental_snow_load(s: Source):
+    """The same load into the snowflake model."""
+    return _loaded_in_two_steps(s, s.warehouse.snow)
+
+
+def _loaded_in_two_steps(s: Source, model):
     w = s.warehouse
-    fact, calendar_ = w.star["fact_exportaciones"], w.star["dim_tiempo"]
+    fact, calendar_ = model["fact_exportaciones"], model["dim_tiempo"]
     base = fact.filter(F.col("anio_pedido") < int(_CUTOFF[:4]))
-    dims = {**{n: w.star[n] for n in NATURAL_KEYS}, "dim_tiempo": calendar_.filter(F.col("fecha") < _CUTOFF)}
+    dims = {**{n: model[n] for n in NATURAL_KEYS}, "dim_tiempo": calendar_.filter(F.col("fecha") < _CUTOFF)}
     batch = w.oltp["pedidos"].filter(F.col("fecha_pedido") >= _OVERLAP)
     for _ in range(2):
         days, rows = increment(w.oltp, dims, base, batch)

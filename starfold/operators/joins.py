@@ -44,15 +44,18 @@ def row_bytes(schema: T.StructType) -> int:
     return 16 + sum(fixed.get(type(f.dataType), 24 if isinstance(f.dataType, T.DecimalType) else 80) for f in schema.fields)
 
 
-def sized(side: DataFrame, rows: int) -> DataFrame:
-    """``side`` hinted by a bound on its rows that the caller knows.
+def bounded_join(big: DataFrame, side: DataFrame, key: str, rows: int, hot: Sequence[int] = ()) -> DataFrame:
+    """Inner join to a ``side`` of at most ``rows`` rows, a bound the caller knows.
 
     Catalyst multiplies sizes through joins, so a joined side always looks huge
     and the other side may be broadcast in its place. Within the broadcast limit
-    ``side`` is broadcast, beyond it both sides are shuffled and merged.
+    ``side`` is broadcast; beyond it both sides are shuffled, hot keys salted.
     """
-    fits = rows * row_bytes(side.schema) <= broadcast_limit(side)
-    return F.broadcast(side) if fits else side.hint("merge")
+    if rows * row_bytes(side.schema) <= broadcast_limit(side):
+        return big.join(F.broadcast(side), key)
+    if hot:
+        return salted_join(big, side, [key], hot)
+    return big.join(side.hint("merge"), key)
 
 
 def any_null(cols: Sequence[str]) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import days_between
 from ..functions.numbers import safe_ratio
-from ..operators.joins import is_small, salted_join, sized, skew_join
+from ..operators.joins import bounded_join, is_small, skew_join
 from .snow import products_with_family
 from .star import commercial_category, dominant_size, route_attributes
 
@@ -185,10 +185,6 @@ _ORDER_COLUMNS = {"anio", "trimestre", "pais", "nombre_cliente", "nombre_transit
                   "puerto_llegada"}
 
 
-def _meet(rows: DataFrame, side: DataFrame, key: str, hot: Mapping[str, Sequence[int]]) -> DataFrame:
-    return salted_join(rows, side, [key], hot[key]) if hot.get(key) else rows.join(side, key)
-
-
 def oltp_orders(t: Tables, columns: Sequence[str], hot: Mapping[str, Sequence[int]]) -> DataFrame:
     """Order-grain half of the chain: order, shipment, logistic cost and what ``columns`` ask for."""
     wanted = set(columns)
@@ -199,11 +195,12 @@ def oltp_orders(t: Tables, columns: Sequence[str], hot: Mapping[str, Sequence[in
         "pedido_id", "cliente_id", F.year("fecha_pedido").alias("anio"), F.quarter("fecha_pedido").alias("trimestre"))
     orders = orders.join(shipped, "pedido_id").join(cost, "envio_id")
     if wanted & {"pais", "nombre_cliente"}:
-        orders = _meet(orders, t["clientes"].select("cliente_id", "pais", "nombre_cliente"), "cliente_id", hot)
+        orders = skew_join(orders, t["clientes"].select("cliente_id", "pais", "nombre_cliente"), "cliente_id",
+                           hot=hot.get("cliente_id", ()))
     if wanted & {"nombre_transitario", "puerto_salida", "puerto_llegada"}:
         routes = route_attributes(t["rutas_logisticas"], t["transitarios"], t["puertos"])
         legs = routes.select("ruta_id", "nombre_transitario", "puerto_salida", "puerto_llegada")
-        orders = _meet(orders, legs, "ruta_id", hot)
+        orders = skew_join(orders, legs, "ruta_id", hot=hot.get("ruta_id", ()))
     return orders.select("pedido_id", "logistico_kg", "dias", *[c for c in columns if c in _ORDER_COLUMNS])
 
 
@@ -243,7 +240,7 @@ def ask_oltp(t: Tables, q: Question, hot: Mapping[str, Sequence[int]] | None = N
     halves = (("lote_id", oltp_lots(t, q.keys), "cosechas"), ("pedido_id", oltp_orders(t, q.keys, hot), "pedidos"))
     for key, side, parent in halves:
         # A half has at most one row per row of its parent, whose count is in the file footers.
-        lines = _meet(lines, side if hot.get(key) else sized(side, t[parent].count()), key, hot)
+        lines = bounded_join(lines, side, key, t[parent].count(), hot.get(key, ()))
     return answer(lines, q, line_measure)
 
 
