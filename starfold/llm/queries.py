@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import read_table
-from . import mixing, packing, planes, urls
+from . import mixing, packing, planes, simhash, urls
 from .base import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -49,6 +50,12 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op2_simhash_near_duplicates")
+def op2_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def _url_sql() -> str:
     """The verdicts by regular expressions, with the terms and rules written out."""
     return r"""
