@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import read_table
-from . import mixing, packing, planes, simhash, urls
+from . import kmtree, mixing, packing, planes, simhash, urls
 from .base import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -90,6 +90,12 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(read_table(spark, sf_dir, "pages"))
 
 
+@query("op8_nearest_neighbours")
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = kmtree.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+    return found
+
+
 @query("op9_packing")
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), vocabulary())
