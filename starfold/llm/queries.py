@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import read_table
-from . import kmtree, mixing, packing, planes, simhash, urls
+from . import kmtree, mixing, packing, pii, planes, simhash, urls
 from .base import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -56,6 +56,15 @@ def op2_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query("op3_pii")
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(read_table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *[count(kind) for kind in pii.KINDS], F.sha2(pii.digest(F.col("base")), 256).alias("base_sha256"),
+        pii.digest(F.col("spans")).alias("spans"))
+
+
 def _url_sql() -> str:
     """The verdicts by regular expressions, with the terms and rules written out."""
     return r"""
