@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import read_table
-from . import kmtree, mixing, packing, pii, planes, simhash, urls
+from . import kmtree, mixing, packing, pii, planes, simhash, spotsigs, urls
 from .base import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -99,6 +99,36 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(read_table(spark, sf_dir, "pages"))
 
 
+@query("op7_spotsigs", r"""WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+         row_number() OVER (ORDER BY doc_id DESC NULLS LAST, text) AS place FROM documents),
+edits AS (
+  SELECT t.doc_id, t.n, t.text, f.text AS after, substr(t.text, 1, t.n - t.n // 3) || substr(f.text, 1, t.n // 3) AS edited
+  FROM texts t JOIN texts f ON f.place = t.place % (SELECT count(*) FROM texts) + 1),
+each AS (SELECT text AS t FROM edits UNION SELECT edited FROM edits),
+padded AS (SELECT t, ' ' || regexp_replace(lower(t), '[^\p{L}\p{N}]+', '  ', 'g') || ' ' AS p FROM each),
+chained AS (
+  SELECT t, trim(regexp_replace(p, ' +', ' ', 'g')) AS whole,
+         list_filter(list_transform(string_split(regexp_replace(p,
+           ' (a|an|and|are|as|at|au|auf|avec|con|dans|das|de|del|dem|den|der|des|die|du|ein|eine|el|en|' ||
+           'est|et|for|from|für|im|in|is|ist|it|la|las|le|les|los|mit|nicht|of|on|or|par|para|por|pour|' ||
+           'que|qui|se|sich|sur|that|the|this|to|un|una|und|une|von|was|with|y|zu) ', chr(1) || '\1 ', 'g'), chr(1))[2:],
+           lambda s: array_to_string(string_split(trim(regexp_replace(s, ' +', ' ', 'g')), ' ')[1:4], ' ')), lambda s: contains(s, ' ')) AS chains
+  FROM padded),
+signed AS (
+  SELECT t, list_sort(list_distinct(list_transform(
+    CASE WHEN len(chains) > 0 THEN chains WHEN whole <> '' THEN [whole] ELSE [] END, lambda s: substr(md5(s), 1, 8)))) AS sigs FROM chained)
+SELECT e.doc_id, e.n AS n_chars, sha256(e.edited) AS edited_sha256, array_to_string(a.sigs, '') AS fingerprint,
+       array_to_string(b.sigs, '') AS edited_fingerprint,
+       CASE WHEN len(a.sigs) = 0 AND len(b.sigs) = 0 THEN 1.0::DOUBLE ELSE len(list_intersect(a.sigs, b.sigs))::DOUBLE
+         / (len(a.sigs) + len(b.sigs) - len(list_intersect(a.sigs, b.sigs))) END AS near_edited,
+       CASE WHEN len(a.sigs) = 0 AND len(c.sigs) = 0 THEN 1.0::DOUBLE ELSE len(list_intersect(a.sigs, c.sigs))::DOUBLE
+         / (len(a.sigs) + len(c.sigs) - len(list_intersect(a.sigs, c.sigs))) END AS near_next
+FROM edits e JOIN signed a ON a.t = e.text JOIN signed b ON b.t = e.edited JOIN signed c ON c.t = e.after""")
+def op7_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.compare_with_edits(read_table(spark, sf_dir, "documents"))
+
+
 @query("op8_nearest_neighbours")
 def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, _ = kmtree.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
