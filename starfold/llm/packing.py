@@ -169,9 +169,10 @@ def pack_documents(docs: DataFrame, tokenizer: str, tiers: Sequence[int] = TIERS
         group: list[tuple[int | None, bytes]] = []
         tokens = 0
         for batch in batches:
-            for at in range(batch.num_rows):  # texts become Python strings one at a time
-                ids = next(encoder.encode([batch.column(1)[at].as_py()])) + end
-                group.append((batch.column(0)[at].as_py(), ids))
+            texts = (text.as_py() for text in batch.column(1))  # they become Python strings one at a time
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(texts)):
+                ids += end
+                group.append((doc_id, ids))
                 tokens += len(ids) // 4
                 if len(group) >= GROUP_DOCUMENTS or tokens >= GROUP_TOKENS:
                     out, base, step = emit(group, base, step)

@@ -85,9 +85,10 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID,
             return pa.RecordBatch.from_pylist([row], _ARROW)
 
         for batch in batches:
-            for at in range(batch.num_rows):
-                ids = next(encoder.encode([batch.column(1)[at].as_py()])) + end
-                docs_here.append((batch.column(0)[at].as_py(), total, len(ids) // 4))
+            texts = (text.as_py() for text in batch.column(1))  # they become Python strings one at a time
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(texts)):
+                ids += end
+                docs_here.append((doc_id, total, len(ids) // 4))
                 total += len(ids) // 4
                 waiting += ids
                 while len(waiting) >= 4 * chunk_ids:

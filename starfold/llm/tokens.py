@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-#: Distinct words whose ids a worker remembers; beyond it the memory is emptied, which costs time only.
-REMEMBERED_WORDS = 200_000
-#: Longer words are encoded each time.
-REMEMBERED_LENGTH = 64
+#: Distinct words in a generation of a worker's memory, of which there are two, and characters of a longer word.
+REMEMBERED_WORDS, REMEMBERED_LENGTH = 400_000, 64
+#: Characters of text that are looked up together.
+TOGETHER = 1 << 20
+
+#: ASCII punctuation that ends a word. A vocabulary that splits letters, digits and other characters apart gives the
+#: same ids with a blank before it, and words repeat more often without it.
+_ENDING = re.compile(r"(?<=[^\W_])[!-/:-@\[-^`{-~]+(?=[ \t\r\n]|\Z)")
 
 
 class TokenIds:
@@ -18,8 +23,9 @@ class TokenIds:
 
     The vocabularies in use split at white space before anything else, so the ids
     of a text are those of its blank-separated words in order. Words repeat far
-    more than texts do: each is encoded once and remembered. ``tests/llm`` compares
-    the ids with those of encoding whole texts at once.
+    more than texts do: each is encoded once and remembered. When the memory is
+    full, words not seen since it was last full go. ``tests/llm`` compares the ids
+    with those of encoding whole texts at once.
     """
 
     def __init__(self, path: str):
@@ -27,23 +33,57 @@ class TokenIds:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        how = self._tokenizer.__getstate__().decode()
+        self._lower = '"Lowercase"' in how
+        self._apart = "[\\\\p{L}]+|[\\\\p{N}]|[^\\\\s\\\\p{L}\\\\p{N}]+" in how and '"behavior":"Removed"' in how
         self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers; a null text has none."""
+        waiting: list[list[str]] = []
+        size = 0
         for text in texts:
-            words = (text or "").replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ")
-            yield b"".join(self._ids(words))
-
-    def _ids(self, words: list[str]) -> list[bytes]:
-        known = self._known
-        missing = [word for word in set(words) if word not in known]
-        if not missing:
-            return [known[word] for word in words]
-        if len(known) + len(missing) > REMEMBERED_WORDS:
-            known.clear()
-            missing = list(set(words))
-        encoded = self._tokenizer.encode_batch(missing, add_special_tokens=False)
-        fresh = {word: np.asarray(one.ids, "<u4").tobytes() for word, one in zip(missing, encoded)}
-        known.update((word, ids) for word, ids in fresh.items() if len(word) <= REMEMBERED_LENGTH)
-        return [known[word] if word in known else fresh[word] for word in words]
+            waiting.append(self._words(text or ""))
+            size += len(text or "")
+            if size >= TOGETHER:
+                yield from self._ids(waiting)
+                waiting, size = [], 0
+        yield from self._ids(waiting)
+
+    def _words(self, text: str) -> list[str]:
+        if "<|" not in text:  # else it may spell a special token
+            if self._lower and text.isascii():  # as the vocabulary does, so that fewer words differ
+                text = text.lower()
+            if self._apart:
+                text = _ENDING.sub(r" \g<0>", text)
+        return text.replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ")
+
+    def _encode_apart(self, words: list[str]) -> list[bytes]:
+        """The ids of each word, encoded as one text and split by where tokens begin in it."""
+        encoded = self._tokenizer.encode(" ".join(words), add_special_tokens=False)
+        starts = np.cumsum([0] + [len(word) + 1 for word in words[:-1]])
+        ids = np.array(encoded.ids, "<u4")
+        begins = np.fromiter((begin for begin, _ in encoded.offsets), np.int64, len(ids))
+        ends = np.append(np.searchsorted(begins, starts[1:]), len(ids))
+        return [ids[b:e].tobytes() for b, e in zip(np.append(0, ends[:-1]).tolist(), ends.tolist())]
+
+    def _ids(self, texts: list[list[str]]) -> Iterator[bytes]:
+        known, older = self._known, self._older
+        missing = []
+        for word in set().union(*texts).difference(known):
+            ids = older.get(word)
+            if ids is None:
+                missing.append(word)
+            else:
+                known[word] = ids
+        long = [word for word in missing if len(word) > REMEMBERED_LENGTH]
+        for at in range(0, len(missing), 2000):
+            some = missing[at:at + 2000]
+            known.update(zip(some, self._encode_apart(some)))
+        for words in texts:
+            yield b"".join([known[word] for word in words])
+        for word in long:
+            del known[word]
+        if len(known) > REMEMBERED_WORDS:
+            self._known, self._older = {}, known
