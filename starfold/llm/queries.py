@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, written
 from ..sources.tables import read_table
-from . import kmtree, mixing, packing, pii, planes, simhash, spotsigs, urls
+from . import cotraining, kmtree, mixing, packing, pii, planes, rollups, simhash, spotsigs, urls
 from .base import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -65,6 +65,45 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         pii.digest(F.col("spans")).alias("spans"))
 
 
+@query("op4_quality_classifier")
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    model = cotraining.train(docs, read_table(spark, sf_dir, "labels"))
+    scores = cotraining.score(docs, model).drop("text", "source", "lang")
+    return scores.withColumn("kept", F.col("score") >= cotraining.REJECT_BELOW)
+
+
+@query("op5_token_rollups", r"""
+WITH counted AS (
+  SELECT doc_id, source, lang, text, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS words,
+         coalesce(len(regexp_extract_all(text, '\p{L}+|\p{N}|[^\x09-\x0D\x20\p{L}\p{N}]')), 0) AS pieces,
+         row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id NULLS LAST) AS copy FROM documents)
+SELECT source, lang, v.tokenizer_version, count(*) AS docs,
+       sum(CASE WHEN v.tokenizer_version = 'words-1' THEN words ELSE pieces END)::DECIMAL(38, 0) AS tokens
+FROM counted, (VALUES ('words-1'), ('pieces-2')) v(tokenizer_version)
+WHERE copy = 1 GROUP BY ALL""")
+def op5_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Insert all documents, withdraw exact copies, recount under a newer tokenizer; each batch is sent twice."""
+    text = F.coalesce("text", F.lit(""))
+    docs = written(read_table(spark, sf_dir, "documents").select(
+        "doc_id", "source", "lang", F.struct(F.xxhash64(text).alias("a"), F.hash(text).alias("b"), F.length(text).alias("c")).alias("same"),
+        *[rollups.token_count(F.col("text"), v).alias(v.replace("-", "_")) for v in rollups.PATTERNS]), "counted")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id")
+    kept = docs.groupBy("same").agg(F.min_by(F.struct("source", "lang", "words_1", "pieces_1", "pieces_2"), order).alias("k")).select("k.*")
+    both = lambda rows, sign: rollups.changes(rows, "words-1", sign, F.col("words_1")).union(
+        rollups.changes(rows, "pieces-1", sign, F.col("pieces_1")))
+    store = rollups.Rollup(spark, scratch_path(spark, "rollup"))
+    batches = [
+        ("load", both(docs, 1)),
+        ("withdraw copies", both(docs, -1).union(both(kept, 1))),
+        ("recount", rollups.revised(kept, "pieces-1", "pieces-2", F.col("pieces_1"), F.col("pieces_2"))),
+    ]
+    for batch, delta in batches:
+        store.commit(batch, delta)
+        store.commit(batch, delta)
+    return store.totals()
+
+
 def _url_sql() -> str:
     """The verdicts by regular expressions, with the terms and rules written out."""
     return r"""
