@@ -255,10 +255,11 @@ def train(docs: DataFrame, labels: DataFrame, most_labelled: int = LABELLED, mos
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
     """``docs`` with ``text_score``, ``metadata_score`` and ``score``, the probabilities of good quality.
 
-    All columns stay. A null text is empty; sources and languages that were not
+    All columns stay, but one that has the name of a score is replaced. A null text is empty; sources and languages that were not
     seen (null among them) only add nothing. Without a model all scores are 1.
     """
     names = ("text_score", "metadata_score", "score")
+    docs = docs.drop(*names)
     if model is None:
         return docs.select("*", *[F.lit(1.0).alias(n) for n in names])
     columns = {c.lower(): c for c in docs.columns}
