@@ -153,20 +153,22 @@ def fit_view(rows: Rows, size: int, labels: np.ndarray, importance: np.ndarray,
 
 
 def calibrate(odds: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Slope and constant that turn odds of held-out rows into log-odds (Platt scaling with smoothed targets; the slope stays near 1 where rows are few)."""
+    """Slope and constant that turn odds of held-out rows into log-odds (Platt scaling with smoothed targets, over standardised odds)."""
     n = np.bincount(labels, minlength=2)
     target = np.where(labels == 1, (n[1] + 1) / (n[1] + 2), 1 / (n[0] + 2))
+    spread = float(odds.std()) or 1.0
+    odds = odds / spread
     slope, constant = 1.0, 0.0
     for _ in range(50):  # Newton steps on two parameters
         p = _sigmoid(slope * odds + constant)
         w = np.maximum(p * (1 - p), 1e-6)
-        g = np.array([((p - target) * odds).sum() + (slope - 1), (p - target).sum()])
-        h = np.array([[(w * odds * odds).sum() + 1, (w * odds).sum()], [(w * odds).sum(), w.sum() + 1e-6]])
+        g = np.array([((p - target) * odds).sum() + 1e-2 * slope, (p - target).sum()])
+        h = np.array([[(w * odds * odds).sum() + 1e-2, (w * odds).sum()], [(w * odds).sum(), w.sum() + 1e-6]])
         change = np.linalg.solve(h, g)
         slope, constant = slope - change[0], constant - change[1]
         if abs(change).max() < 1e-8:
             break
-    return max(0.0, float(slope)), float(constant)
+    return max(0.0, float(slope)) / spread, float(constant)
 
 
 @dataclass
