@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tokens import TokenIds
+from .tokens import shared
 
 TIERS = (2048, 1024, 512, 256)
 END_ID = 1
@@ -164,7 +164,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, tiers: Sequence[int] = TIERS
         return batch, base + len(windows), step_base + max(steps, default=-1) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TokenIds(tokenizer)
+        encoder = shared(tokenizer)
         base = step = TaskContext.get().partitionId() << 40
         group: list[tuple[int | None, bytes]] = []
         tokens = 0

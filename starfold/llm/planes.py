@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .tokens import TokenIds
+from .tokens import shared
 
 CHUNK_IDS = 65_536
 END_ID = 2
@@ -67,7 +67,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID,
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard = TokenIds(tokenizer), TaskContext.get().partitionId()
+        encoder, shard = shared(tokenizer), TaskContext.get().partitionId()
         waiting, first, chunk, ordinal, total = bytearray(), 0, 0, 0, 0
         docs_here: list[tuple[int | None, int, int]] = []
         head = 0  # ids of the chunk to come that belong to a document begun before it
@@ -154,8 +154,10 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
 
     @F.udf("bigint")
     def joined(parts):
-        crc = 0
-        for part in parts:
+        if parts is None:
+            return None
+        crc = parts[0]["crc"]
+        for part in parts[1:]:
             crc = crc32_join(crc, part["crc"], 4 * part["size"])
         return crc
 
@@ -167,7 +169,8 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per task that wrote
     shards = chunks.groupBy("shard").agg(F.sum("n_ids").alias("_ids")).select(
         "shard", F.coalesce(F.sum("_ids").over(before), F.lit(0)).alias("_before"))
-    crc = F.when(F.size("_parts") == 1, F.col("_parts")[0]["crc"]).otherwise(joined("_parts"))
+    several = joined(F.when(F.size("_parts") > 1, F.col("_parts")))  # a function of Python sees every row, so the others are null
+    crc = F.coalesce(several, F.col("_parts")[0]["crc"])
     return whole.join(shards, "shard").select(
         "doc_id", (F.col("_before") + F.col("begin")).alias("start"), "n_tokens", crc.alias("ids_crc32"))
 

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .base import WORD
-from .tokens import TokenIds
+from .tokens import shared
 
 KEYS = ("source", "lang", "tokenizer_version")
 SCHEMA = "source string, lang string, tokenizer_version string, docs bigint, tokens decimal(38,0)"
@@ -40,7 +40,7 @@ def token_count(text: Column, version: str) -> Column:
 
     @F.arrow_udf("bigint")
     def counted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = TokenIds(version)
+        encoder = shared(version)
         for batch in batches:
             yield pa.array([len(ids) // 4 for ids in encoder.encode(t.as_py() for t in batch)], pa.int64())
 

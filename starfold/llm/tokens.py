@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 
@@ -88,3 +89,9 @@ class TokenIds:
             del known[word]
         if len(known) > REMEMBERED_WORDS:
             self._known, self._older = {}, known
+
+
+@lru_cache(maxsize=2)
+def shared(path: str) -> TokenIds:
+    """The encoder of a vocabulary that the tasks of a worker process share, so that each finds the words of those before."""
+    return TokenIds(path)
