@@ -50,7 +50,7 @@ def size_split(s: Source):
 
 @query("t5_certificates", with_views("lotes", f"""SELECT lote_id AS certificado_id, lote_id, tipo_certificado, {_ENTRY} AS fecha_emision,
     CAST(fecha_cosecha + 367 AS DATE) AS fecha_caducidad, {pick(['AENOR', 'CAAE', 'Bureau Veritas', 'SGS'], 'lote_id')} AS entidad_certificadora,
-    'CERT-' || lpad(CAST(lote_id AS VARCHAR), 6, '0') AS numero_certificado FROM lotes"""))
+    'CERT-' || lpad(CAST(lote_id AS VARCHAR), greatest(6, length(CAST(lote_id AS VARCHAR)))::INT, '0') AS numero_certificado FROM lotes"""))
 def certificates(s: Source):
     return s.warehouse.oltp["certificados"]
 
@@ -101,7 +101,7 @@ def price_list(s: Source):
 
 @query("t9_shipments", with_views("costes_envio", """SELECT pedido_id AS envio_id, pedido_id, ruta_id, ruta_id AS transitario_id, CAST(fecha_pedido + 1 AS DATE) AS fecha_envio,
     CAST(fecha_pedido + 1 + dias_estimados AS DATE) AS fecha_entrega_estimada, CAST(fecha_pedido + 1 + dias AS DATE) AS fecha_entrega_real,
-    kilos_pedido AS kilos_totales, 'CONT-' || lpad(CAST(pedido_id AS VARCHAR), 6, '0') AS numero_contenedor,
+    kilos_pedido AS kilos_totales, 'CONT-' || lpad(CAST(pedido_id AS VARCHAR), greatest(6, length(CAST(pedido_id AS VARCHAR)))::INT, '0') AS numero_contenedor,
     CAST(ROUND(kilos_pedido * coste_kg, 2) AS DECIMAL(18,2)) AS coste_envio_total, CAST(coste_kg AS DECIMAL(10,4)) AS coste_por_kg,
     CASE WHEN pedido_id % 7 = 0 THEN 'incidencia' WHEN pedido_id % 5 = 0 THEN 'aduana' ELSE 'entregado' END AS estado FROM costes_envio"""))
 def shipments(s: Source):
@@ -116,7 +116,7 @@ def customs(s: Source):
 
 
 @query("t11_shipment_incidents", with_views("envios", f"""SELECT pedido_id // 4 AS incidencia_envio_id, pedido_id AS envio_id, CAST(fecha_pedido + 3 AS DATE) AS fecha_incidencia,
-    {pick(derive.SHIPMENT_INCIDENTS, 'pedido_id')} AS tipo_incidencia, 'Incidencia registrada en el envio CONT-' || lpad(CAST(pedido_id AS VARCHAR), 6, '0') AS descripcion,
+    {pick(derive.SHIPMENT_INCIDENTS, 'pedido_id')} AS tipo_incidencia, 'Incidencia registrada en el envio CONT-' || lpad(CAST(pedido_id AS VARCHAR), greatest(6, length(CAST(pedido_id AS VARCHAR)))::INT, '0') AS descripcion,
     CAST(20 + pedido_id % 30 AS DECIMAL(10,2)) AS coste_adicional, {pick(derive.RESPONSIBLE, 'pedido_id')} AS responsable FROM envios WHERE pedido_id % 4 = 0"""))
 def shipment_incidents(s: Source):
     return s.warehouse.oltp["incidencias_envio"]

@@ -18,7 +18,7 @@ def codes(s: Source):
     """Zero-padded codes (cut when longer) and concatenation, NULL when a part is."""
     key = F.col("c_custkey")
     return s.customer.select(
-        key, F.concat(F.lit("CLI-"), text.zero_pad(key, 3), F.lit("A")).alias("codigo"),
+        key, F.concat(F.lit("CLI-"), text.fixed_pad(key, 3), F.lit("A")).alias("codigo"),
         F.concat(F.lit("X"), F.nullif(key % 5, F.lit(0)).cast("string")).alias("con_nulo"))
 
 

@@ -93,14 +93,17 @@ TARGETS = [("ECONOMY", 300000000), ("SMALL", 250000000), ("MEDIUM", 200000000),
 _TARGET_ROWS = ", ".join(f"('{f}', {t})" for f, t in TARGETS)
 
 
-@query("d19_kpi_report", with_views("hechos", f"""
+KPI_SQL = with_views("hechos", f"""
     SELECT familia_producto, ingresos_reales, costes_totales, margen_total, objetivo,
       CAST(CAST(sign(margen_total) * ((2 * CAST(abs(margen_total) * 100 AS HUGEINT) * 1000000000000 + CAST(ingresos_reales * 100 AS HUGEINT))
         // (2 * CAST(ingresos_reales * 100 AS HUGEINT))) AS DECIMAL(18,0)) * CAST(0.0000000001 AS DECIMAL(11,10)) AS DECIMAL(28,10)) AS pct_margen,
       CASE WHEN objetivo > 0 THEN CAST(CAST((2 * CAST(ingresos_reales * 100 AS HUGEINT) * 1000000000000 + CAST(objetivo AS HUGEINT) * 100)
         // (2 * CAST(objetivo AS HUGEINT) * 100) AS DECIMAL(18,0)) * CAST(0.0000000001 AS DECIMAL(11,10)) AS DECIMAL(28,10)) END AS pct_objetivo
     FROM (SELECT k.*, COALESCE(o.objetivo_ingresos, 0) AS objetivo FROM ({question_body('a7', True)}) k
-      LEFT JOIN (VALUES {_TARGET_ROWS}) o(familia_producto, objetivo_ingresos) USING (familia_producto))"""))
+      LEFT JOIN (VALUES {_TARGET_ROWS}) o(familia_producto, objetivo_ingresos) USING (familia_producto))""")
+
+
+@query("d19_kpi_report", KPI_SQL)
 def kpi(s: Source):
     targets = inline_table(s.spark, TARGETS, "familia_producto string, objetivo_ingresos int")
     return kpi_report(ask_star(s.warehouse.star, QUESTIONS["a7"]), targets)

@@ -9,9 +9,9 @@ from ..plans.kpi import kpi_report, write_report
 from ..plans.questions import QUESTIONS, ask_star
 from ..schemas import OLTP
 from ..session import scratch_path
-from ..sinks import VersionedLayer, append, append_rejects, write_csv_report, write_partitioned
+from ..sinks import VersionedLayer, append, append_rejects, read_rejects, write_csv_report, write_partitioned
 from ..sources import conform, inline_table, read_csv_typed, read_query, register_views, series
-from .questions import TARGETS, question_body
+from .questions import KPI_SQL, TARGETS
 from .registry import Source, query
 from .sql import with_views
 
@@ -113,16 +113,38 @@ def csv_round_trip(s: Source):
     return read_csv_typed(s.spark, path, "cliente_id BIGINT, nombre STRING, saldo DECIMAL(12,2)")
 
 
-@query("k4_kpi_file", with_views("hechos", f"SELECT familia_producto, ingresos_reales, costes_totales, margen_total FROM ({question_body('a7', True)})"))
+@query("k4_kpi_file", KPI_SQL)
 def kpi_file(s: Source):
-    """The KPI report written with its masks and read back."""
+    """The KPI report written with its masks and read back whole: amounts with a point, percentages with a comma."""
     targets = inline_table(s.spark, TARGETS, "familia_producto string, objetivo_ingresos int")
     path = scratch_path(s.spark, "kpi")
     write_report(kpi_report(ask_star(s.warehouse.star, QUESTIONS["a7"]), targets), path)
     amounts = "ingresos_reales DECIMAL(24,2), costes_totales DECIMAL(24,2), margen_total DECIMAL(24,2)"
     report = read_csv_typed(s.spark, path, f"familia_producto STRING, {amounts}, objetivo INT, pct_margen STRING, pct_objetivo STRING",
                             decimal=".", group="")
-    return report.select("familia_producto", "ingresos_reales", "costes_totales", "margen_total")
+    percents = {c: F.regexp_replace(c, "^(-?[0-9]*),", "$1.").cast("decimal(28,10)") for c in ("pct_margen", "pct_objetivo")}
+    return report.withColumns(percents)
+
+
+@query("k2_empty_rejects", "SELECT CAST(0 AS BIGINT) AS filas")
+def empty_rejects(s: Source):
+    """A run that rejects nothing leaves a log that can be read."""
+    path = scratch_path(s.spark, "rejects")
+    rejects = s.lineitem.filter("l_quantity < 0")
+    append_rejects(rejects, path, "run-1")
+    return read_rejects(s.spark, path, rejects.schema).agg(F.count(F.lit(1)).alias("filas"))
+
+
+@query("k6_empty_increment", "SELECT CAST(year(o_orderdate) AS INT) AS anio, COUNT(*) AS pedidos FROM orders GROUP BY 1")
+def empty_increment(s: Source):
+    """A load without rows changes nothing, before or after others."""
+    orders = s.orders.withColumn("anio", F.year("o_orderdate"))
+    layer, by = VersionedLayer(s.spark, scratch_path(s.spark, "layer")), {"pedidos": ["anio"]}
+    nothing = orders.filter("o_orderkey < 0")
+    layer.publish({"pedidos": nothing}, partition_by=by)
+    layer.publish(append={"pedidos": orders}, partition_by=by)
+    layer.publish(append={"pedidos": nothing}, partition_by=by)
+    return layer.read("pedidos").groupBy("anio").agg(F.count(F.lit(1)).alias("pedidos"))
 
 
 @query("k5_rebuild_layer", "SELECT c_mktsegment, COUNT(*) AS clientes, CAST(SUM(CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END) AS BIGINT) AS deudores FROM customer GROUP BY c_mktsegment")

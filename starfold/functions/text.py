@@ -13,7 +13,13 @@ def as_col(c: Column | str) -> Column:
 
 
 def zero_pad(c: Column | str, width: int) -> Column:
-    """Left-pad with zeros; like SQL ``LPAD`` a longer text is cut to ``width``."""
+    """Left-pad with zeros to at least ``width``; a longer text stays whole, so codes of distinct numbers stay distinct."""
+    text = as_col(c).cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))
+
+
+def fixed_pad(c: Column | str, width: int) -> Column:
+    """SQL ``LPAD``: exactly ``width`` characters, a longer text is cut. Not for identifiers."""
     return F.lpad(as_col(c).cast("string"), width, "0")
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Sequence
 from functools import reduce
@@ -15,7 +14,6 @@ SALT = "_salt"
 
 
 _SKETCH_GROUPS, _SKETCH_ITEMS = 256, 100
-_UNITS = {unit: 1024**i for i, unit in enumerate(("B", "KiB", "MiB", "GiB", "TiB", "PiB", "EiB"))}
 
 
 def broadcast_limit(df: DataFrame) -> int:
@@ -23,14 +21,9 @@ def broadcast_limit(df: DataFrame) -> int:
     return df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
 
-def estimated_bytes(df: DataFrame) -> float:
-    """Catalyst's size estimate (file sizes scaled by the columns kept).
-
-    Read from the printed statistics: the number itself may exceed a long.
-    """
-    printed = df._jdf.queryExecution().optimizedPlan().stats().simpleString()
-    size, unit = re.search(r"sizeInBytes=([0-9.E+]+) (\w+)", printed).groups()
-    return float(size) * _UNITS[unit]
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate (file sizes scaled by the columns kept); it may exceed a long."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def is_small(df: DataFrame) -> bool:
@@ -38,26 +31,6 @@ def is_small(df: DataFrame) -> bool:
     return estimated_bytes(df) <= broadcast_limit(df)
 
 
-def row_bytes(schema: T.StructType) -> int:
-    """Generous in-memory width of a row; texts are taken as 64 characters."""
-    fixed = {T.BooleanType: 8, T.IntegerType: 8, T.LongType: 8, T.DateType: 8, T.DoubleType: 8}
-    return 16 + sum(fixed.get(type(f.dataType), 24 if isinstance(f.dataType, T.DecimalType) else 80) for f in schema.fields)
-
-
-def bounded_join(big: DataFrame, side: DataFrame, key: str, rows: int, hot: Sequence[int] = ()) -> DataFrame:
-    """Inner join to a ``side`` of at most ``rows`` rows, a bound the caller knows.
-
-    Catalyst multiplies sizes through joins, so a joined side always looks huge
-    and the other side may be broadcast in its place. Within the broadcast limit
-    ``side`` is broadcast; beyond it both sides are shuffled, hot keys salted.
-    """
-    if rows * row_bytes(side.schema) <= broadcast_limit(side):
-        return big.join(F.broadcast(side), key)
-    if hot:
-        return salted_join(big, side, [key], hot)
-    return big.join(side.hint("merge"), key)
-
-
 def any_null(cols: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
 

@@ -18,7 +18,7 @@ def lookup(
     values: Mapping[str, tuple[str, object]],
     first_by: Sequence[Column | str] | None = None,
 ) -> DataFrame:
-    """Left lookup: every row of ``df`` is kept, a missing match gives the default.
+    """Left lookup: every row of ``df`` is kept, a missing match gives the default, a matched NULL stays NULL.
 
     ``keys`` maps columns of ``df`` to columns of ``ref``; ``values`` maps columns
     of ``ref`` to (output name, default). With ``first_by`` several matches are
@@ -30,18 +30,19 @@ def lookup(
     side = ref.select(
         *[F.col(r).alias(d) for d, r in keys.items()],
         *[F.col(r).alias(f"_v_{name}") for r, (name, _) in values.items()],
+        F.lit(True).alias("_found"),
     )
     joined = skew_join(df, side, list(keys), "left")
     kept = [c for c in df.columns if c not in {name for name, _ in values.values()}]
     return joined.select(
         *kept,
-        *[F.coalesce(F.col(f"_v_{name}"), F.lit(default)).alias(name) for name, default in values.values()],
+        *[F.when(F.col("_found"), F.col(f"_v_{name}")).otherwise(F.lit(default)).alias(name) for name, default in values.values()],
     )
 
 
 def orphans(df: DataFrame, ref: DataFrame, keys: Mapping[str, str]) -> DataFrame:
     """Rows of ``df`` without a partner in ``ref``; a NULL key has none."""
-    side = ref.select(*[F.col(r).alias(d) for d, r in keys.items()])
+    side = ref.select(*[F.col(r).alias(d) for d, r in keys.items()]).distinct()  # a hot key of ``ref`` combines before the shuffle
     return skew_join(df, side, list(keys), "left_anti").select(*df.columns)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import add_days
-from ..functions.numbers import dec, money, rounded
+from ..functions.numbers import dec, money, rounded, safe_ratio
 from ..functions.text import cycle, map_values, zero_pad
 from ..operators.reshape import expand_list, unpivot_exprs
 
@@ -267,7 +267,7 @@ def lot_costs(lots: DataFrame) -> DataFrame:
         F.col("lote_id").alias("coste_lote_id"), "lote_id",
         *[part.alias(name) for name, part in parts.items()],
         total.alias("coste_total_produccion"),
-        rounded(total / F.col("kilos_lote"), 4, 10).alias("coste_por_kg"),
+        rounded(safe_ratio(total, "kilos_lote"), 4, 10).alias("coste_por_kg"),
     )
 
 
@@ -282,7 +282,7 @@ def shipping_costs(shipments: DataFrame) -> DataFrame:
         rounded(transport, 2, 18).alias("coste_transporte"),
         *[part.alias(name) for name, part in parts.items()],
         rounded(total, 2, 18).alias("coste_total_logistica"),
-        rounded(total / F.col("kilos_totales"), 4, 10).alias("coste_por_kg"),
+        rounded(safe_ratio(total, "kilos_totales"), 4, 10).alias("coste_por_kg"),
     )
 
 

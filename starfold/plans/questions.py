@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import days_between
 from ..functions.numbers import safe_ratio
-from ..operators.joins import bounded_join, is_small, skew_join
+from ..operators.joins import is_small, skew_join
+from ..session import written
 from .snow import products_with_family
 from .star import commercial_category, dominant_size, route_attributes
 
@@ -237,10 +238,9 @@ def ask_oltp(t: Tables, q: Question, hot: Mapping[str, Sequence[int]] | None = N
     """
     hot = hot or {}
     lines = t["detalle_pedido"].select("pedido_id", "lote_id", "kilos_solicitados", "importe_neto")
-    halves = (("lote_id", oltp_lots(t, q.keys), "cosechas"), ("pedido_id", oltp_orders(t, q.keys, hot), "pedidos"))
-    for key, side, parent in halves:
-        # A half has at most one row per row of its parent, whose count is in the file footers.
-        lines = bounded_join(lines, side, key, t[parent].count(), hot.get(key, ()))
+    for key, half in (("lote_id", oltp_lots(t, q.keys)), ("pedido_id", oltp_orders(t, q.keys, hot))):
+        # Written once: its true size, not the product of estimates, decides how the lines meet it.
+        lines = skew_join(lines, written(half, f"half-{key}"), key, hot=hot.get(key, ()))
     return answer(lines, q, line_measure)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import add_days
-from ..functions.numbers import dec, money, rounded
+from ..functions.numbers import dec, money, rounded, safe_ratio
 from ..functions.text import cycle, map_values, zero_pad
 from ..sources.tables import read_table
 from . import derive
@@ -161,7 +161,7 @@ def oltp_builders(spark: SparkSession, folder: str, t: Mapping[str, DataFrame])
             (F.col("l_orderkey") + 1).alias("pedido_id"), (F.col("l_partkey") + 1).alias("lote_id"),
             quantity.alias("kilos_solicitados"),
             F.ceil(F.col("l_quantity") / 5).cast("int").alias("cajas_solicitadas"),
-            rounded(gross / quantity, 2, 10).alias("precio_unitario_kg"),
+            rounded(safe_ratio(gross, quantity), 2, 10).alias("precio_unitario_kg"),
             discount.alias("descuento_porcentaje"),
             gross.alias("importe_bruto"),
             rounded(gross * (1 - dec("l_discount", 5, 2)), 2).alias("importe_neto"),

@@ -21,7 +21,6 @@ NATURAL_KEYS = {
     "dim_calidad": ("calidad_sk", ["lote_id"]),
     "dim_logistica": ("logistica_sk", ["ruta_id"]),
 }
-_CALENDAR_LIKE = ("dim_tiempo", "dim_campania")
 
 
 def family_dim(products: DataFrame) -> DataFrame:
@@ -36,9 +35,9 @@ def snow_product_dim(products: DataFrame, families: DataFrame) -> DataFrame:
 
 
 def conformed_copy(star_dim: DataFrame, name: str) -> DataFrame:
-    """Copy of a star dimension with keys of its own, in natural-key order."""
-    sk, natural = NATURAL_KEYS[name]
-    return assign_sk(star_dim.drop(sk), sk, natural, bounded=name in _CALENDAR_LIKE)
+    """The star dimension itself: both models number it in the order of its natural key, so the keys agree."""
+    sk, _ = NATURAL_KEYS[name]
+    return star_dim.select(sk, *[c for c in star_dim.columns if c != sk])
 
 
 def dimensions(star: Mapping[str, DataFrame], snow: Mapping[str, DataFrame]) -> dict:
@@ -52,13 +51,13 @@ def dimensions(star: Mapping[str, DataFrame], snow: Mapping[str, DataFrame]) ->
 
 
 def snow_fact(fact: DataFrame, star: Mapping[str, DataFrame], snow: Mapping[str, DataFrame]) -> DataFrame:
-    """The star fact re-keyed to the snowflake dimensions through natural keys."""
+    """The star fact with the products' keys of the snowflake model, through their natural key.
+
+    The other dimensions are conformed: they are the star's, keys included.
+    """
+    sk, natural = NATURAL_KEYS["dim_producto"]
     # Written once: the pairs' true size, not an estimate of their join, decides how the fact meets them.
-    maps = {
-        sk: written(key_map(star[name], snow[name], sk, natural), f"map-{sk}")
-        for name, (sk, natural) in NATURAL_KEYS.items()
-    }
-    return rekey(fact, maps)
+    return rekey(fact, {sk: written(key_map(star["dim_producto"], snow["dim_producto"], sk, natural), f"map-{sk}")})
 
 
 def products_with_family(snow: Mapping[str, DataFrame]) -> DataFrame:

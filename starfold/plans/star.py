@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import calendar_parts, days_between
-from ..functions.numbers import dec, flag, money, rounded
+from ..functions.numbers import dec, flag, money, rounded, safe_ratio
 from ..operators.dedup import top1_per_group
 from ..operators.joins import skew_join, skewed
 from ..operators.keys import assign_sk
@@ -225,7 +225,7 @@ def fact_measures(lines: DataFrame) -> DataFrame:
         rounded(logistic, 2).alias("coste_logistico"),
         rounded(product + logistic, 2).alias("coste_total"),
         rounded(net - (product + logistic), 2).alias("margen"),
-        rounded(net / kilos, 4).alias("precio_medio_kg"),
+        rounded(safe_ratio(net, kilos), 4).alias("precio_medio_kg"),
         "tiempo_entrega_dias",
         "anio_pedido",
     )

@@ -54,7 +54,7 @@ def write_fact(spark: SparkSession, fact: DataFrame, label: str) -> DataFrame:
     """Write a fact partitioned by year, so that loads and slices touch few files."""
     path = scratch_path(spark, label)
     write_partitioned(fact, path, ["anio_pedido"])
-    return spark.read.parquet(path)
+    return spark.read.schema(fact.schema).parquet(path)  # also when it has no rows
 
 
 class Warehouse:
@@ -73,7 +73,7 @@ class Warehouse:
             self.oltp.define(name, builder)
         self.star = LazyTables(star_plans.dimensions(self.oltp, catalog), lambda n: n.startswith("dim_"), "star")
         self.star.define("fact_exportaciones", self._star_fact)
-        self.snow = LazyTables({}, lambda n: n.startswith("dim_"), "snow")
+        self.snow = LazyTables({}, lambda n: n in ("dim_producto", "dim_familia_producto"), "snow")
         for name, builder in snow_plans.dimensions(self.star, self.snow).items():
             self.snow.define(name, builder)
         self.snow.define("fact_exportaciones", self._snow_fact)

@@ -40,13 +40,13 @@ def build_session(app_name: str = "starfold", master: str | None = None, **conf:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
-    A local master may fall back to a temporary folder, since there driver and
-    executors are one process. On a cluster an unset folder is an error.
+    A master of threads (``local[...]``) may fall back to a temporary folder, since there driver and
+    executors are one process. On any cluster, ``local-cluster`` included, an unset folder is an error.
     """
     context = spark.sparkContext
     folder = context.getConf().get("spark.checkpoint.dir") or _local_folders.get(context.applicationId)
     if folder is None:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="starfold-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)

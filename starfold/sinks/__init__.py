@@ -1,8 +1,8 @@
 """Writers: appends, reject logs, CSV reports, versioned layers, databases."""
 
-from .append import append, append_rejects, write_partitioned
+from .append import append, append_rejects, read_rejects, write_partitioned
 from .databases import save_database
 from .report import write_csv_report
 from .versions import VersionedLayer
 
-__all__ = ["VersionedLayer", "append", "append_rejects", "save_database", "write_csv_report", "write_partitioned"]
+__all__ = ["VersionedLayer", "append", "append_rejects", "read_rejects", "save_database", "write_csv_report", "write_partitioned"]

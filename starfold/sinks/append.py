@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -17,6 +18,11 @@ def append_rejects(df: DataFrame, path: str, run_id: str) -> None:
     append(df.withColumn("run_id", F.lit(run_id)), path, ["run_id"])
 
 
+def read_rejects(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The reject log of rows of ``schema``; it may be empty."""
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("run_id", T.StringType())])).parquet(path)
+
+
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], mode: str = "errorifexists") -> None:
     """Write by partition without a flood of small files.
 

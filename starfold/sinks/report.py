@@ -7,9 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: More rows than this are written as several part files.
-SINGLE_FILE_ROWS = 100_000
-
 
 def write_csv_report(
     df: DataFrame,
@@ -18,18 +15,21 @@ def write_csv_report(
     masks: Mapping[str, Column] | None = None,
     line_sep: str = "\n",
     order_by: Sequence[Column | str] = (),
+    files: int | None = None,
 ) -> None:
     """Overwrite ``path`` with delimited text: header, quotes only where needed, UTF-8.
 
-    ``masks`` replace columns by their text form. A report that fits
-    ``SINGLE_FILE_ROWS`` (counted, not assumed) becomes one file; a larger one is
-    sorted and written in parallel.
+    ``masks`` replace columns by their text form. ``order_by`` sorts the whole
+    report, part file after part file. ``files`` asks for a number of part files,
+    whatever the report's size; without it Spark writes in parallel. What leads to the
+    report runs in parallel either way: only its own rows are brought together.
     """
-    if df.limit(SINGLE_FILE_ROWS + 1).count() <= SINGLE_FILE_ROWS:
-        source = df.coalesce(1)
-        source = source.sortWithinPartitions(*order_by) if order_by else source
-    else:
+    if files is None:
         source = df.orderBy(*order_by) if order_by else df
+    elif order_by:
+        source = df.repartitionByRange(files, *order_by).sortWithinPartitions(*order_by) if files > 1 else df.repartition(1).sortWithinPartitions(*order_by)
+    else:
+        source = df.repartition(files)
     text = source.select(*[(masks or {}).get(c, F.col(c)).alias(c) for c in df.columns])
     (
         text.write.mode("overwrite")

@@ -3,24 +3,27 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from .append import write_partitioned
 
 _MANIFEST = "manifest.json"
+_LOAD = "_load"
 
 
 class VersionedLayer:
-    """A folder with one sub-folder per version; readers see the last published one.
-
-    Parquet has no transaction across tables. A load writes its tables into a new
-    version and creates the manifest last: creating one file is atomic on every
-    Hadoop file system, so a failed load leaves the former version in place. The
-    manifest lists the folders of each table, so a version can add rows to a table
-    without rewriting what earlier versions wrote.
+    """A folder of tables and one of versions; readers see the last published version.
+
+    Parquet has no transaction across tables. A load writes its rows into folders
+    of its own and publishes a manifest last: it is written under another name and
+    renamed, so readers see it whole or not at all, and a failed load leaves the
+    former version in place. The manifest holds each table's schema and the loads
+    it consists of, so a version can add rows without rewriting what earlier ones
+    wrote, a load without rows needs no file, and a table is read in one scan.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -41,12 +44,16 @@ class VersionedLayer:
     def folder(self, version: int) -> str:
         return f"{self.path}/v{version:06d}"
 
-    def _manifest(self, version: int) -> dict[str, list[str]] | None:
+    def _manifest(self, version: int) -> dict[str, dict] | None:
+        """The version's tables, or None when it is not published or its manifest cannot be read."""
         path = f"{self.folder(version)}/{_MANIFEST}"
         fs, hadoop_path = self._fs(path)
         if not fs.exists(hadoop_path):
             return None
-        return json.loads("".join(r.value for r in self.spark.read.text(path, wholetext=True).collect()))
+        try:
+            return json.loads("".join(r.value for r in self.spark.read.text(path, wholetext=True).collect()))
+        except json.JSONDecodeError:
+            return None
 
     def current(self) -> int | None:
         """Number of the last published version; unfinished ones do not count."""
@@ -60,8 +67,25 @@ class VersionedLayer:
         manifest = self._manifest(version) if version is not None else None
         if not manifest or table not in manifest:
             raise FileNotFoundError(f"{table} is not in a published version of {self.path}")
-        parts = [self.spark.read.parquet(f"{self.path}/{part}") for part in manifest[table]]
-        return reduce(DataFrame.unionByName, parts)
+        schema, base = T.StructType.fromJson(manifest[table]["schema"]), f"{self.path}/tables/{table}"
+        loads = manifest[table]["loads"]
+        if not loads:
+            return self.spark.createDataFrame([], schema)
+        whole = T.StructType([*schema.fields, T.StructField(_LOAD, T.StringType())])
+        rows = self.spark.read.schema(whole).option("basePath", base).parquet(*[f"{base}/{_LOAD}={load}" for load in loads])
+        return rows.select(*schema.names)
+
+    def _write(self, table: str, df: DataFrame, columns: Sequence[str]) -> str | None:
+        """Write one load of a table; its name, or None when it has no rows."""
+        load = uuid.uuid4().hex
+        path = f"{self.path}/tables/{table}/{_LOAD}={load}"
+        if columns:
+            write_partitioned(df, path, columns)
+        else:
+            df.write.parquet(path)
+        fs, folder = self._fs(path)
+        names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+        return load if any(not n.startswith(("_", ".")) for n in names) else None
 
     def publish(
         self,
@@ -78,16 +102,17 @@ class VersionedLayer:
         manifest = dict(self._manifest(current) or {}) if current is not None else {}
         version = max(self._numbers(), default=0) + 1
         for name, df in {**(tables or {}), **(append or {})}.items():
-            columns = (partition_by or {}).get(name, ())
-            part = f"v{version:06d}/{name}"
-            if columns:
-                write_partitioned(df, f"{self.path}/{part}", columns)
-            else:
-                df.write.parquet(f"{self.path}/{part}")
-            earlier = manifest.get(name, []) if name in (append or {}) else []
-            manifest[name] = [*earlier, part]
-        fs, target = self._fs(f"{self.folder(version)}/{_MANIFEST}")
-        stream = fs.create(target, False)
+            grown = manifest.get(name) if name in (append or {}) else None
+            columns = list(grown["by"] if grown else (partition_by or {}).get(name, ()))
+            load = self._write(name, df, columns)
+            earlier = grown["loads"] if grown else []
+            # data read back from files is nullable
+            schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
+            manifest[name] = {"schema": schema.jsonValue(), "by": columns, "loads": [*earlier, *([load] if load else [])]}
+        fs, temporary = self._fs(f"{self.folder(version)}/{_MANIFEST}.{uuid.uuid4().hex}")
+        stream = fs.create(temporary, False)
         stream.write(json.dumps(manifest).encode())
         stream.close()
+        if not fs.rename(temporary, self._fs(f"{self.folder(version)}/{_MANIFEST}")[1]):
+            raise FileExistsError(f"version {version} of {self.path} was published by another load")
         return version

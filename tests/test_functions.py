@@ -12,8 +12,11 @@ def column(spark, values, kind, expression):
     return [r.x for r in df.select("i", expression.alias("x")).orderBy("i").collect()]
 
 
-def test_zero_pad_cuts_longer_text(spark):
-    assert column(spark, [7, 12345, None], "int", text.zero_pad("v", 3)) == ["007", "123", None]
+def test_padding(spark):
+    assert column(spark, [7, 12345, None], "int", text.zero_pad("v", 3)) == ["007", "12345", None]
+    assert column(spark, [7, 12345, None], "int", text.fixed_pad("v", 3)) == ["007", "123", None]
+    numbers = [10**6, 10**6 + 1, 10**8, 10**8 + 1, 10**10]
+    assert len(set(column(spark, numbers, "bigint", text.zero_pad("v", 6)))) == len(numbers)
 
 
 def test_title_case_and_trim(spark):

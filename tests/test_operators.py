@@ -126,6 +126,12 @@ def test_lookup_default_null_key_and_first_match(spark, no_broadcast):
     assert rows(got) == [(1, "a", 10), (2, "x", 0), (3, None, 0)]
 
 
+def test_lookup_keeps_a_matched_null(spark):
+    df = inline_table(spark, [(1, "a"), (2, "b"), (3, "c")], "id int, k string")
+    ref = inline_table(spark, [("a", 20), ("b", None)], "k string, v int")
+    assert rows(lookup(df, ref, {"k": "k"}, {"v": ("valor", 0)})) == [(1, "a", 20), (2, "b", None), (3, "c", 0)]
+
+
 def test_lookup_value_may_be_the_key(spark):
     df = inline_table(spark, [(1, 5), (2, 6), (3, None)], "id int, estacion int")
     ref = inline_table(spark, [(5,)], "estacion int")

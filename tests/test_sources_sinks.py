@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from starfold import session
 from starfold.functions.numbers import number_text
-from starfold.sinks import VersionedLayer, append_rejects, report, save_database, write_csv_report, write_partitioned
+from starfold.sinks import VersionedLayer, append_rejects, read_rejects, save_database, write_csv_report, write_partitioned
 from starfold.sources import conform, inline_table, read_csv_typed, read_jdbc, read_query, series
 
 
@@ -20,13 +20,13 @@ def test_typed_csv_with_locale(spark, tmp_path):
 def test_station_csv(spark, tmp_path):
     (tmp_path / "e.csv").write_text(
         "estacion_id,nombre_estacion,ciudad,latitud,longitud,altitud_metros,activa,fecha_instalacion\n"
-        "3,Estación Málaga 1,Málaga,36.23837,-7.847549,476,TRUE,2006-10-01\n46,Vieja,Murcia,1.5,2,10,FALSE,1990-01-02\n", encoding="utf-8")
+        "901,Torre del Viento,Añoranza,12.345678,-1.5,77,TRUE,2011-03-09\n902,Vieja,Lugar,1.5,2,10,FALSE,1990-01-02\n", encoding="utf-8")
     from starfold.schemas import WEATHER
 
     got = read_csv_typed(spark, str(tmp_path / "e.csv"), WEATHER["estaciones_meteorologicas"].schema, sep=",", decimal=".", group="")
     first, second = got.collect()
     assert (first.ciudad, first.latitud, first.activa, first.fecha_instalacion) == (
-        "Málaga", Decimal("36.238370"), True, datetime.date(2006, 10, 1))
+        "Añoranza", Decimal("12.345678"), True, datetime.date(2011, 3, 9))
     assert second.activa is False
 
 
@@ -38,18 +38,21 @@ def test_csv_prunes_columns(spark, tmp_path):
 
 def test_report_masks_quotes_and_line_ends(spark, tmp_path):
     df = inline_table(spark, [("a;b", 1.5, 85000), ("c", 2.25, 7)], "k string, v double, n int")
-    write_csv_report(df, str(tmp_path / "out"), masks={"v": number_text("v", 4, symbol=",")}, line_sep="\r\n", order_by=[F.desc("v")])
+    write_csv_report(df, str(tmp_path / "out"), masks={"v": number_text("v", 4, symbol=",")}, line_sep="\r\n", order_by=[F.desc("v")], files=1)
     (path,) = glob.glob(str(tmp_path / "out" / "*.csv"))
     assert open(path, newline="").read() == 'k;v;n\r\nc;2,25;7\r\n"a;b";1,5;85000\r\n'
 
 
-def test_large_report_is_written_in_parallel(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(report, "SINGLE_FILE_ROWS", 10)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    write_csv_report(spark.range(1000), str(tmp_path / "out"), order_by=["id"])
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert len(glob.glob(str(tmp_path / "out" / "*.csv"))) > 1
-    assert spark.read.option("header", True).csv(str(tmp_path / "out")).count() == 1000
+def test_report_files(spark, tmp_path):
+    for files in (1, 3):
+        path = str(tmp_path / f"out{files}")
+        write_csv_report(spark.range(1000), path, order_by=["id"], files=files)
+        parts = sorted(glob.glob(f"{path}/*.csv"))
+        assert len(parts) == files
+        ids = [int(line) for part in parts for line in open(part).read().splitlines()[1:]]
+        assert ids == list(range(1000)), "sorted over all part files"
+    write_csv_report(spark.range(1000), str(tmp_path / "free"), order_by=["id"])
+    assert spark.read.option("header", True).csv(str(tmp_path / "free")).count() == 1000
 
 
 def test_series_is_inclusive(spark):
@@ -127,6 +130,31 @@ def test_failed_load_stays_invisible(spark, tmp_path):
     assert layer.read("t").count() == 4
 
 
+def test_empty_and_torn_loads(spark, tmp_path):
+    layer = VersionedLayer(spark, str(tmp_path / "layer"))
+    rows = spark.range(10).withColumn("p", (F.col("id") % 2).cast("int"))
+    layer.publish({"t": rows.limit(0), "u": rows.limit(0)}, partition_by={"t": ["p"]})
+    assert layer.read("t").count() == 0 and layer.read("u").columns == ["id", "p"]
+    layer.publish(append={"t": rows}, partition_by={"t": ["p"]})
+    layer.publish(append={"t": rows.limit(0)}, partition_by={"t": ["p"]})
+    assert layer.read("t").columns == ["id", "p"] and layer.read("t").count() == 10
+    torn = tmp_path / "layer" / "v000004"
+    torn.mkdir()
+    (torn / "manifest.json").write_text("")
+    assert layer.current() == 3 and layer.read("t").count() == 10, "a torn manifest is not a version"
+    assert layer.publish(append={"t": rows}) == 5 and layer.read("t").count() == 20
+    append_rejects(rows.limit(0), str(tmp_path / "log"), "r1")
+    assert read_rejects(spark, str(tmp_path / "log"), rows.schema).count() == 0
+
+
+def test_many_loads_are_one_scan(spark, tmp_path):
+    layer = VersionedLayer(spark, str(tmp_path / "layer"))
+    for _ in range(25):
+        layer.publish(append={"t": spark.range(1)})
+    table = layer.read("t")
+    assert table.count() == 25 and table._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
 def test_partitioned_write_makes_few_files(spark, tmp_path):
     df = spark.range(1000).repartition(16).withColumn("p", F.col("id") % 3)
     write_partitioned(df, str(tmp_path / "out"), ["p"])
@@ -160,6 +188,8 @@ def test_cluster_without_shared_folder_is_refused():
 
 
 def test_local_session_without_shared_folder_gets_one():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(FakeApplication("local-cluster[2,1,1024]"))
     local = FakeApplication("local[4]")
     folder = session.shared_dir(local)
     assert session.shared_dir(local) == folder == local.sparkContext.folder
