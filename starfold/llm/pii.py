@@ -147,7 +147,8 @@ def disclosing_terms(docs: DataFrame, spans: DataFrame, support: int = SUPPORT,
         return None
     wanted = pairs.select("term").distinct()
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.col("text").cast("string")), F.lit(TERM), F.lit(0)))).alias("term"))
-    counted = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")).join(wanted, "term", "left_semi")
+    # counted first: Spark would move a semi join below the count and so to every word
+    counted = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")).join(wanted, "term")
     total = spans.count()
     mutual = F.log(F.col("n_both") * F.lit(float(total)) / (F.col("n_term") * F.col("n_entity")))
     own = F.log(F.lit(float(total)) / F.col("n_entity"))
