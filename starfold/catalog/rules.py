@@ -9,12 +9,11 @@ from ..operators.quality import (
     ForeignKey, Unique, apply_defaults, check, duplicate_keys, in_domain, in_range, max_length, missing_parents,
     not_before, not_null, row_violations, validate,
 )
-from ..schemas import payments_before_invoice
+from ..schemas import OLTP, SNOW, STAR, payments_before_invoice, validate_layer
 from .dirty import CUSTOMERS_SQL, OBSERVATIONS_SQL, customers, observations
 from .registry import Source, query
 
 
-
 def _report(rule: str, key: str, value: str, rest: str) -> str:
     return f"SELECT '{rule}' AS rule, CAST({key} AS VARCHAR) AS key, CAST({value} AS VARCHAR) AS value {rest}"
 
@@ -97,18 +96,21 @@ def defaults(s: Source):
     return filled.select("observacion_id", "humedad_pct", "ciudad")
 
 
-_CLEAN_LAYER = ("fincas", "parcelas", "cultivos", "cosechas", "lotes_origen", "lotes", "controles_calidad", "calibres",
-                "certificados", "contratos", "pedidos", "puertos", "rutas_logisticas", "envios", "facturas", "cobros",
-                "costes_lote", "costes_logisticos")
-
-
-@query("q_layer_violations", "SELECT '' AS tabla, '' AS rule, '' AS key, '' AS value FROM region WHERE FALSE")
+@query("q_layer_violations", """SELECT 'oltp' AS capa, 'clientes' AS tabla, 'domain:segmento' AS rule, CAST(c_custkey + 1 AS VARCHAR) AS key,
+    lower(c_mktsegment) AS value FROM customer WHERE lower(c_mktsegment) NOT IN ('premium', 'estandar', 'ocasional')
+    UNION ALL SELECT 'oltp', 'detalle_pedido', 'unique:detalle_id', CAST((l_orderkey + 1) * 100 + l_linenumber AS VARCHAR), CAST(COUNT(*) AS VARCHAR)
+    FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1""")
 def layer_violations(s: Source):
-    """Every declared rule over the tables of the OLTP layer: there must be no violation."""
-    from ..schemas import validate_layer
-
-    t = s.warehouse.oltp
-    return validate_layer({name: t[name] for name in _CLEAN_LAYER})
+    """Every declared rule over every table of the OLTP layer and of both models.
+
+    The segments of the given customers are not those of the model, and some given lines share order and number:
+    each is a violation, and there are no others.
+    """
+    w = s.warehouse
+    layers = {"oltp": (w.oltp, OLTP), "star": (w.star, STAR), "snow": (w.snow, SNOW)}
+    reports = [validate_layer({n: w.served(tables, n) for n in declared}, declared).select(F.lit(layer).alias("capa"), "tabla", "rule", "key", "value")
+               for layer, (tables, declared) in layers.items()]
+    return reports[0].unionByName(reports[1]).unionByName(reports[2])
 
 
 @query("q_validate", " UNION ALL ".join([

@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from ..functions.dates import add_days
 from ..functions.numbers import dec, money, rounded, safe_ratio
 from ..functions.text import cycle, map_values, zero_pad
+from ..operators.joins import skew_join
 from ..operators.reshape import expand_list, unpivot_exprs
+from ..schemas import SALES
 
 # Rule parameters that decide the derived rows.
 LOT_STATES = ["enviado", "en_almacen", "en_campo"]
@@ -296,3 +298,16 @@ def exchange_rates(days: DataFrame) -> DataFrame:
         "fecha",
         rounded(num("1.05") + g * num("0.002"), 4, 10).alias("tasa_cambio"),
     )
+
+
+def served_lines(t: Mapping[str, DataFrame]) -> DataFrame:
+    """detalle_pedido as declared: the order lines with the product and variety of their lot.
+
+    The models join lines and lots themselves, so only readers of the served table pay for this join.
+    """
+    declared = SALES["detalle_pedido"].names
+    if set(declared) <= set(t["detalle_pedido"].columns):
+        return t["detalle_pedido"].select(*declared)
+    grown = t["lotes_origen"].select("lote_id", "cosecha_id").join(t["cosechas"].select("cosecha_id", "cultivo_id"), "cosecha_id")
+    names = grown.join(t["cultivos"].select("cultivo_id", F.col("nombre_producto").alias("producto"), "variedad"), "cultivo_id")
+    return skew_join(t["detalle_pedido"], names.select("lote_id", "producto", "variedad"), "lote_id").select(*declared)

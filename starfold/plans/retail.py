@@ -158,6 +158,7 @@ def oltp_builders(spark: SparkSession, folder: str, t: Mapping[str, DataFrame])
         quantity, gross = dec("l_quantity", 10, 2), money("l_extendedprice")
         discount = dec(dec("l_discount", 5, 2) * 100, 5, 2)
         return src("lineitem").select(
+            ((F.col("l_orderkey") + 1) * 100 + F.col("l_linenumber")).cast("bigint").alias("detalle_id"),
             (F.col("l_orderkey") + 1).alias("pedido_id"), (F.col("l_partkey") + 1).alias("lote_id"),
             quantity.alias("kilos_solicitados"),
             F.ceil(F.col("l_quantity") / 5).cast("int").alias("cajas_solicitadas"),

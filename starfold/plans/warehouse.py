@@ -15,6 +15,7 @@ from ..sinks.append import write_partitioned
 from ..sinks.databases import save_database
 from . import snow as snow_plans
 from . import star as star_plans
+from .derive import served_lines
 
 
 class LazyTables(Mapping):
@@ -100,6 +101,10 @@ class Warehouse:
                 key: [] if is_small(self.oltp[name]) else hot_keys(self.oltp[name], [key]) for key, name in holders.items()}
         return self._hot
 
+    def served(self, tables: Mapping[str, DataFrame], name: str) -> DataFrame:
+        """A table with all its declared columns."""
+        return served_lines(tables) if name == "detalle_pedido" else tables[name]
+
     def save(self, path: str, names: Mapping[str, Sequence[str]] | None = None) -> None:
         """Save the layers as databases under ``path``; ``names`` limits it to some tables of each.
 
@@ -112,5 +117,5 @@ class Warehouse:
         }.items():
             wanted = [n for n in declared if names is None or n in names.get(database, ())]
             if wanted:
-                save_database(self.spark, database, f"{path}/{database}", {n: tables[n] for n in wanted},
+                save_database(self.spark, database, f"{path}/{database}", {n: self.served(tables, n) for n in wanted},
                               partition_by={"fact_exportaciones": ["anio_pedido"]})

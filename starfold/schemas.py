@@ -9,7 +9,7 @@ over the lines of an order are DECIMAL(18,2), since one order may hold very many
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -80,11 +80,58 @@ class Table:
         return rules
 
 
+#: The longest text of each column, by table. Codes made from identifiers (tax numbers, port codes) are
+#: longer than in the narrower model, since identifiers are BIGINT here.
+LENGTHS = {
+    "fincas": {"nombre_finca": 100, "municipio": 100, "provincia": 100, "zona_agricola": 100, "tipo_suelo": 100, "sistema_riego": 100},
+    "parcelas": {"nombre_parcela": 100, "cultivo_actual": 100},
+    "campanias": {"nombre_campania": 100, "temporada": 50, "observaciones_climaticas": 255},
+    "cultivos": {"nombre_producto": 100, "familia_producto": 100, "variedad": 100},
+    "lotes_origen": {"codigo_lote": 30, "estado": 20},
+    "lotes": {"codigo_lote": 30, "producto": 100},
+    "controles_calidad": {"inspector": 120},
+    "calibres": {"calibre": 10},
+    "certificados": {"tipo_certificado": 50, "entidad_certificadora": 100, "numero_certificado": 50},
+    "incidencias_calidad": {"tipo_incidencia": 50, "descripcion": 255, "accion_correctiva": 255},
+    "clientes": {"nombre_cliente": 150, "cif": 30, "tipo_cliente": 50, "canal": 50, "segmento": 50, "pais": 100, "ciudad": 100,
+                 "direccion": 150, "codigo_postal": 15, "telefono": 30, "email": 150},
+    "contratos": {"condiciones_pago": 100},
+    "pedidos": {"estado": 30, "observaciones": 255},
+    "detalle_pedido": {"producto": 100, "variedad": 100},
+    "tarifas": {"producto": 100, "variedad": 100, "calibre": 10},
+    "transitarios": {"nombre_transitario": 150, "cif": 30, "pais": 100, "telefono": 30, "email": 150, "tipo_transporte": 30},
+    "puertos": {"nombre_puerto": 120, "ciudad": 100, "pais": 100, "tipo": 30, "codigo_un_locode": 30},
+    "rutas_logisticas": {"tipo_transporte": 30, "observaciones": 255},
+    "envios": {"numero_contenedor": 30, "estado": 30},
+    "aduanas": {"pais_aduana": 100},
+    "incidencias_envio": {"tipo_incidencia": 50, "descripcion": 255, "responsable": 100},
+    "facturas": {"divisa": 10, "estado": 20},
+    "cobros": {"metodo_pago": 30, "banco": 100, "observaciones": 255},
+    "tipos_cambio": {"divisa_origen": 10, "divisa_destino": 10},
+    "dim_tiempo": {"dia_semana": 20},
+    "dim_campania": {"nombre_campania": 100, "temporada": 50, "observaciones_climaticas": 255},
+    "dim_cliente": {"nombre_cliente": 150, "tipo_cliente": 50, "canal": 50, "segmento": 50, "pais_cliente": 100, "ciudad_cliente": 100,
+                    "email": 150, "telefono": 30},
+    "dim_geografia": {"ciudad": 100, "provincia": 100, "region": 100, "pais": 100, "zona_comercial": 100, "continente": 100},
+    "dim_finca": {"nombre_finca": 150, "parcela": 100, "municipio": 100, "provincia": 100, "zona_agricola": 100, "tipo_suelo": 100,
+                  "sistema_riego": 100},
+    "dim_producto": {"nombre_producto": 100, "variedad": 100, "familia_producto": 100, "tipo_envase": 100, "formato_comercial": 100},
+    "dim_familia_producto": {"familia_producto": 100},
+    "dim_calidad": {"categoria_comercial": 50, "calibre": 20, "tipo_certificado": 100, "estado_lote": 50},
+    "dim_logistica": {"nombre_transitario": 150, "puerto_salida": 100, "puerto_llegada": 100, "tipo_transporte": 50, "ruta_logistica": 150},
+}
+
+
+def _sized(tables: Mapping[str, Table]) -> dict[str, Table]:
+    return {name: replace(table, lengths={c: n for c, n in LENGTHS.get(name, {}).items() if c in table.names})
+            for name, table in tables.items()}
+
+
 PRODUCTION = {
     "fincas": Table(
         "finca_id BIGINT, nombre_finca STRING, superficie_total_hectareas DECIMAL(10,2), municipio STRING, "
         "provincia STRING, zona_agricola STRING, tipo_suelo STRING, sistema_riego STRING",
-        key=("finca_id",), positive=("superficie_total_hectareas",), lengths={"nombre_finca": 100}),
+        key=("finca_id",), positive=("superficie_total_hectareas",)),
     "parcelas": Table(
         "parcela_id BIGINT, finca_id BIGINT, nombre_parcela STRING, superficie_hectareas DECIMAL(8,2), "
         "cultivo_actual STRING, fecha_ultima_rotacion DATE",
@@ -92,8 +139,7 @@ PRODUCTION = {
     "campanias": Table(
         "campania_id BIGINT, nombre_campania STRING, fecha_inicio DATE, fecha_fin DATE, temporada STRING, "
         "anio_agricola INT, observaciones_climaticas? STRING",
-        key=("campania_id",), strict_date_order=(("fecha_fin", "fecha_inicio"),),
-        lengths={"temporada": 50, "observaciones_climaticas": 255}),
+        key=("campania_id",), strict_date_order=(("fecha_fin", "fecha_inicio"),)),
     "cultivos": Table(
         "cultivo_id BIGINT, nombre_producto STRING, familia_producto STRING, variedad STRING, ciclo_dias INT, "
         "riego_necesario_litros_hectarea DECIMAL(12,2)",
@@ -109,7 +155,7 @@ PRODUCTION = {
         "lote_id BIGINT, cosecha_id BIGINT, codigo_lote STRING, kilos_lote DECIMAL(10,2), fecha_creacion_lote DATE, "
         "estado STRING",
         key=("lote_id",), unique=(("codigo_lote",),), parents={"cosecha_id": "cosechas"}, positive=("kilos_lote",),
-        domains={"estado": ("en_campo", "en_almacen", "enviado")}, lengths={"codigo_lote": 30}),
+        domains={"estado": ("en_campo", "en_almacen", "enviado")}),
 }
 
 SIZES = ("S", "M", "L", "XL")
@@ -151,8 +197,7 @@ SALES = {
         key=("cliente_id",), unique=(("cif",),),
         domains={"tipo_cliente": ("mayorista", "distribuidor", "minorista", "retail"),
                  "canal": ("directo", "intermediario", "plataforma"),
-                 "segmento": ("premium", "estandar", "ocasional")},
-        lengths={"nombre_cliente": 150, "cif": 10, "telefono": 30, "email": 150}),
+                 "segmento": ("premium", "estandar", "ocasional")}),
     "contratos": Table(
         "contrato_id BIGINT, cliente_id BIGINT, fecha_inicio DATE, fecha_fin DATE, condiciones_pago STRING, "
         "descuento_general_porcentaje DECIMAL(5,2), volumen_minimo_kg DECIMAL(10,2), precio_base_kg DECIMAL(10,2)",
@@ -245,6 +290,7 @@ FINANCE = {
         key=("tipo_cambio_id",), positive=("tasa_cambio",)),
 }
 
+PRODUCTION, QUALITY, SALES, LOGISTICS, FINANCE = map(_sized, (PRODUCTION, QUALITY, SALES, LOGISTICS, FINANCE))
 OLTP = {**PRODUCTION, **QUALITY, **SALES, **LOGISTICS, **FINANCE}
 
 STAR = {
@@ -286,7 +332,10 @@ STAR = {
         "importe_bruto DECIMAL(12,2), descuento DECIMAL(12,2), importe_neto DECIMAL(12,2), "
         "coste_producto DECIMAL(12,2), coste_logistico DECIMAL(12,2), coste_total DECIMAL(12,2), margen DECIMAL(12,2), "
         "precio_medio_kg DECIMAL(12,4), tiempo_entrega_dias INT",
-        key=()),  # one row per order line; pedido_id is kept so that loads can be repeated
+        key=(),  # one row per order line; pedido_id is kept so that loads can be repeated
+        parents={"tiempo_sk": "dim_tiempo", "producto_sk": "dim_producto", "cliente_sk": "dim_cliente",
+                 "geografia_sk": "dim_geografia", "finca_sk": "dim_finca", "calidad_sk": "dim_calidad",
+                 "logistica_sk": "dim_logistica", "campania_sk": "dim_campania"}),
 }
 
 #: The snowflake model is the star model with the product family split out.
@@ -298,6 +347,7 @@ SNOW = {
         STAR["dim_producto"].columns.replace("familia_producto STRING", "familia_sk BIGINT"),
         key=("producto_sk",), parents={"familia_sk": "dim_familia_producto"}),
 }
+STAR, SNOW = _sized(STAR), _sized(SNOW)
 
 WEATHER = {
     "estaciones_meteorologicas": Table(
@@ -345,7 +395,7 @@ def validate_layer(tables: Mapping[str, DataFrame], declared: Mapping[str, Table
     for name, df in tables.items():
         table = declared[name]
         rules = table.rules(tables) + cross_column_rules(name)
-        reports.append(validate(df, table.key, rules).select(F.lit(name).alias("tabla"), "rule", "key", "value"))
+        reports.append(validate(df, table.key or ("pedido_id",), rules).select(F.lit(name).alias("tabla"), "rule", "key", "value"))
     if "cobros" in tables and "facturas" in tables:
         late = payments_before_invoice(tables["cobros"], tables["facturas"])
         reports.append(late.select(F.lit("cobros").alias("tabla"), "rule", "key", "value"))
