@@ -29,8 +29,9 @@ LINK_BITS = 4
 SEED = 42
 #: The tree's top is fitted on at most so many fingerprints (half a megabyte), the least by hash.
 SAMPLE = 65_536
-#: Fingerprints at home in a shard, about, until the tree's top is this deep.
-SHARD, DEPTH = 4096, 12
+#: The tree's top has about sqrt(fingerprints) / SPREAD leaves, at most 2^DEPTH. Each level lets a fingerprint visit about
+#: half as many shards again, so shards grow with the input rather than only their number.
+SPREAD, DEPTH = 64, 12
 #: A shard's own tree stops at so many fingerprints and compares them in blocks.
 LEAF, BLOCK = 256, 512
 
@@ -193,7 +194,7 @@ def shard_forest(points: np.ndarray, home: np.ndarray, bits: int = LINK_BITS, se
 def links(prints: DataFrame, bits: int = LINK_BITS) -> DataFrame:
     """``a, b``: links that join all of ``prints`` (distinct ``fp``) that differ in at most ``bits`` bits, as forests per shard."""
     count = prints.count()
-    depth = min(DEPTH, max(0, int(np.ceil(np.log2(max(1, count / SHARD))))))
+    depth = min(DEPTH, max(0, int(np.ceil(np.log2(max(1.0, np.sqrt(count) / SPREAD))))))
     chosen = prints.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).toPandas()["fp"] if depth else []
     tree, _ = fit(np.array(chosen, np.int64).view(np.uint64), 1 << depth)
 

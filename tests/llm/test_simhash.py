@@ -82,7 +82,7 @@ def test_components(spark):
 
 
 def test_documents(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "SHARD", 16)
+    monkeypatch.setattr(simhash, "SPREAD", 1)
     base = [words(i, 300, 5000) for i in range(60)]
     near = [t.rsplit(" ", 1)[0] + f" changed{i}" for i, t in enumerate(base[:20])]
     rows = [(i, t, "en", "a") for i, t in enumerate(base + near + base[:5] * 40)]
