@@ -140,6 +140,10 @@ def _nearest(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vector
     return pd.DataFrame({"query_id": query_id, "vec_id": vec_id, "score": score})
 
 
+def _nothing() -> pd.DataFrame:
+    return pd.DataFrame({"query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0)})
+
+
 _FOUND = "query_id bigint, vec_id bigint, score double"
 
 
@@ -201,35 +205,66 @@ def search(vectors: DataFrame, is_query, k: int = NEIGHBOURS, recall: float = RE
     sizes = {r["leaf"]: r["count"] for r in index.groupBy("leaf").count().collect()}  # as many as leaves, at most SAMPLE / 16
     queries = rows.where(is_query).dropDuplicates(["vec_id"])
     visits, measured = _calibrate(index, queries, tree, leaves, raised, k, recall)
-    parts = {leaf: -(-size // PART) for leaf, size in sizes.items()}
+    shards = _shards(sizes)
 
-    def to_bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def to_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             v = raised(_matrix(batch.column(1))) if batch.num_rows else np.empty((0, 1))
-            at, leaf, part = [], [], []
+            at, shard, visited = [], [], []
             for row, point in enumerate(v):
-                for own in best_bins(tree, point, visits):
-                    for number in range(parts.get(own, 0)):
-                        at.append(row), leaf.append(own), part.append(number)
+                by_shard: dict[int, list[int]] = {}
+                for leaf in best_bins(tree, point, visits):
+                    for number in shards.get(leaf, ()):
+                        by_shard.setdefault(number, []).append(leaf)
+                for number, own in by_shard.items():
+                    at.append(row), shard.append(number), visited.append(own)
             taken = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(leaf, pa.int32()), pa.array(part, pa.int32()), batch.column(0).take(taken), batch.column(1).take(taken)],
-                ["leaf", "part", "query_id", "q"])
+                [pa.array(shard, pa.int32()), pa.array(visited, pa.list_(pa.int32())), batch.column(0).take(taken), batch.column(1).take(taken)],
+                ["shard", "leaves", "query_id", "q"])
+
+    dealt = queries.select("vec_id", "v").mapInArrow(to_shards, "shard int, leaves array<int>, query_id bigint, q array<double>")
+    places = F.element_at(F.create_map(*[x for leaf, own in shards.items() for x in (F.lit(leaf), F.array(*map(F.lit, own)))]), F.col("leaf"))
+    stored = index.select("leaf", "vec_id", "v", F.get(places, F.pmod(F.xxhash64("vec_id"), F.size(places).cast("bigint")).cast("int")).alias("shard"))
+
+    def in_shard(_, of_queries: pa.Table, of_vectors: pa.Table) -> pa.Table:
+        found = [_nothing()]
+        if len(of_queries) and len(of_vectors):
+            query_ids, q = of_queries.column("query_id").to_numpy(), _matrix(of_queries.column("q"))
+            ids, v, leaf = of_vectors.column("vec_id").to_numpy(), _matrix(of_vectors.column("v")), of_vectors.column("leaf").to_numpy()
+            visits_of: dict[int, list[int]] = {}
+            for row, own in enumerate(of_queries.column("leaves").to_pylist()):
+                for number in own:
+                    visits_of.setdefault(number, []).append(row)
+            for number, rows_here in visits_of.items():
+                mine = leaf == number
+                if mine.any():
+                    found.append(_nearest(query_ids[rows_here], q[rows_here], ids[mine], v[mine], k))
+        every = pd.concat(found, ignore_index=True).sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
+        return pa.Table.from_pandas(every.groupby("query_id", sort=False).head(k), preserve_index=False)
+
+    found = dealt.groupBy("shard").cogroup(stored.groupBy("shard")).applyInArrow(in_shard, _FOUND)
+    return _top(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"), {
+        "leaves": leaves, "visits": visits, "recall": measured}
 
-    dealt = queries.select("vec_id", "v").mapInArrow(to_bins, "leaf int, part int, query_id bigint, q array<double>")
-    split = F.element_at(F.create_map(*[F.lit(x) for pair in parts.items() for x in pair]), F.col("leaf"))
-    stored = index.withColumn("part", F.pmod(F.xxhash64("vec_id"), split.cast("bigint")).cast("int"))
 
-    def in_leaf(_, of_queries: pa.Table, of_vectors: pa.Table) -> pa.Table:
-        found = _nearest(
-            of_queries.column("query_id").to_numpy(), _matrix(of_queries.column("q")),
-            of_vectors.column("vec_id").to_numpy(), _matrix(of_vectors.column("v")), k) if len(of_queries) and len(of_vectors) else _nearest(
-            np.empty(0, np.int64), np.empty((0, 1)), np.empty(0, np.int64), np.empty((0, 1)), k)
-        return pa.Table.from_pandas(found, preserve_index=False)
+def _shards(sizes: dict[int, int]) -> dict[int, list[int]]:
+    """The shards of each leaf: neighbouring small leaves share one of about ``PART`` vectors, a larger leaf is split over several.
 
-    found = dealt.groupBy("leaf", "part").cogroup(stored.groupBy("leaf", "part")).applyInArrow(in_leaf, _FOUND)
-    return _top(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"), {
-        "leaves": leaves, "visits": visits, "recall": measured}
+    A query then brings home one short list from each shard it visits, not one from each leaf.
+    """
+    out: dict[int, list[int]] = {}
+    number, filled = 0, 0
+    for leaf, size in sorted(sizes.items()):
+        if size > PART:
+            number += filled > 0
+            parts = -(-size // PART)
+            out[leaf], number, filled = list(range(number, number + parts)), number + parts, 0
+            continue
+        if filled and filled + size > PART:
+            number, filled = number + 1, 0
+        out[leaf], filled = [number], filled + size
+    return out
 
 
 def _calibrate(index: DataFrame, queries: DataFrame, tree: Tree, leaves: int, raised, k: int, recall: float) -> tuple[int, float]:
