@@ -108,15 +108,21 @@ def discarded(s: Source):
 def weather_staging(s: Source):
     """Staging loaded with the first two weeks, then with everything, twice.
 
-    A row without a city has no key and would be inserted by each load, so keys are checked first.
+    Rows without a city have no key; ``d16_rejected_keys`` lists them.
     """
-    classified = written(_classified(s).filter("ciudad is not null"), "weather")
+    classified = written(_classified(s), "weather")
     clean = weather.accepted(classified)
-    staging = weather.accepted(classified.filter("fecha < '2024-01-15'"))
+    staging = weather.with_key(weather.accepted(classified.filter("fecha < '2024-01-15'")))
     once = weather.load_staging(staging, clean)
     return weather.load_staging(once, clean)
 
 
+@query("d16_rejected_keys", _STAGES + "SELECT * FROM unico WHERE ciudad IS NULL")
+def weather_rejected_keys(s: Source):
+    """Clean rows that cannot be merged by date and city; with the staging rows they are all that was accepted."""
+    return weather.without_key(weather.accepted(_classified(s)))
+
+
 _CLIMATE = _STAGES + """SELECT fecha, ciudad, CAST(year(fecha) AS INT) AS anio, CAST(month(fecha) AS INT) AS mes, CAST(dayofyear(fecha) AS INT) AS dia_del_anio,
     temp_max, temp_min, temp_media, precipitacion_mm, humedad_pct, velocidad_viento_kmh, condicion_climatica,
     COALESCE(precipitacion_mm > 1.0, FALSE) AS es_dia_lluvia,
@@ -126,9 +132,9 @@ _CLIMATE = _STAGES + """SELECT fecha, ciudad, CAST(year(fecha) AS INT) AS anio,
 
 @query("d17_climate_dim", _CLIMATE + " WHERE ciudad IS NOT NULL")
 def climate_dim(s: Source):
-    """Climate dimension after two loads of the same staging rows; rows without a city have no key and are checked apart."""
-    clean = written(weather.accepted(_classified(s)).filter("ciudad is not null"), "clean")
-    first = weather.climate_rows(clean).filter("fecha < '2024-01-15'")
+    """Climate dimension after two loads of the same staging rows."""
+    clean = written(weather.accepted(_classified(s)), "clean")
+    first = weather.climate_rows(weather.with_key(clean)).filter("fecha < '2024-01-15'")
     return weather.load_climate(weather.load_climate(first, clean), clean)
 
 

@@ -8,7 +8,7 @@ from ..functions.numbers import money
 from ..operators.upsert import insert_if_absent, upsert
 from .registry import Source, query
 
-_TARGET = "SELECT c_custkey AS cliente_id, c_name AS nombre, c_mktsegment AS segmento, CAST(c_acctbal AS DECIMAL(12,2)) AS saldo, CAST('base' AS VARCHAR) AS origen FROM customer WHERE c_acctbal >= 0"
+_TARGET = "SELECT c_custkey AS cliente_id, c_name AS nombre, c_mktsegment AS segmento, CAST(c_acctbal AS DECIMAL(12,2)) AS saldo, CAST('base' AS VARCHAR) AS origen FROM customer WHERE c_acctbal >= 0 OR c_mktsegment NOT IN ('BUILDING', 'MACHINERY')"
 # Every customer of two segments, each in two versions of which the later one counts.
 _SOURCE = "SELECT c_custkey AS cliente_id, lower(c_name) AS nombre, c_mktsegment || '-2' AS segmento, CAST(c_acctbal AS DECIMAL(12,2)) + 200 AS saldo, 'carga' AS origen FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')"
 _JOIN = f"FROM ({_TARGET}) t FULL JOIN ({_SOURCE}) s ON t.cliente_id = s.cliente_id"
@@ -20,7 +20,8 @@ def _new(column: str) -> str:
 
 
 def _target(s: Source):
-    return s.customer.filter("c_acctbal >= 0").select(
+    """Customers in good standing, and those of segments the source does not hold: with the source, all of them."""
+    return s.customer.filter("c_acctbal >= 0 or c_mktsegment not in ('BUILDING', 'MACHINERY')").select(
         F.col("c_custkey").alias("cliente_id"), F.col("c_name").alias("nombre"), F.col("c_mktsegment").alias("segmento"),
         money("c_acctbal").alias("saldo"), F.lit("base").alias("origen"))
 
@@ -50,7 +51,7 @@ def upserted_twice(s: Source):
 
 @query("u1_two_keys", """SELECT COALESCE(t.suppkey, s.suppkey) AS suppkey, COALESCE(t.flag, s.flag) AS flag, COALESCE(s.lineas, t.lineas) AS lineas FROM
     (SELECT l_suppkey AS suppkey, l_returnflag AS flag, COUNT(*) AS lineas FROM lineitem WHERE l_shipdate < TIMESTAMP '1999-01-01' GROUP BY 1, 2) t FULL JOIN
-    (SELECT l_suppkey AS suppkey, l_returnflag AS flag, -COUNT(*) AS lineas FROM lineitem WHERE l_shipdate >= TIMESTAMP '1999-01-01' AND l_returnflag <> 'N' GROUP BY 1, 2) s
+    (SELECT l_suppkey AS suppkey, l_returnflag AS flag, -COUNT(*) AS lineas FROM lineitem WHERE l_shipdate >= TIMESTAMP '1999-01-01' GROUP BY 1, 2) s
     ON t.suppkey = s.suppkey AND t.flag = s.flag""")
 def upserted_by_two_keys(s: Source):
     def counted(rows, sign):
@@ -58,7 +59,7 @@ def upserted_by_two_keys(s: Source):
             (F.count(F.lit(1)) * sign).alias("lineas"))
 
     old = counted(s.lineitem.filter("l_shipdate < '1999-01-01'"), 1)
-    new = counted(s.lineitem.filter("l_shipdate >= '1999-01-01' and l_returnflag <> 'N'"), -1)
+    new = counted(s.lineitem.filter("l_shipdate >= '1999-01-01'"), -1)
     return upsert(old, new, ["suppkey", "flag"])
 
 

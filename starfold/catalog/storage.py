@@ -10,7 +10,7 @@ from ..plans.questions import QUESTIONS, ask_star
 from ..schemas import OLTP
 from ..session import scratch_path
 from ..sinks import VersionedLayer, append, append_rejects, read_rejects, write_csv_report, write_partitioned
-from ..sources import conform, inline_table, read_csv_typed, read_query, register_views, series
+from ..sources import conform, inline_table, read_csv_checked, read_csv_typed, read_query, register_views, series
 from .questions import KPI_SQL, TARGETS
 from .registry import Source, query
 from .sql import with_views
@@ -41,6 +41,18 @@ def csv_locale(s: Source):
     return read_csv_typed(s.spark, path, "cliente_id BIGINT, nombre STRING, saldo DECIMAL(12,2)")
 
 
+@query("s2_rejects", """SELECT c_custkey AS cliente_id, CASE WHEN c_acctbal >= 0 THEN CAST(c_acctbal AS DECIMAL(12,2)) END AS saldo,
+    CASE WHEN c_acctbal < 0 THEN '(' || CAST(CAST(-c_acctbal AS DECIMAL(12,2)) AS VARCHAR) || ')' END AS rechazado FROM customer""")
+def csv_rejects(s: Source):
+    """Debts in an accountant's parentheses cannot be read as numbers: those rows are told apart, with their text."""
+    path = scratch_path(s.spark, "csv")
+    balance, debt = money("c_acctbal").cast("string"), F.concat(F.lit("("), money(-F.col("c_acctbal")).cast("string"), F.lit(")"))
+    rows = s.customer.select(F.col("c_custkey").alias("cliente_id"), F.when(F.col("c_acctbal") < 0, debt).otherwise(balance).alias("saldo"))
+    rows.write.option("sep", ";").option("header", True).csv(path)
+    checked = read_csv_checked(s.spark, path, "cliente_id BIGINT, saldo DECIMAL(12,2)", decimal=".", group="")
+    return checked.select("cliente_id", "saldo", F.col("errors")["saldo"].alias("rechazado"))
+
+
 @query("s3_csv_plain", "SELECT o_orderkey AS estacion_id, o_orderstatus = 'O' AS activa, CAST(o_orderdate AS DATE) AS fecha_instalacion, CAST(o_totalprice AS DECIMAL(12,2)) AS latitud FROM orders")
 def csv_plain(s: Source):
     """Comma CSV with boolean, date and decimal columns."""

@@ -108,14 +108,23 @@ def climate_rows(clean: DataFrame) -> DataFrame:
     return select_values(derived, CLIMATE_COLUMNS)
 
 
+def without_key(clean: DataFrame) -> DataFrame:
+    """Accepted rows that lack a date or a city: they have no key to be merged by and belong in the reject log."""
+    return clean.filter(F.col("fecha").isNull() | F.col("ciudad").isNull())
+
+
+def with_key(clean: DataFrame) -> DataFrame:
+    return clean.filter(F.col("fecha").isNotNull() & F.col("ciudad").isNotNull())
+
+
 def load_staging(staging: DataFrame, clean: DataFrame) -> DataFrame:
-    """Staging after an idempotent upsert by date and city."""
-    return upsert(staging, clean, ["fecha", "ciudad"], order_by=["observacion_id"])
+    """Staging after an idempotent upsert by date and city; :func:`without_key` gives the rows that cannot take part."""
+    return upsert(staging, with_key(clean), ["fecha", "ciudad"], order_by=["observacion_id"])
 
 
 def load_climate(climate: DataFrame, clean: DataFrame) -> DataFrame:
-    """Climate dimension after an idempotent upsert by date and city."""
-    return upsert(climate, climate_rows(clean), ["fecha", "ciudad"])
+    """Climate dimension after an idempotent upsert by date and city; :func:`without_key` gives the rows that cannot take part."""
+    return upsert(climate, climate_rows(with_key(clean)), ["fecha", "ciudad"])
 
 
 def split_by_station(observations: DataFrame) -> tuple[DataFrame, DataFrame]:
