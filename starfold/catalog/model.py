@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators.lookup import key_map, rekey, resolve_keys, unresolved
 from ..plans import star as star_plans
-from ..plans.increment import increment
+from ..plans.increment import increment, unresolved_lines
 from ..plans.retail import CATALOG
 from ..plans.snow import NATURAL_KEYS
 from .registry import Source, query
@@ -149,6 +149,28 @@ def _loaded_in_two_steps(s: Source, model):
     return base
 
 
+@query("d14_late_lines", _FACT_SQL)
+def late_lines(s: Source):
+    """The first three lines of every order are loaded, the others arrive later and are loaded twice."""
+    w = s.warehouse
+    base = w.star["fact_exportaciones"].filter("detalle_id % 100 <= 3")
+    for _ in range(2):
+        _, rows = increment(w.oltp, w.star, base, w.oltp["pedidos"])
+        base = base.unionByName(rows)
+    return base
+
+
+@query("d14_unresolved", with_views("hechos", """SELECT h.detalle_id, h.pedido_id, h.lote_id FROM hechos h
+    WHERE h.cliente_id NOT IN (SELECT c_custkey + 1 FROM customer WHERE c_acctbal >= 0)"""))
+def unresolved_in_load(s: Source):
+    """Lines that a load into a model without the indebted customers leaves out."""
+    w = s.warehouse
+    solvent = s.customer.filter("c_acctbal >= 0").select((F.col("c_custkey") + 1).alias("cliente_id"))
+    dims = {**{n: w.star[n] for n in NATURAL_KEYS}, "dim_cliente": w.star["dim_cliente"].join(solvent, "cliente_id", "left_semi")}
+    _, rows = increment(w.oltp, dims, w.star["fact_exportaciones"].limit(0), w.oltp["pedidos"])
+    return unresolved_lines(w.oltp["detalle_pedido"], rows).select("detalle_id", "pedido_id", "lote_id")
+
+
 @query("d14_calendar_extension", with_views("dim_tiempo", _CALENDAR))
 def calendar_extension(s: Source):
     """Calendar of the first years extended by the dates of all orders: known dates keep their key."""

@@ -67,7 +67,7 @@ VIEWS = {
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "pedidos": """SELECT o_orderkey + 1 AS pedido_id, o_custkey + 1 AS cliente_id, CAST(o_orderdate AS DATE) AS fecha_pedido,
         o_orderstatus FROM orders""",
-    "detalle": """SELECT l_orderkey + 1 AS pedido_id, l_partkey + 1 AS lote_id, CAST(l_quantity AS DECIMAL(10,2)) AS kilos,
+    "detalle": """SELECT (l_orderkey + 1) * 100 + l_linenumber AS detalle_id, l_orderkey + 1 AS pedido_id, l_partkey + 1 AS lote_id, CAST(l_quantity AS DECIMAL(10,2)) AS kilos,
         CAST(ceil(l_quantity / 5) AS INT) AS cajas, CAST(l_extendedprice AS DECIMAL(12,2)) AS bruto,
         CAST(ROUND(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(5,2))), 2) AS DECIMAL(12,2)) AS neto,
         CAST(CAST(l_discount AS DECIMAL(5,2)) * 100 AS DECIMAL(5,2)) AS descuento_pct FROM lineitem""",
@@ -122,7 +122,7 @@ VIEWS = {
     "dim_producto": "SELECT CAST(row_number() OVER (ORDER BY p_partkey) AS BIGINT) AS producto_sk, p_partkey + 1 AS lote_id FROM part",
     "dim_cliente": "SELECT CAST(row_number() OVER (ORDER BY c_custkey) AS BIGINT) AS cliente_sk, c_custkey + 1 AS cliente_id FROM customer",
     "dim_logistica": "SELECT CAST(row_number() OVER (ORDER BY s_suppkey) AS BIGINT) AS logistica_sk, s_suppkey + 1 AS ruta_id FROM supplier",
-    "hechos_sk": f"""SELECT h.pedido_id, t.tiempo_sk, pr.producto_sk, c.cliente_sk, g.geografia_sk, f.finca_sk, pr.producto_sk AS calidad_sk,
+    "hechos_sk": f"""SELECT h.detalle_id, h.pedido_id, t.tiempo_sk, pr.producto_sk, c.cliente_sk, g.geografia_sk, f.finca_sk, pr.producto_sk AS calidad_sk,
         lo.logistica_sk, ca.campania_sk, CAST(h.kilos AS DECIMAL(12,2)) AS kilos_vendidos, h.cajas AS cajas_vendidas, h.bruto AS importe_bruto,
         CAST(h.bruto - h.neto AS DECIMAL(12,2)) AS descuento, h.neto AS importe_neto, h.coste_producto, h.coste_logistico, h.coste_total, h.margen,
         {scaled('h.precio4', 4, 'DECIMAL(12,4)')} AS precio_medio_kg, h.dias AS tiempo_entrega_dias, h.anio AS anio_pedido

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..operators.joins import skew_join
 from ..operators.keys import assign_sk
 from ..operators.upsert import absent_rows
+from ..session import written
 from .star import calendar_rows, star_fact
 
 Tables = Mapping[str, DataFrame]
@@ -22,16 +23,21 @@ def extend_calendar(calendar: DataFrame, orders: DataFrame) -> DataFrame:
     return assign_sk(fresh, "tiempo_sk", ["fecha"], start=highest + 1, bounded=True).select(*calendar.columns)
 
 
-def new_orders(orders: DataFrame, fact: DataFrame) -> DataFrame:
-    """Orders of which no line is loaded yet: this makes a repeated load harmless.
+def new_lines(lines: DataFrame, orders: DataFrame, fact: DataFrame) -> DataFrame:
+    """Lines of ``orders`` that the fact does not hold: this makes a repeated load harmless and lets late lines in.
 
-    Only the years the orders fall in are read from the fact.
+    Only the years the orders fall in are read from the fact, and only the range of
+    their numbers from the lines. The orders' numbers are written first, so that a small
+    load is seen to be small and the lines stay where they are.
     """
+    ids = written(orders.select("pedido_id"), "load-orders")
+    low, high = ids.agg(F.min("pedido_id"), F.max("pedido_id")).first()
+    if low is None:
+        return lines.limit(0)
     first, last = orders.agg(F.year(F.min("fecha_pedido")), F.year(F.max("fecha_pedido"))).first()
-    if first is None:
-        return orders
-    loaded = fact.filter(F.col("anio_pedido").between(first, last)).select("pedido_id")
-    return skew_join(orders, loaded, "pedido_id", "left_anti").select(*orders.columns)
+    own = skew_join(lines.filter(F.col("pedido_id").between(low, high)), ids, "pedido_id", "left_semi")
+    loaded = fact.filter(F.col("anio_pedido").between(first, last) & F.col("pedido_id").between(low, high))
+    return skew_join(own, loaded.select("detalle_id").distinct(), "detalle_id", "left_anti").select(*lines.columns)
 
 
 def increment(t: Tables, dims: Tables, fact: DataFrame, orders: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -39,12 +45,19 @@ def increment(t: Tables, dims: Tables, fact: DataFrame, orders: DataFrame) -> tu
 
     The rows are to be appended together as one version of the layer. All other
     dimensions are reused; a line whose lot, customer or route they do not know
-    is left out, as in the full load.
+    is left out, as in the full load (:func:`unresolved_lines` lists them). Orders
+    and lots that the new lines do not touch are left alone, so the work follows the load.
     """
-    pending = new_orders(orders, fact)
-    calendar = extend_calendar(dims["dim_tiempo"], pending)
+    pending = written(new_lines(t["detalle_pedido"], orders, fact), "load-lines")
+    touched = skew_join(orders, pending.select("pedido_id").distinct(), "pedido_id", "left_semi").select(*orders.columns)
+    calendar = extend_calendar(dims["dim_tiempo"], orders)  # dates of orders without lines, too
     grown = {**{name: dims[name] for name in dims}, "dim_tiempo": dims["dim_tiempo"].unionByName(calendar)}
     slice_ = {name: t[name] for name in t}
-    slice_["pedidos"] = pending
-    slice_["detalle_pedido"] = skew_join(t["detalle_pedido"], pending.select("pedido_id"), "pedido_id", "left_semi")
+    slice_["pedidos"], slice_["detalle_pedido"] = touched, pending
+    slice_["lotes_origen"] = t["lotes_origen"].join(pending.select("lote_id").distinct(), "lote_id", "left_semi")
     return calendar, star_fact(slice_, grown).select(*fact.columns)
+
+
+def unresolved_lines(lines: DataFrame, fact: DataFrame) -> DataFrame:
+    """Lines that a load left out, since a dimension or an order does not know them: for the reject log."""
+    return skew_join(lines, fact.select("detalle_id").distinct(), "detalle_id", "left_anti").select(*lines.columns)

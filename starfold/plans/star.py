@@ -215,7 +215,7 @@ def fact_measures(lines: DataFrame) -> DataFrame:
     kilos, gross, net = F.col("kilos_solicitados"), F.col("importe_bruto"), F.col("importe_neto")
     product, logistic = kilos * F.col("producto_kg"), kilos * F.col("logistico_kg")
     return lines.select(
-        "pedido_id", *KEYS,
+        "detalle_id", "pedido_id", *KEYS,
         dec(kilos, 12, 2).alias("kilos_vendidos"),
         F.col("cajas_solicitadas").alias("cajas_vendidas"),
         gross.alias("importe_bruto"),
@@ -239,7 +239,7 @@ def star_fact(t: Tables, dims: Tables) -> DataFrame:
     written once: their true size then decides the join strategy.
     """
     lines = t["detalle_pedido"].select(
-        "pedido_id", "lote_id", "kilos_solicitados", "cajas_solicitadas",
+        "detalle_id", "pedido_id", "lote_id", "kilos_solicitados", "cajas_solicitadas",
         money("importe_bruto").alias("importe_bruto"), money("importe_neto").alias("importe_neto"))
     orders = written(order_keys(t, dims), "order-keys")
     lots = written(lot_keys(t, dims), "lot-keys")

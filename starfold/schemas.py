@@ -327,12 +327,12 @@ STAR = {
         "tipo_transporte STRING, ruta_logistica? STRING, duracion_estimada_dias? INT",
         key=("logistica_sk",)),
     "fact_exportaciones": Table(
-        "pedido_id BIGINT, tiempo_sk BIGINT, producto_sk BIGINT, cliente_sk BIGINT, geografia_sk BIGINT, finca_sk BIGINT, "
+        "detalle_id BIGINT, pedido_id BIGINT, tiempo_sk BIGINT, producto_sk BIGINT, cliente_sk BIGINT, geografia_sk BIGINT, finca_sk BIGINT, "
         "calidad_sk BIGINT, logistica_sk BIGINT, campania_sk BIGINT, kilos_vendidos DECIMAL(12,2), cajas_vendidas INT, "
         "importe_bruto DECIMAL(12,2), descuento DECIMAL(12,2), importe_neto DECIMAL(12,2), "
         "coste_producto DECIMAL(12,2), coste_logistico DECIMAL(12,2), coste_total DECIMAL(12,2), margen DECIMAL(12,2), "
         "precio_medio_kg DECIMAL(12,4), tiempo_entrega_dias INT",
-        key=(),  # one row per order line; pedido_id is kept so that loads can be repeated
+        key=(),  # one row per order line; its id is kept so that loads can be repeated, but given lines may share one
         parents={"tiempo_sk": "dim_tiempo", "producto_sk": "dim_producto", "cliente_sk": "dim_cliente",
                  "geografia_sk": "dim_geografia", "finca_sk": "dim_finca", "calidad_sk": "dim_calidad",
                  "logistica_sk": "dim_logistica", "campania_sk": "dim_campania"}),
@@ -395,7 +395,7 @@ def validate_layer(tables: Mapping[str, DataFrame], declared: Mapping[str, Table
     for name, df in tables.items():
         table = declared[name]
         rules = table.rules(tables) + cross_column_rules(name)
-        reports.append(validate(df, table.key or ("pedido_id",), rules).select(F.lit(name).alias("tabla"), "rule", "key", "value"))
+        reports.append(validate(df, table.key or ("detalle_id",), rules).select(F.lit(name).alias("tabla"), "rule", "key", "value"))
     if "cobros" in tables and "facturas" in tables:
         late = payments_before_invoice(tables["cobros"], tables["facturas"])
         reports.append(late.select(F.lit("cobros").alias("tabla"), "rule", "key", "value"))
