@@ -22,8 +22,9 @@ from ..session import written
 KINDS = ("email", "ip", "card", "phone")
 TERM_KINDS = ("removed", "term")
 LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "removed": "[REMOVED]", "term": "[NAME]"}
-#: Characters of context on either side of an entity.
-CONTEXT = 80
+#: Characters of context on either side of an entity, and those of them by which contexts are told apart: the near copies
+#: of a document mostly agree next to the entity and so do not look like independent evidence.
+CONTEXT, NEAR = 80, 20
 #: A pair of term and entity counts from so many distinct contexts on.
 SUPPORT = 3
 GENERALISE, REMOVE = 0.85, 0.95
@@ -124,7 +125,9 @@ def _with_spans(docs: DataFrame) -> DataFrame:
         begin = F.greatest(span["start"] - CONTEXT, F.lit(0))
         before = F.substring(text, (begin + 1).cast("int"), (span["start"] - begin).cast("int"))
         after = F.substring(text, (span["end"] + 1).cast("int"), F.lit(CONTEXT))
-        return F.struct(span["kind"].alias("kind"), span["value"].alias("value"), F.lower(F.concat_ws(" ", before, after)).alias("context"))
+        near = F.concat(F.right(before, F.lit(NEAR)), F.left(after, F.lit(NEAR)))
+        return F.struct(span["kind"].alias("kind"), span["value"].alias("value"), F.lower(near).alias("near"),
+                        F.lower(F.concat_ws(" ", before, after)).alias("context"))
 
     return written(rows.select("doc_id", *_key(), "spans", F.transform("spans", context).alias("contexts")), "pii-spans")
 
@@ -133,11 +136,11 @@ def disclosing_terms(docs: DataFrame, spans: DataFrame, support: int = SUPPORT,
                      remove: float = REMOVE) -> DataFrame | None:
     """``kind, value, term, level``: the terms that give an entity away, or None when no pair has the support.
 
-    Copies of a document repeat its contexts, which count once, so a large group of
+    Copies of a document, exact or near, repeat its contexts, which count once, so a large group of
     copies does not make its words look like names. Terms are counted over all
     words of all documents, combined in each task before the shuffle.
     """
-    contexts = spans.select(F.explode("contexts").alias("c")).select("c.*").distinct()
+    contexts = spans.select(F.explode("contexts").alias("c")).select("c.*").groupBy("kind", "value", "near").agg(F.min("context").alias("context"))
     entities = contexts.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n_entity")).where(F.col("n_entity") >= support)
     terms = F.array_distinct(F.regexp_extract_all("context", F.lit(TERM), F.lit(0)))
     pairs = contexts.select("kind", "value", F.explode(terms).alias("term")).groupBy("kind", "value", "term").agg(
