@@ -10,13 +10,14 @@ from functools import lru_cache
 import numpy as np
 
 #: Distinct words in a generation of a worker's memory, of which there are two, and characters of a longer word.
-REMEMBERED_WORDS, REMEMBERED_LENGTH = 400_000, 64
+REMEMBERED_WORDS, REMEMBERED_LENGTH = 600_000, 64
 #: Characters of text that are looked up together.
 TOGETHER = 1 << 20
 
 #: ASCII punctuation that ends a word. A vocabulary that splits letters, digits and other characters apart gives the
 #: same ids with a blank before it, and words repeat more often without it. Only after letters that normalising leaves
 #: letters: a dotted capital I, for one, would end in a mark that belongs with the punctuation.
+_LETTERS = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
 _ENDING = re.compile(r"(?<=[A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f])[!-/:-@\[-^`{-~]+(?=[ \t\r\n]|\Z)")
 
 
@@ -38,6 +39,11 @@ class TokenIds:
         how = self._tokenizer.__getstate__().decode()
         self._lower = '"Lowercase"' in how
         self._apart = "[\\\\p{L}]+|[\\\\p{N}]|[^\\\\s\\\\p{L}\\\\p{N}]+" in how and '"behavior":"Removed"' in how
+        self._ends = None
+        if self._apart and '"end_of_word_suffix":"</w>"' in how:
+            vocabulary = self._tokenizer.get_vocab()
+            self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self._ends[[at for token, at in vocabulary.items() if token.endswith("</w>")]] = True
         self._known: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
 
@@ -61,32 +67,41 @@ class TokenIds:
                 text = _ENDING.sub(r" \g<0>", text)
         return text.replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ")
 
-    def _encode_apart(self, words: list[str]) -> list[bytes]:
-        """The ids of each word, encoded as one text and split by where tokens begin in it."""
+    def _encode_apart(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        """The ids of each word, encoded as one text and split where words end in it."""
+        plain = [word for word in words if _LETTERS.fullmatch(word)] if self._ends is not None else []
+        if plain:
+            ids = np.array(self._tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, "<u4")
+            ends = (np.flatnonzero(self._ends[ids]) + 1).tolist()
+            if len(ends) == len(plain):  # each word of letters is one piece with one end
+                yield from zip(plain, (ids[b:e].tobytes() for b, e in zip([0, *ends], ends)))
+                words = [word for word in words if not _LETTERS.fullmatch(word)]
+        if not words:
+            return
         encoded = self._tokenizer.encode(" ".join(words), add_special_tokens=False)
         starts = np.cumsum([0] + [len(word) + 1 for word in words[:-1]])
         ids = np.array(encoded.ids, "<u4")
         begins = np.fromiter((begin for begin, _ in encoded.offsets), np.int64, len(ids))
-        ends = np.append(np.searchsorted(begins, starts[1:]), len(ids))
-        return [ids[b:e].tobytes() for b, e in zip(np.append(0, ends[:-1]).tolist(), ends.tolist())]
+        last = np.append(np.searchsorted(begins, starts[1:]), len(ids)).tolist()
+        yield from zip(words, (ids[b:e].tobytes() for b, e in zip([0, *last], last)))
 
     def _ids(self, texts: list[list[str]]) -> Iterator[bytes]:
         known, older = self._known, self._older
+        found = [list(map(known.get, words)) for words in texts]
         missing = []
-        for word in set().union(*texts).difference(known):
+        for word in {word for words, ids in zip(texts, found) if None in ids for word, own in zip(words, ids) if own is None}:
             ids = older.get(word)
             if ids is None:
                 missing.append(word)
             else:
                 known[word] = ids
-        long = [word for word in missing if len(word) > REMEMBERED_LENGTH]
-        for at in range(0, len(missing), 2000):
-            some = missing[at:at + 2000]
-            known.update(zip(some, self._encode_apart(some)))
-        for words in texts:
-            yield b"".join([known[word] for word in words])
-        for word in long:
-            del known[word]
+        for at in range(0, len(missing), 5000):
+            known.update(self._encode_apart(missing[at:at + 5000]))
+        for words, ids in zip(texts, found):
+            yield b"".join([known[word] if own is None else own for word, own in zip(words, ids)] if None in ids else ids)
+        for word in missing:
+            if len(word) > REMEMBERED_LENGTH:
+                del known[word]
         if len(known) > REMEMBERED_WORDS:
             self._known, self._older = {}, known
 
