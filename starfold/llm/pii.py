@@ -2,12 +2,12 @@
 
 Patterns find the protected entities: e-mail and network addresses, card and
 phone numbers. The corpus then tells which ordinary terms give an entity away.
-Around each occurrence of an entity its context is kept; over all distinct
-contexts and all documents, the pointwise mutual information of a term and an
-entity, log(p(t, e) / (p(t) p(e))), is compared with the entity's information,
--log p(e), which it reaches when the term never occurs without the entity. Terms
-that disclose more than ``REMOVE`` of it are removed from the documents that hold
-the entity, those above ``GENERALISE`` are replaced by a general word.
+Everything is counted in one unit, documents, of which exact and near copies are one:
+the pointwise mutual information of a term and an entity that a document holds,
+log(p(t, e) / (p(t) p(e))), is compared with the entity's information, -log p(e),
+which it reaches when the term never occurs without the entity. Terms that
+disclose more than ``REMOVE`` of it are removed from the documents that hold the
+entity, those above ``GENERALISE`` are replaced by a general word.
 """
 
 from __future__ import annotations
@@ -18,14 +18,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
+from .components import components
 
 KINDS = ("email", "ip", "card", "phone")
 TERM_KINDS = ("removed", "term")
 LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "removed": "[REMOVED]", "term": "[NAME]"}
-#: Characters of context on either side of an entity, and those of them by which contexts are told apart: the near copies
-#: of a document mostly agree next to the entity and so do not look like independent evidence.
-CONTEXT, NEAR = 80, 20
-#: A pair of term and entity counts from so many distinct contexts on.
+#: A document's sketch: the least hashes of its shingles of three words. Near copies agree in two of the ``PROBES`` least and
+#: in so much of the sketch.
+SKETCH, PROBES, ALIKE = 64, 5, 0.8
+#: A pair of term and entity counts from so many documents on.
 SUPPORT = 3
 GENERALISE, REMOVE = 0.85, 0.95
 TERM = "\\p{L}{4,}"
@@ -115,54 +116,84 @@ def _key(text: str = "text") -> list[Column]:
 _KEY = ["_h1", "_h2", "_h3"]
 
 
+def _sketch(text: Column) -> Column:
+    """The least hashes of the text's distinct shingles; fewer than three words are one shingle."""
+    words = F.transform(F.filter(F.split(F.lower(text), "[^\\p{L}\\p{N}@]+"), lambda w: w != ""), lambda w: F.xxhash64(w))
+    shingle = lambda all_, w, at: F.when((at == 0) | (at + 2 < F.size(all_)), F.xxhash64(w, F.get(all_, at + 1), F.get(all_, at + 2)))
+    # inside the outer transform the words are a variable; the expression itself would be evaluated again for each of them
+    hashes = F.transform(F.array(words), lambda all_: F.transform(all_, lambda w, at: shingle(all_, w, at)))
+    return F.slice(F.sort_array(F.array_distinct(F.array_compact(F.flatten(hashes)))), 1, SKETCH)
+
+
 def _with_spans(docs: DataFrame) -> DataFrame:
-    """``doc_id``, the text's key, its base spans, and the context of each of them."""
+    """``_row, doc_id``, the text's key, its base spans, the entities and terms it holds, and its sketch."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.select("doc_id", "text", base_spans(F.col("text")).alias("spans"))
-    text = F.col("text")
-
-    def context(span: Column) -> Column:
-        begin = F.greatest(span["start"] - CONTEXT, F.lit(0))
-        before = F.substring(text, (begin + 1).cast("int"), (span["start"] - begin).cast("int"))
-        after = F.substring(text, (span["end"] + 1).cast("int"), F.lit(CONTEXT))
-        near = F.concat(F.right(before, F.lit(NEAR)), F.left(after, F.lit(NEAR)))
-        return F.struct(span["kind"].alias("kind"), span["value"].alias("value"), F.lower(near).alias("near"),
-                        F.lower(F.concat_ws(" ", before, after)).alias("context"))
+    held = F.array_distinct(F.transform("spans", lambda s: F.struct(s["kind"].alias("kind"), s["value"].alias("value"))))
+    terms = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))
+    return written(rows.select(
+        F.monotonically_increasing_id().alias("_row"), "doc_id", *_key(), "spans", held.alias("held"), terms.alias("terms"),
+        _sketch(F.col("text")).alias("sketch")), "pii-spans")
 
-    return written(rows.select("doc_id", *_key(), "spans", F.transform("spans", context).alias("contexts")), "pii-spans")
 
+def _units(spans: DataFrame) -> DataFrame:
+    """``unit, alone, held, terms`` per distinct text; near copies share a ``unit``.
 
-def disclosing_terms(docs: DataFrame, spans: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE,
-                     remove: float = REMOVE) -> DataFrame | None:
-    """``kind, value, term, level``: the terms that give an entity away, or None when no pair has the support.
-
-    Copies of a document, exact or near, repeat its contexts, which count once, so a large group of
-    copies does not make its words look like names. Terms are counted over all
-    words of all documents, combined in each task before the shuffle.
+    Texts that agree in two of their least shingle hashes are compared with the first that does, by how much of
+    the least hashes of both together they share.
+    """
+    texts = written(spans.groupBy(*_KEY).agg(F.min("_row").alias("_row"), F.first("sketch").alias("sketch")).select("_row", "sketch"), "pii-sketches")
+    least = F.col("sketch")
+    two = [F.when(F.size(least) > j, F.xxhash64(F.get(least, F.lit(i)), F.get(least, F.lit(j)))) for j in range(PROBES) for i in range(j)]
+    whole = F.when(F.size(least) > 0, F.xxhash64(least))
+    probes = texts.select("_row", F.explode(F.array_compact(F.array(whole, *two))).alias("probe"))
+    first = probes.groupBy("probe").agg(F.min("_row").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("probe", "first")
+    likely = probes.join(first, "probe").where("_row != first").select(F.col("_row").alias("a"), F.col("first").alias("b")).distinct()
+    own = texts.select(F.col("_row").alias("a"), F.col("sketch").alias("sa"))
+    other = texts.select(F.col("_row").alias("b"), F.col("sketch").alias("sb"))
+    both = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, SKETCH)
+    shared = F.size(F.array_intersect(both, F.array_intersect("sa", "sb")))
+    near = likely.join(own, "a").join(other, "b").where(shared >= ALIKE * F.size(both)).select("a", "b")
+    classes = components(near).select(F.col("node").alias("_row"), "root")
+    named = texts.select("_row").join(classes, "_row", "left").select("_row", F.coalesce("root", "_row").alias("unit"), F.col("root").isNull().alias("alone"))
+    return written(named.join(spans.select("_row", "held", "terms"), "_row").select("unit", "alone", "held", "terms"), "pii-units")
+
+
+def disclosing_terms(spans: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame | None:
+    """``kind, value, term, level``: the terms that give an entity away, or None when no entity has the support.
+
+    Copies of a document, exact or near, count once for entities, terms, pairs and
+    the total alike. A term and an entity meet wherever in a document they stand. Terms
+    too frequent to reach ``generalise`` with any entity of a document are left
+    out before pairs are made.
     """
-    contexts = spans.select(F.explode("contexts").alias("c")).select("c.*").groupBy("kind", "value", "near").agg(F.min("context").alias("context"))
-    entities = contexts.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n_entity")).where(F.col("n_entity") >= support)
-    terms = F.array_distinct(F.regexp_extract_all("context", F.lit(TERM), F.lit(0)))
-    pairs = contexts.select("kind", "value", F.explode(terms).alias("term")).groupBy("kind", "value", "term").agg(
-        F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= support)
-    pairs = written(pairs.join(entities, ["kind", "value"]), "pii-pairs")
-    if pairs.isEmpty():
+    units = _units(spans)
+    held = units.select("unit", F.explode("held").alias("h")).select("unit", "h.kind", "h.value").distinct()
+    entities = held.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n_entity")).where(F.col("n_entity") >= support)
+    held = written(held.join(entities, ["kind", "value"]), "pii-held")
+    most = held.agg(F.max("n_entity")).first()[0]
+    if most is None:
         return None
-    wanted = pairs.select("term").distinct()
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.col("text").cast("string")), F.lit(TERM), F.lit(0)))).alias("term"))
-    # counted first: Spark would move a semi join below the count and so to every word
-    counted = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")).join(wanted, "term")
-    total = spans.count()
-    mutual = F.log(F.col("n_both") * F.lit(float(total)) / (F.col("n_term") * F.col("n_entity")))
-    own = F.log(F.lit(float(total)) / F.col("n_entity"))
+    total = float(units.select("unit").distinct().count())
+    lowest = min(generalise, remove)
+    words = units.where("alone").select(F.explode("terms").alias("term")).union(
+        units.where("not alone").select("unit", F.explode("terms").alias("term")).distinct().select("term"))
+    bound = lambda n: n * F.pow(F.lit(total) / n, F.lit(1 - lowest)) * (1 + 1e-9)
+    counted = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")).where(
+        (F.col("n_term") >= support) & (F.col("n_term") <= bound(F.lit(float(most)))))
+    here = units.join(held.select("unit").distinct(), "unit", "left_semi").select("unit", F.explode("terms").alias("term")).distinct()
+    met = here.join(counted, "term").join(held, "unit").where(F.col("n_term") <= bound(F.col("n_entity").cast("double")))
+    pairs = met.groupBy("kind", "value", "term", "n_entity", "n_term").agg(F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= support)
+    mutual = F.log(F.col("n_both") * F.lit(total) / (F.col("n_term") * F.col("n_entity")))
+    own = F.log(F.lit(total) / F.col("n_entity"))
     share = F.when(own > 0, mutual / own).otherwise(0.0)
     level = F.when(share >= remove, TERM_KINDS[0]).when(share >= generalise, TERM_KINDS[1])
-    return written(pairs.join(counted, "term").select("kind", "value", "term", level.alias("level")).where("level is not null"), "pii-terms")
+    return written(pairs.select("kind", "value", "term", level.alias("level")).where("level is not null"), "pii-terms")
 
 
 def _terms_of_texts(spans: DataFrame, terms: DataFrame) -> DataFrame:
     """The text's key and the terms to hide in it; removal wins over generalising."""
-    held = spans.select(*_KEY, F.explode("contexts").alias("c")).select(*_KEY, "c.kind", "c.value").distinct()
+    held = spans.select(*_KEY, F.explode("held").alias("h")).select(*_KEY, "h.kind", "h.value").distinct()
     levels = held.join(terms, ["kind", "value"]).groupBy(*_KEY, "term").agg(F.min("level").alias("level"))
     of = lambda level: F.sort_array(F.collect_list(F.when(F.col("level") == level, F.col("term"))))
     return written(levels.groupBy(*_KEY).agg(of(TERM_KINDS[0]).alias("_removed"), of(TERM_KINDS[1]).alias("_generalised")), "pii-texts")
@@ -188,7 +219,7 @@ def find(docs: DataFrame, **thresholds) -> DataFrame:
     rows.
     """
     spans = _with_spans(docs)
-    terms = disclosing_terms(docs, spans, **thresholds)
+    terms = disclosing_terms(spans, **thresholds)
     plain = F.col("spans").alias("base"), F.col("spans")
     if terms is None:
         return spans.select("doc_id", *plain)
@@ -222,7 +253,7 @@ def sanitise(docs: DataFrame, **thresholds) -> DataFrame:
     text = F.col(columns["text"]).cast("string")
     keyed = own.select(F.col(columns["doc_id"]).alias("doc_id"), text.alias("text"))
     spans = _with_spans(keyed)
-    terms = disclosing_terms(keyed, spans, **thresholds)
+    terms = disclosing_terms(spans, **thresholds)
     if terms is None:
         hidden = own.withColumn("_text", hide(text, base_spans(text)))
     else:

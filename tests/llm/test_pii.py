@@ -1,7 +1,7 @@
 import re
 
 import pytest
-from llm_helpers import table
+from llm_helpers import table, words
 from pyspark.sql import functions as F
 
 from starfold.llm import pii
@@ -83,3 +83,21 @@ def test_edges(odd, empty, odd_rows):
     assert hidden.columns == odd.columns
     assert sorted(map(str, hidden.collect())) == sorted(map(str, odd.collect()))
     assert pii.find(empty).count() == 0 and pii.sanitise(empty).count() == 0
+
+
+def spans_of(spark, rows):
+    found = pii.find(table(spark, rows)).select("doc_id", pii.digest(F.col("spans")).alias("s"))
+    return {r.doc_id: r.s for r in found.collect()}
+
+
+FILLER = [(1000 + i, words(i, 30), "en", "a") for i in range(200)]
+
+
+def test_hot_copies_of_a_told_name(spark):
+    """Terms, entities and pairs count copies once, so the name of a text copied very often is still told."""
+    told = [(i, f"{words(500 + i, 12)} Zarathustra {words(600 + i, 12)} zara@example.org {words(700 + i, 12)}", "en", "a") for i in range(3)]
+    copies = [(5000 + i, told[0][1], "en", "a") for i in range(3000)]
+    near = [(9000 + i, told[1][1] + f" end{i}", "en", "a") for i in range(20)]
+    got = spans_of(spark, FILLER + told + copies + near)
+    assert all("removed" in got[i] for i in (0, 1, 2, 5000, 7999, 9000, 9019))
+    assert not any(got[1000 + i] for i in range(200))
