@@ -29,7 +29,7 @@ SKETCH, PROBES, ALIKE = 64, 5, 0.8
 #: A pair of term and entity counts from so many documents on.
 SUPPORT = 3
 GENERALISE, REMOVE = 0.85, 0.95
-TERM = "\\p{L}{4,}"
+TERM = "\\p{L}{2,}"
 
 # Patterns. Quantifiers are possessive and a run is entered at its start (or where the former match ended), which finds
 # the same matches as plain greedy ones but never backtracks or recurses over very long runs.

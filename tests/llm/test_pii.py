@@ -101,3 +101,17 @@ def test_hot_copies_of_a_told_name(spark):
     got = spans_of(spark, FILLER + told + copies + near)
     assert all("removed" in got[i] for i in (0, 1, 2, 5000, 7999, 9000, 9019))
     assert not any(got[1000 + i] for i in range(200))
+
+
+def test_near_copies_and_repeats_are_one_document(spark):
+    near = [(i, f"Quibblewick {words(800, 60)} solo@example.org copy{i}", "en", "a") for i in range(30)]
+    thrice = [(100, " ".join(f"Humperdinck {words(900 + i, 20)} once@example.org {words(950 + i, 20)}" for i in range(3)), "en", "a")]
+    got = spans_of(spark, FILLER + near + thrice)
+    assert not any("removed" in got[i] or "term" in got[i] for i in [*range(30), 100])
+
+
+def test_signature_far_from_a_short_name(spark):
+    """Independent documents that name the address in the same words, with the name far away and short."""
+    told = [(i, f"Dear Lee, {words(300 + i, 60)} please write to lee7@example.org for further details", "en", "a") for i in range(4)]
+    got = spans_of(spark, FILLER + told)
+    assert all("removed:5:8" in got[i] for i in range(4))
