@@ -7,7 +7,7 @@ leaves for either. A query visits leaves best bin first: a priority queue of
 branches by distance to their centre. How many leaves it visits is calibrated: a
 bounded set of queries is answered by brute force over all vectors in blocks, and
 the visits are widened until the found share of true neighbours reaches the recall
-asked for.
+asked for. A query whose leaves hold too few vectors for a full answer goes on.
 """
 
 from __future__ import annotations
@@ -95,13 +95,14 @@ def leaf_of(tree: Tree, points: np.ndarray) -> np.ndarray:
     return out
 
 
-def best_bins(tree: Tree, point: np.ndarray, visits: int) -> list[int]:
-    """The first ``visits`` leaves of a best-bin-first walk."""
-    queue, found, ties = [(0.0, 0, tree)], [], 0
-    while queue and len(found) < visits:
+def best_bins(tree: Tree, point: np.ndarray, visits: int, sizes: dict[int, int] | None = None, wanted: int = 0) -> list[int]:
+    """The first ``visits`` leaves of a best-bin-first walk, and as many more as it takes to hold ``wanted`` vectors by ``sizes``."""
+    queue, found, ties, held = [(0.0, 0, tree)], [], 0, 0
+    while queue and (len(found) < visits or held < wanted):
         _, _, node = heapq.heappop(queue)
         if node.centres is None:
             found.append(node.leaf)
+            held += sizes.get(node.leaf, 0) if sizes else 0
             continue
         for distance, branch in zip(_distances(point[None, :], node.centres)[0], node.branches):
             ties += 1
@@ -203,7 +204,7 @@ def search(vectors: DataFrame, is_query, k: int = NEIGHBOURS, recall: float = RE
 
     index = written(rows.mapInArrow(to_leaves, "leaf int, vec_id bigint, v array<double>"), "leaves")
     sizes = {r["leaf"]: r["count"] for r in index.groupBy("leaf").count().collect()}  # as many as leaves, at most SAMPLE / 16
-    queries = rows.where(is_query).dropDuplicates(["vec_id"])
+    queries = rows.where(is_query).groupBy("vec_id").agg(F.first("v").alias("v"), F.count(F.lit(1)).alias("own"))
     visits, measured = _calibrate(index, queries, tree, leaves, raised, k, recall)
     shards = _shards(sizes)
 
@@ -211,9 +212,9 @@ def search(vectors: DataFrame, is_query, k: int = NEIGHBOURS, recall: float = RE
         for batch in batches:
             v = raised(_matrix(batch.column(1))) if batch.num_rows else np.empty((0, 1))
             at, shard, visited = [], [], []
-            for row, point in enumerate(v):
+            for row, (point, own_rows) in enumerate(zip(v, batch.column(2).to_pylist())):  # its own rows are no candidates
                 by_shard: dict[int, list[int]] = {}
-                for leaf in best_bins(tree, point, visits):
+                for leaf in best_bins(tree, point, visits, sizes, k + own_rows):
                     for number in shards.get(leaf, ()):
                         by_shard.setdefault(number, []).append(leaf)
                 for number, own in by_shard.items():
@@ -223,7 +224,7 @@ def search(vectors: DataFrame, is_query, k: int = NEIGHBOURS, recall: float = RE
                 [pa.array(shard, pa.int32()), pa.array(visited, pa.list_(pa.int32())), batch.column(0).take(taken), batch.column(1).take(taken)],
                 ["shard", "leaves", "query_id", "q"])
 
-    dealt = queries.select("vec_id", "v").mapInArrow(to_shards, "shard int, leaves array<int>, query_id bigint, q array<double>")
+    dealt = queries.select("vec_id", "v", "own").mapInArrow(to_shards, "shard int, leaves array<int>, query_id bigint, q array<double>")
     places = F.element_at(F.create_map(*[x for leaf, own in shards.items() for x in (F.lit(leaf), F.array(*map(F.lit, own)))]), F.col("leaf"))
     stored = index.select("leaf", "vec_id", "v", F.get(places, F.pmod(F.xxhash64("vec_id"), F.size(places).cast("bigint")).cast("int")).alias("shard"))
 

@@ -63,6 +63,16 @@ def test_neighbours_against_brute_force(spark, monkeypatch):
     assert hits / (75 * 20) >= 0.9
 
 
+def test_small_leaf_is_not_the_end(spark, monkeypatch):
+    """A query in a leaf of few vectors, some of them its own rows, goes on until its answer is full."""
+    tree = kmtree.Tree(np.array([[0.0, 9.0, 0.0], [9.0, 0.0, 0.0]]), [kmtree.Tree(leaf=0), kmtree.Tree(leaf=1)])
+    monkeypatch.setattr(kmtree, "fit", lambda sample, leaves: (tree, 2))
+    monkeypatch.setattr(kmtree, "_calibrate", lambda *a: (1, 1.0))
+    rows = [(0, [0.0, 9.0], 0, 1, 2)] * 25 + [(i, [0.0, 9.0], 0, 1, 2) for i in (1, 2)] + [(i, [9.0, i / 100], 0, 1, 2) for i in range(10, 60)]
+    got = kmtree.search(vectors(spark, rows), "vec_id = 0")[0].orderBy("rank").collect()
+    assert [r.vec_id for r in got] == [1, 2, *range(59, 41, -1)]
+
+
 def test_vector_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0], 1, 1, 1), (20, [1.0, 0.0], 1, 1, 1), (20, [1.0, 0.0], 1, 1, 1), (3, [0.0, 0.0], 1, 1, 1), (40, None, 1, 1, 1), (5, [nan, 1.0], 1, 1, 1),
