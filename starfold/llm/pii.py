@@ -156,7 +156,10 @@ def _units(spans: DataFrame) -> DataFrame:
     near = likely.join(own, "a").join(other, "b").where(shared >= ALIKE * F.size(both)).select("a", "b")
     classes = components(near).select(F.col("node").alias("_row"), "root")
     named = texts.select("_row").join(classes, "_row", "left").select("_row", F.coalesce("root", "_row").alias("unit"), F.col("root").isNull().alias("alone"))
-    return written(named.join(spans.select("_row", "held", "terms"), "_row").select("unit", "alone", "held", "terms"), "pii-units")
+    # one string takes less room in a shuffle than an array of them
+    joined = named.join(spans.select("_row", "held", F.array_join("terms", " ").alias("terms")), "_row")
+    terms = F.when(F.col("terms") != "", F.split("terms", " ")).otherwise(F.array().cast("array<string>"))
+    return written(joined.select("unit", "alone", "held", terms.alias("terms")), "pii-units")
 
 
 def disclosing_terms(spans: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame | None:
@@ -176,13 +179,12 @@ def disclosing_terms(spans: DataFrame, support: int = SUPPORT, generalise: float
         return None
     total = float(units.select("unit").distinct().count())
     lowest = min(generalise, remove)
-    words = units.where("alone").select(F.explode("terms").alias("term")).union(
-        units.where("not alone").select("unit", F.explode("terms").alias("term")).distinct().select("term"))
+    each = lambda some: some.where("alone").select("unit", F.explode("terms").alias("term")).union(
+        some.where("not alone").select("unit", F.explode("terms").alias("term")).distinct())
     bound = lambda n: n * F.pow(F.lit(total) / n, F.lit(1 - lowest)) * (1 + 1e-9)
-    counted = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")).where(
+    counted = each(units).groupBy("term").agg(F.count(F.lit(1)).alias("n_term")).where(
         (F.col("n_term") >= support) & (F.col("n_term") <= bound(F.lit(float(most)))))
-    here = units.join(held.select("unit").distinct(), "unit", "left_semi").select("unit", F.explode("terms").alias("term")).distinct()
-    met = here.join(counted, "term").join(held, "unit").where(F.col("n_term") <= bound(F.col("n_entity").cast("double")))
+    met = each(units.where(F.size("held") > 0)).join(counted, "term").join(held, "unit").where(F.col("n_term") <= bound(F.col("n_entity").cast("double")))
     pairs = met.groupBy("kind", "value", "term", "n_entity", "n_term").agg(F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= support)
     mutual = F.log(F.col("n_both") * F.lit(total) / (F.col("n_term") * F.col("n_entity")))
     own = F.log(F.lit(total) / F.col("n_entity"))
