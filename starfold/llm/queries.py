@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path, written
 from ..sources.tables import read_table
-from . import cotraining, kmtree, mixing, packing, pii, planes, rollups, simhash, spotsigs, urls
+from . import cotraining, kmtree, lexical, mixing, packing, pii, planes, ring, rollups, simhash, spotsigs, urls, whitening
 from .base import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -184,3 +184,36 @@ def op10_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "planes")
     planes.write_ids(read_table(spark, sf_dir, "documents"), path, vocabulary())
     return planes.read_digests(spark, path)
+
+
+@query("op11_whitening")
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_ring_shards")
+def op12_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ring.place(read_table(spark, sf_dir, "documents"))
+
+
+@query("op13_lexical_search", r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+sizes AS (SELECT doc_id, len(terms) AS n, terms FROM texts WHERE len(terms) > 0),
+total AS (SELECT count(*)::BIGINT AS documents, sum(n)::BIGINT AS length FROM sizes),
+counts AS (
+  SELECT doc_id, n, term, count(*)::BIGINT AS tf FROM (SELECT doc_id, n, unnest(terms) AS term FROM sizes) GROUP BY ALL),
+wanted AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * (SELECT documents FROM total) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM counts GROUP BY term),
+scores AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * documents) // length))))::BIGINT AS score
+  FROM wanted JOIN counts USING (term) JOIN weights USING (term), total GROUP BY ALL HAVING score > 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM scores)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10""")
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
