@@ -1,28 +1,39 @@
 """From raw documents to packed training sequences, in five stages.
 
 Each stage takes the documents its predecessor kept, as written Parquet, and all
-but the last return the columns of ``documents``.
+but the last return the columns of ``documents``. What a stage writes besides its
+result is dropped when the next one begins.
+
+Null texts are empty documents: the classifier judges them like any other, and all
+of them are near copies of one another, so at most one stays. Texts of any length
+are processed whole. Repeated rows count each until the near-copy stage, which keeps
+one of them; of equal ids the first position stays, null ids come last. An empty
+table passes all stages as one.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starfold.llm import cotraining, mixing, packing, pii, simhash
 from starfold.llm.queries import vocabulary
-from starfold.session import written
+from starfold.session import drop_scratch, scratch_scope, written
 from starfold.sources.tables import read_table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the co-trained classifier does not reject."""
+    """Documents that the co-trained classifier does not reject, each row for itself; all of them when no label is usable."""
     return cotraining.accepted(docs, read_table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles alike to 0.8 or more), the one of the least id."""
-    return simhash.keep_one_similar(docs)
+    """One document of each group that SimHash fingerprints of four-word shingles link at 4 bits or fewer, the one of the least id."""
+    return simhash.keep_one(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +43,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as often as the mix of sources takes them."""
+    """The documents as often as the mix of sources takes them; null sources are one source."""
     return mixing.mixed(docs)
 
 
@@ -41,20 +52,32 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, vocabulary(), with_ids=True)
 
 
-STAGES = [
+def _apart(work: Callable[..., DataFrame], spark: SparkSession, docs: DataFrame, sf_dir: str, scope: str = "pipeline") -> DataFrame:
+    """Run a stage with scratch of its own, dropping that of the stage before: its result is written by now."""
+    drop_scratch(spark, scope)
+    with scratch_scope(scope):
+        return work(spark, docs, sf_dir)
+
+
+STAGES = [(name, partial(_apart, work)) for name, work in (
     ("quality classifier", quality),
     ("simhash near-dedup", near_duplicates),
     ("pii", personal_data),
     ("source mixing", source_mix),
     ("packing", packed),
-]
+)]
 
 #: The classifier, fingerprint trees and tokenizer have no SQL form; tests/llm compares the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """The stages in turn over ``documents``; of their results only the last two are held at a time."""
+    docs, own = read_table(spark, sf_dir, "documents"), f"pipeline-{uuid.uuid4().hex[:12]}"
+    for at, (name, stage) in enumerate(STAGES[:-1]):
+        after = stage(spark, docs, sf_dir, scope=f"{own}/stage")
+        with scratch_scope(f"{own}/{at}"):
+            docs = written(after, name.replace(" ", "-"))
+        if at:
+            drop_scratch(spark, f"{own}/{at - 1}")
+    return STAGES[-1][1](spark, docs, sf_dir, scope=f"{own}/stage")

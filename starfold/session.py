@@ -6,6 +6,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,14 +58,29 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: Folder below the application's that scratch goes to.
+_scope: ContextVar[str] = ContextVar("scratch scope", default="")
+
+
+@contextmanager
+def scratch_scope(name: str) -> Iterator[None]:
+    """Scratch written meanwhile goes to a folder ``name`` of its own, which :func:`drop_scratch` can delete alone."""
+    token = _scope.set(name)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that no earlier job has written."""
-    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
+    parts = [shared_dir(spark), spark.sparkContext.applicationId, _scope.get(), f"{label}-{uuid.uuid4().hex[:12]}"]
+    return "/".join(filter(None, parts))
 
 
-def drop_scratch(spark: SparkSession) -> None:
-    """Delete what this application wrote to the shared folder; its results can no longer be read."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
+def drop_scratch(spark: SparkSession, scope: str = "") -> None:
+    """Delete what this application (or one ``scope`` of it) wrote to the shared folder; its results can no longer be read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path("/".join(filter(None, [shared_dir(spark), spark.sparkContext.applicationId, scope])))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
