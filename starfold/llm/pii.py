@@ -137,7 +137,7 @@ def _with_spans(docs: DataFrame) -> DataFrame:
 
 
 def _units(spans: DataFrame) -> DataFrame:
-    """``unit, alone, held, terms`` per distinct text; near copies share a ``unit``.
+    """``_row, unit`` per distinct text, of which the first row stands for all; near copies share a ``unit``.
 
     Texts that agree in two of their least shingle hashes are compared with the first that does, by how much of
     the least hashes of both together they share.
@@ -155,42 +155,42 @@ def _units(spans: DataFrame) -> DataFrame:
     shared = F.size(F.array_intersect(both, F.array_intersect("sa", "sb")))
     near = likely.join(own, "a").join(other, "b").where(shared >= ALIKE * F.size(both)).select("a", "b")
     classes = components(near).select(F.col("node").alias("_row"), "root")
-    named = texts.select("_row").join(classes, "_row", "left").select("_row", F.coalesce("root", "_row").alias("unit"), F.col("root").isNull().alias("alone"))
-    # one string takes less room in a shuffle than an array of them
-    joined = named.join(spans.select("_row", "held", F.array_join("terms", " ").alias("terms")), "_row")
-    terms = F.when(F.col("terms") != "", F.split("terms", " ")).otherwise(F.array().cast("array<string>"))
-    return written(joined.select("unit", "alone", "held", terms.alias("terms")), "pii-units")
+    return written(texts.select("_row").join(classes, "_row", "left").select("_row", F.coalesce("root", "_row").alias("unit")), "pii-units")
 
 
 def disclosing_terms(spans: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame | None:
     """``kind, value, term, level``: the terms that give an entity away, or None when no entity has the support.
 
     Copies of a document, exact or near, count once for entities, terms, pairs and
-    the total alike. A term and an entity meet wherever in a document they stand. Terms
-    too frequent to reach ``generalise`` with any entity of a document are left
-    out before pairs are made.
+    the total alike. A term and an entity meet wherever in a document they stand.
+    Pairs are made in the documents that hold an entity only. There, too frequent
+    terms are seen already: in all documents they are no rarer. Only the terms left
+    are counted everywhere, so the terms of the corpus are never shuffled.
     """
     units = _units(spans)
-    held = units.select("unit", F.explode("held").alias("h")).select("unit", "h.kind", "h.value").distinct()
+    holding = written(spans.where(F.size("held") > 0).select("_row", "held", "terms").join(units, "_row"), "pii-holding")
+    held = holding.select("unit", F.explode("held").alias("h")).select("unit", "h.kind", "h.value").distinct()
     entities = held.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n_entity")).where(F.col("n_entity") >= support)
     held = written(held.join(entities, ["kind", "value"]), "pii-held")
-    most = held.agg(F.max("n_entity")).first()[0]
-    if most is None:
+    if held.isEmpty():
         return None
     total = float(units.select("unit").distinct().count())
     lowest = min(generalise, remove)
-    each = lambda some: some.where("alone").select("unit", F.explode("terms").alias("term")).union(
-        some.where("not alone").select("unit", F.explode("terms").alias("term")).distinct())
-    bound = lambda n: n * F.pow(F.lit(total) / n, F.lit(1 - lowest)) * (1 + 1e-9)
-    counted = each(units).groupBy("term").agg(F.count(F.lit(1)).alias("n_term")).where(
-        (F.col("n_term") >= support) & (F.col("n_term") <= bound(F.lit(float(most)))))
-    met = each(units.where(F.size("held") > 0)).join(counted, "term").join(held, "unit").where(F.col("n_term") <= bound(F.col("n_entity").cast("double")))
-    pairs = met.groupBy("kind", "value", "term", "n_entity", "n_term").agg(F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= support)
-    mutual = F.log(F.col("n_both") * F.lit(total) / (F.col("n_term") * F.col("n_entity")))
-    own = F.log(F.lit(total) / F.col("n_entity"))
-    share = F.when(own > 0, mutual / own).otherwise(0.0)
-    level = F.when(share >= remove, TERM_KINDS[0]).when(share >= generalise, TERM_KINDS[1])
-    return written(pairs.select("kind", "value", "term", level.alias("level")).where("level is not null"), "pii-terms")
+
+    def share(n_term: str) -> Column:
+        """How much of the entity's information the term gives, if it is in ``n_term`` documents."""
+        own = F.log(F.lit(total) / F.col("n_entity"))
+        return F.when(own > 0, F.log(F.col("n_both") * F.lit(total) / (F.col(n_term) * F.col("n_entity"))) / own).otherwise(0.0)
+
+    within = holding.select("unit", F.explode("terms").alias("term")).distinct()
+    met = within.join(held, "unit").groupBy("kind", "value", "term", "n_entity").agg(F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= support)
+    beside = within.groupBy("term").agg(F.count(F.lit(1)).alias("n_beside"))
+    pairs = written(met.join(beside, "term").where(share("n_beside") >= lowest - 1e-9), "pii-pairs")
+    terms = written(pairs.select("term").distinct(), "pii-candidates")
+    everywhere = spans.select("_row", F.explode("terms").alias("term")).join(terms, "term").join(units, "_row").select("unit", "term").distinct()
+    counted = everywhere.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    level = F.when(share("n_term") >= remove, TERM_KINDS[0]).when(share("n_term") >= generalise, TERM_KINDS[1])
+    return written(pairs.join(counted, "term").select("kind", "value", "term", level.alias("level")).where("level is not null"), "pii-terms")
 
 
 def _terms_of_texts(spans: DataFrame, terms: DataFrame) -> DataFrame:
@@ -249,7 +249,11 @@ def hide(text: Column, spans: Column) -> Column:
 
 
 def sanitise(docs: DataFrame, **thresholds) -> DataFrame:
-    """The rows of ``docs`` with personal data and disclosing terms hidden in ``text``; other columns stay as they are."""
+    """The rows of ``docs`` with personal data and disclosing terms hidden in ``text``; other columns stay as they are.
+
+    Null texts stay null, empty ones empty; equal texts are hidden alike, so repeated
+    rows and null or repeated ids do no harm. An empty table gives no rows.
+    """
     columns = {name: f"_c{at}" for at, name in enumerate(docs.columns)}
     own = docs.toDF(*columns.values())
     text = F.col(columns["text"]).cast("string")

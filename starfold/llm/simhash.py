@@ -27,11 +27,6 @@ from .components import components
 SHINGLE_WORDS = 4
 LINK_BITS = 4
 SEED = 42
-#: What near copies are for ``keep_one_similar``: five-word shingles of this Jaccard similarity. There two fingerprints differ in
-#: about 10 bits; WIDE_BITS is far enough beyond to lose next to none, and saves most exact comparisons.
-SIMILAR_WORDS, SIMILARITY, WIDE_BITS = 5, 0.8, 24
-#: Candidates agree in a band of least hashes: at a similarity of 0.8 all but 1 - (1 - 0.8^5)^20, or 4 in 10000.
-BANDS, BAND_ROWS = 20, 5
 #: The tree's top is fitted on at most so many fingerprints (half a megabyte), the least by hash.
 SAMPLE = 65_536
 #: The tree's top has about sqrt(fingerprints) / SPREAD leaves, at most 2^DEPTH. Each level lets a fingerprint visit about
@@ -267,95 +262,3 @@ def keep_one(docs: DataFrame, **parameters) -> DataFrame:
     order = F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_row"))
     kept = grouped.join(ids, "_row").groupBy("root").agg(F.min(order).alias("_best")).select(F.col("_best._row").alias("_row"))
     return stored.join(kept, "_row", "left_semi").select(*[F.col(own).alias(name) for name, own in columns.items()])
-
-
-def _band_keys(hashes: np.ndarray) -> list[int]:
-    """A key for each band: its number and its least hashes under as many orders."""
-    import xxhash
-
-    random = np.random.default_rng(SEED)
-    mask = random.integers(0, 1 << 64, BANDS * BAND_ROWS, np.uint64)
-    factor = random.integers(0, 1 << 64, BANDS * BAND_ROWS, np.uint64) | np.uint64(1)
-    least = np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max)
-    for at in range(0, len(hashes), 1024):
-        least = np.minimum(least, ((hashes[at:at + 1024, None] ^ mask) * factor).min(axis=0))
-    return [xxhash.xxh64_intdigest(own.tobytes(), band) - (1 << 63) for band, own in enumerate(least.reshape(BANDS, BAND_ROWS))]
-
-
-def similar_groups(texts: list[str | None], similarity: float = SIMILARITY, bits: int = WIDE_BITS) -> np.ndarray:
-    """For each text the first of those that links of at least the similarity join it with.
-
-    A text that has joined a group is not compared with the group again, so a large
-    group of near copies costs about as many comparisons as it has members.
-    """
-    hashes = [shingle_hashes(_words(text), SIMILAR_WORDS) for text in texts]
-    prints = np.array([_majority(h) for h in hashes], np.uint64)
-    sets = [np.unique(h) for h in hashes]
-    sizes = np.array([len(s) for s in sets], np.int64)
-    group, rest = np.arange(len(texts)), np.arange(len(texts))
-
-    def alike(a: np.ndarray, b: np.ndarray) -> bool:
-        if not len(a):
-            return not len(b)
-        shared = int((a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).sum())
-        return shared >= similarity * (len(a) + len(b) - shared) - 1e-9
-
-    while len(rest):
-        first, rest = int(rest[0]), rest[1:]
-        queue = [first]
-        while queue and len(rest):
-            own = queue.pop()
-            likely = np.minimum(sizes[rest], sizes[own]) >= similarity * np.maximum(sizes[rest], sizes[own]) - 1e-9
-            likely &= np.bitwise_count(prints[rest] ^ prints[own]) <= bits
-            found = np.zeros(len(rest), bool)
-            for at in np.flatnonzero(likely):
-                found[at] = alike(sets[own], sets[rest[at]])
-            group[rest[found]] = first
-            queue += rest[found].tolist()
-            rest = rest[~found]
-    return group
-
-
-def keep_one_similar(docs: DataFrame) -> DataFrame:
-    """One row of each group of near copies, that of the least ``doc_id``, with all its columns as they are.
-
-    Near copies share at least ``SIMILARITY`` of their five-word shingles, which is
-    checked exactly. Candidates are joined by the bands they agree in; within what
-    bands join, texts of fingerprints within ``WIDE_BITS`` are compared, each pair
-    that does not belong together already. Texts of the same words meet before
-    anything is compared. Null texts and texts without words are copies of one
-    another. Of equal ids the first position stays, null ids stand last.
-    """
-    columns = {name: f"_c{at}" for at, name in enumerate(docs.columns)}
-    stored = written(docs.toDF(*columns.values()).withColumn("_row", F.monotonically_increasing_id()), "similar-rows")
-
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
-        for batch in batches:
-            same, bands = [], []
-            for text in batch.column(2):
-                words = _words(text.as_py())
-                same.append(xxhash.xxh3_128_hexdigest(b" ".join(words)))
-                bands.append(_band_keys(shingle_hashes(words, SIMILAR_WORDS)) if words else [])
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array(same, pa.string()), pa.array(bands, pa.list_(pa.int64()))], ["_row", "_id", "same", "bands"])
-
-    def compare(table: pa.Table) -> pa.Table:
-        nodes = table.column("node")
-        return pa.table({"node": nodes, "root": nodes.take(pa.array(similar_groups(table.column("text").to_pylist())))})
-
-    text = F.col(columns["text"]).cast("string").alias("text")
-    signed = stored.select("_row", F.col(columns["doc_id"]).cast("bigint").alias("_id"), text).mapInArrow(
-        sign, "_row bigint, _id bigint, same string, bands array<bigint>")
-    order = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row"))
-    texts = written(signed.groupBy("same").agg(F.min(order).alias("best"), F.first("bands").alias("bands")).select(
-        "best", F.col("best.row").alias("node"), "bands"), "similar-texts")
-    entries = texts.select("node", F.explode("bands").alias("band"))
-    least = entries.groupBy("band").agg(F.min("node").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "low")
-    loose = components(entries.join(least, "band").where("node != low").select(F.col("node").alias("a"), F.col("low").alias("b")))
-    members = loose.join(stored.select(F.col("_row").alias("node"), text), "node").select("root", "node", "text")
-    exact = members.groupBy("root").applyInArrow(compare, "node bigint, root bigint")
-    kept = texts.select("node", "best").join(exact, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(
-        F.min("best").alias("best")).select(F.col("best.row").alias("_row"))
-    return stored.join(kept, "_row", "left_semi").select(*[F.col(own).alias(name) for name, own in columns.items()])

@@ -115,3 +115,36 @@ def test_signature_far_from_a_short_name(spark):
     told = [(i, f"Dear Lee, {words(300 + i, 60)} please write to lee7@example.org for further details", "en", "a") for i in range(4)]
     got = spans_of(spark, FILLER + told)
     assert all("removed:5:8" in got[i] for i in range(4))
+
+
+def test_levels_against_brute_force(spark):
+    """Every level follows from p(t, e) / (p(t) p(e)) over documents, counted plainly."""
+    import math
+    import random
+
+    pick, rows, held, terms = random.Random(11), [], {}, {}
+    letters = lambda n: "".join(pick.choice("abcdefgh") for _ in range(n))
+    names, common = [letters(9) for _ in range(12)], [letters(5) for _ in range(30)]
+    for i in range(400):
+        own = [letters(14) for _ in range(25)] + pick.sample(common, 8)
+        entity = f"box{i % 8}@host.example.org" if i % 5 < 2 else None
+        if entity:
+            own += [names[i % 8]] * (pick.random() < 0.9) + [names[8 + i % 4]] * (pick.random() < 0.5)
+        elif pick.random() < 0.02:
+            own.append(names[pick.randrange(12)])
+        pick.shuffle(own)
+        rows.append((i, " ".join(own + [entity] * (entity is not None)), "en", "a"))
+        held[i] = {entity} - {None}
+        terms[i] = set(own) | set(re.findall("[a-z]{2,}", entity or ""))
+    expected, n = {}, len(rows)
+    for entity in set().union(*held.values()):
+        with_e = [i for i in held if entity in held[i]]
+        own = math.log(n / len(with_e))
+        for term in set().union(*(terms[i] for i in with_e)):
+            both, n_t = sum(term in terms[i] for i in with_e), sum(term in t for t in terms.values())
+            share = math.log(both * n / (n_t * len(with_e))) / own
+            if both >= pii.SUPPORT and share >= pii.GENERALISE:
+                expected[entity, term] = "removed" if share >= pii.REMOVE else "term"
+    found = pii.disclosing_terms(pii._with_spans(table(spark, rows)))
+    assert {(r.value, r.term): r.level for r in found.collect()} == expected
+    assert set(expected.values()) == {"removed", "term"} and {t for _, t in expected} & set(names[:8])

@@ -103,50 +103,3 @@ def test_edges(odd, empty, odd_rows):
     assert kept.columns == odd.columns
     assert kept.count() == len({r.root for r in got})
     assert simhash.near_duplicates(empty).count() == 0 and simhash.keep_one(empty).count() == 0
-
-
-def similar(texts, similarity=0.8):
-    """Groups by brute force over plain sets of five words."""
-    sets = []
-    for text in texts:
-        found = (text or "").lower().split()
-        sets.append({tuple(found[i:i + 5]) for i in range(max(1, len(found) - 4))} if found else set())
-    root = list(range(len(sets)))
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    for i in range(len(sets)):
-        for j in range(i):
-            if sets[i] == sets[j] or len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]) > 0:
-                a, b = find(i), find(j)
-                root[max(a, b)] = min(a, b)
-    return [find(i) for i in range(len(sets))]
-
-
-def test_near_copies_of_the_stage(spark):
-    """Texts alike to 0.8 or more are mostly further apart than 4 bits; chains of them are one group, texts alike to less stay."""
-    pick, texts = random.Random(5), [None, "", "one two", "One  TWO", "one two three"]
-    for base in range(40):
-        own = words(100 + base, 120, 5000).split()
-        texts.append(" ".join(own))
-        for edits in (1, 2, 2, 3, 8):
-            copy = list(own)
-            for at in pick.sample(range(120), edits):
-                copy[at] = "edited"
-            texts.append(" ".join(copy))
-    roots = similar(texts)
-    got = {r.doc_id for r in simhash.keep_one_similar(table(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])).collect()}
-    assert got == set(roots)
-    prints = [simhash.fingerprint(t) for t in texts]
-    far = [i for i, r in enumerate(roots) if i != r and (prints[i] ^ prints[r]).bit_count() > simhash.LINK_BITS]
-    assert len(far) > 40, "the radius of op2 would have kept these"
-
-
-def test_edges_of_the_stage(odd, empty):
-    kept = simhash.keep_one_similar(odd)
-    assert kept.columns == odd.columns
-    assert kept.count() == len(set(similar([r.text for r in odd.collect()])))
-    assert simhash.keep_one_similar(empty).count() == 0

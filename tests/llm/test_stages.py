@@ -1,10 +1,57 @@
 import zlib
 
+import pytest
 from llm_helpers import table, words
 
 import corpus_pipeline
+from starfold.llm import simhash
+from starfold.session import scratch_path, scratch_scope
 
 
 def test_packed_sequences_hold_their_ids(spark):
     rows = corpus_pipeline.packed(spark, table(spark, [(1, words(1, 3000), "en", "a"), (2, "short", "en", "a"), (3, None, "en", "a")]), "").collect()
     assert rows and all(len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32 for r in rows)
+
+
+@pytest.fixture
+def labelled(spark, tmp_path):
+    """A folder with labels of documents that are not in the table, so none is usable."""
+    spark.createDataFrame([(10**6, 1, 0)], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    return str(tmp_path)
+
+
+def test_stages_over_odd_rows(spark, odd, odd_rows, labelled):
+    """Clashing names, nulls, repeats, ties and very long texts pass every stage with the columns as they are."""
+    docs = odd
+    for at, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        after = stage(spark, docs, labelled)
+        assert at == 4 or after.columns == odd.columns, name
+        if at == 0:
+            assert sorted(map(str, after.collect())) == sorted(map(str, odd.collect())), "without labels nothing is rejected"
+        elif at == 1:
+            texts = {simhash.fingerprint(t) for _, t, _, _ in odd_rows}
+            assert after.count() <= len(texts) and {simhash.fingerprint(r.text) for r in after.collect()} <= texts
+        elif at == 2:
+            assert sorted((r.n_chars or 0, r.text or "") for r in after.collect()) == sorted((r.n_chars or 0, r.text or "") for r in docs.collect())
+        if at < 4:
+            after.write.parquet(f"{labelled}/{at}")
+            docs = spark.read.parquet(f"{labelled}/{at}")
+
+
+def test_stages_over_an_empty_table(spark, empty, labelled):
+    for name, stage in corpus_pipeline.STAGES:
+        after = stage(spark, empty, labelled)
+        assert after.count() == 0, name
+
+
+def test_scratch_of_a_stage_goes_with_the_next(spark, labelled):
+    docs = table(spark, [(i, words(i, 30), "en", "a") for i in range(20)])
+    near = dict(corpus_pipeline.STAGES)["simhash near-dedup"]
+    with scratch_scope("pipeline"):
+        folder = scratch_path(spark, "x").rpartition("/")[0]
+    names = lambda: {p.getPath().getName() for p in spark._jvm.org.apache.hadoop.fs.FileSystem.get(
+        spark._jvm.java.net.URI(f"file://{folder}".replace("file://file:", "file:")), spark.sparkContext._jsc.hadoopConfiguration()).listStatus(spark._jvm.org.apache.hadoop.fs.Path(folder))}
+    near(spark, docs, labelled).count()
+    first = names()
+    near(spark, docs, labelled).count()
+    assert first and not first & names()
