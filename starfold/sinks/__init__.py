@@ -1,8 +1,11 @@
-"""Writers: appends, reject logs, CSV reports, versioned layers, databases."""
+"""Writers: appends, reject logs, CSV reports, versioned layers, merges into stored parts, key registries, databases."""
 
 from .append import append, append_rejects, read_rejects, write_partitioned
 from .databases import save_database
+from .parts import merge_parts, write_parts
 from .report import write_csv_report
-from .versions import VersionedLayer
+from .surrogates import stable_keys
+from .versions import Load, VersionedLayer
 
-__all__ = ["VersionedLayer", "append", "append_rejects", "read_rejects", "save_database", "write_csv_report", "write_partitioned"]
+__all__ = ["Load", "VersionedLayer", "append", "append_rejects", "merge_parts", "read_rejects", "save_database", "stable_keys",
+           "write_csv_report", "write_partitioned", "write_parts"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,9 +14,22 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def append_rejects(df: DataFrame, path: str, run_id: str) -> None:
-    """Append all incoming fields, tagged with the run so that reruns can be told apart."""
-    append(df.withColumn("run_id", F.lit(run_id)), path, ["run_id"])
+def append_rejects(df: DataFrame, path: str, run_id: str) -> bool:
+    """Append all incoming fields, tagged with the run so that reruns can be told apart; whether anything was written.
+
+    A run's rejects are logged once: when they are written, a mark is set beside
+    them, and a repeated call with the same ``run_id`` does nothing. An attempt that
+    failed before its mark is replaced by the next one, as it went to the run's own folder.
+    """
+    spark = df.sparkSession
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_runs/{quote(run_id, safe='')}")
+    fs = mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(mark):
+        return False
+    tagged = df.withColumn("run_id", F.lit(run_id))
+    tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
+    fs.create(mark, True).close()
+    return True
 
 
 def read_rejects(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
