@@ -6,7 +6,7 @@ from importlib import import_module
 
 from .registry import ORACLES, QUERIES
 
-for _module in ("questions", "model", "relational", "merging", "expressions", "cleaning", "rules", "derivations", "storage"):
+for _module in ("questions", "model", "relational", "merging", "expressions", "cleaning", "rules", "derivations", "storage", "loads"):
     import_module(f"{__name__}.{_module}")
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -178,6 +178,9 @@ class Load:
     def __contains__(self, table: str) -> bool:
         return table in self._tables
 
+    def names(self) -> list[str]:
+        return list(self._tables)
+
     def read(self, table: str, loads: Sequence[str] | None = None) -> DataFrame:
         """The table as this load leaves it so far, or just some of its loads."""
         if table not in self._tables:
