@@ -31,7 +31,7 @@ class TokenIds:
     with those of encoding whole texts at once.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED_WORDS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark already keeps every core busy
         from tokenizers import Tokenizer
 
@@ -44,6 +44,7 @@ class TokenIds:
             vocabulary = self._tokenizer.get_vocab()
             self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
             self._ends[[at for token, at in vocabulary.items() if token.endswith("</w>")]] = True
+        self._remembered = remembered
         self._known: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
 
@@ -102,11 +103,11 @@ class TokenIds:
         for word in missing:
             if len(word) > REMEMBERED_LENGTH:
                 del known[word]
-        if len(known) > REMEMBERED_WORDS:
+        if len(known) > self._remembered:
             self._known, self._older = {}, known
 
 
 @lru_cache(maxsize=2)
-def shared(path: str) -> TokenIds:
+def shared(path: str, remembered: int = REMEMBERED_WORDS) -> TokenIds:
     """The encoder of a vocabulary that the tasks of a worker process share, so that each finds the words of those before."""
-    return TokenIds(path)
+    return TokenIds(path, remembered)
