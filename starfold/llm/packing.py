@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tokens import REMEMBERED_WORDS, shared
+from .tokens import TokenIds, shared
 
 TIERS = (2048, 1024, 512, 256)
 END_ID = 1
@@ -132,14 +132,15 @@ SCHEMA = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tok
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, tiers: Sequence[int] = TIERS, end_id: int = END_ID,
-                   with_ids: bool = False, remembered: int = REMEMBERED_WORDS) -> DataFrame:
+                   with_ids: bool = False, remembered: int | None = None) -> DataFrame:
     """One row per piece of a document in a sequence (``SCHEMA``), with the piece's ids as ``ids`` if asked for.
 
     ``docs`` needs ``doc_id`` and ``text``; other columns are ignored. Each row is
     a document of its own, also with a null or repeated ``doc_id``. A null or
     empty text is its end id alone. An empty table gives no rows. ``sequence_id``
     and ``step_id`` carry the partition, so they are unique and a retried task
-    repeats them. ``remembered`` bounds the words a worker remembers, at the price of encoding some again.
+    repeats them. ``remembered`` bounds the words
+    a task remembers, at the price of encoding some again; else those of a worker's tasks are shared.
     """
     schema = SCHEMA + (", ids binary" if with_ids else "")
     names = [field.split()[0] for field in schema.split(", ")]
@@ -164,7 +165,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, tiers: Sequence[int] = TIERS
         return batch, base + len(windows), step_base + max(steps, default=-1) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = shared(tokenizer, remembered)
+        encoder = shared(tokenizer) if remembered is None else TokenIds(tokenizer, remembered)  # the latter goes with the task
         base = step = TaskContext.get().partitionId() << 40
         group: list[tuple[int | None, bytes]] = []
         tokens = 0
