@@ -50,7 +50,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of at most 2048 tokens, with their token ids (``ids``, four bytes each)."""
     # fewer words than op9 remembers: what the stages before have left in the executors' memory is still there
-    return packing.pack_documents(docs, vocabulary(), with_ids=True, remembered=200_000)
+    return packing.pack_documents(docs, vocabulary(), with_ids=True, remembered=40_000)
 
 
 def _apart(work: Callable[..., DataFrame], spark: SparkSession, docs: DataFrame, sf_dir: str, scope: str = "pipeline") -> DataFrame:
