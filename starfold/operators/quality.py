@@ -89,7 +89,16 @@ def row_violations(df: DataFrame, key: Sequence[str], rules: Sequence[RowRule])
 
 def duplicate_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their count; NULL keys are never duplicates."""
-    counts = df.filter(~any_null(columns)).groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+    return repeated_keys(key_counts(df, columns), columns)
+
+
+def key_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``n`` rows per key without NULL."""
+    return df.filter(~any_null(columns)).groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+
+
+def repeated_keys(counts: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The report of :func:`duplicate_keys` from counts per key."""
     return counts.filter("n > 1").select(
         F.lit(f"unique:{','.join(columns)}").alias("rule"), _text(columns).alias("key"), F.col("n").cast("string").alias("value")
     )

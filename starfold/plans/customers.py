@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import map_values, title_case
@@ -26,13 +26,22 @@ def normalise(customers: DataFrame) -> DataFrame:
     return customers.withColumns({"nombre_cliente": title_case("nombre_cliente"), "email": F.lower(F.trim("email"))})
 
 
+def valid_email() -> Column:
+    return F.col("email").isNotNull() & F.col("email").contains("@")
+
+
+def staging_rows(normalised: DataFrame) -> DataFrame:
+    return select_values(normalised.withColumn("tipo_cliente", map_values("tipo_cliente", TYPE_NAMES)), STAGING_NAMES)
+
+
+def error_rows(normalised: DataFrame) -> DataFrame:
+    return select_values(add_constant(normalised, "motivo", BAD_EMAIL), ERROR_NAMES)
+
+
 def split_by_email(customers: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(staging rows, error rows) of the customers with and without a usable e-mail."""
-    valid = F.col("email").isNotNull() & F.col("email").contains("@")
-    good, bad = route(normalise(customers), valid)
-    staging = select_values(good.withColumn("tipo_cliente", map_values("tipo_cliente", TYPE_NAMES)), STAGING_NAMES)
-    errors = select_values(add_constant(bad, "motivo", BAD_EMAIL), ERROR_NAMES)
-    return staging, errors
+    good, bad = route(normalise(customers), valid_email())
+    return staging_rows(good), error_rows(bad)
 
 
 def load_errors(log: DataFrame, errors: DataFrame) -> DataFrame:

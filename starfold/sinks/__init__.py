@@ -2,10 +2,10 @@
 
 from .append import append, append_rejects, read_rejects, write_partitioned
 from .databases import save_database
-from .parts import merge_parts, write_parts
+from .parts import merge_parts, touched_rows, write_parts
 from .report import write_csv_report
 from .surrogates import stable_keys
 from .versions import Load, VersionedLayer
 
 __all__ = ["Load", "VersionedLayer", "append", "append_rejects", "merge_parts", "read_rejects", "save_database", "stable_keys",
-           "write_csv_report", "write_partitioned", "write_parts"]
+           "touched_rows", "write_csv_report", "write_partitioned", "write_parts"]

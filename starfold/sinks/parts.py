@@ -96,6 +96,18 @@ def merge_parts(load: Load, table: str, source: DataFrame, **options) -> list[in
     return touched
 
 
+def touched_rows(load: Load, table: str, rows: DataFrame) -> DataFrame:
+    """The stored rows of the parts that the keys of ``rows`` fall into: all that can equal one of them."""
+    note, parts = load.note(table), load.parts(table)
+    if not parts:
+        return load.read(table)
+    place, beyond = _router(load.read(table).schema, note["keys"], parts)
+    hit = rows.where(~F.coalesce(beyond, F.lit(False))).select(place.alias(PART)).distinct()
+    touched = {r[PART] for r in hit.collect()}  # places of parts at most
+    names = [name for name in parts if _place(name) in touched]
+    return load.read(table, names) if names else load.read(table).limit(0)
+
+
 def _first_parts(load: Load, table: str, source: DataFrame, keys: Sequence[str], size: int, options: dict) -> list[int]:
     write_parts(load, table, upsert(load.read(table), source, keys, **options), keys, size)
     return []
