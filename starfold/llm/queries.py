@@ -77,7 +77,7 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH counted AS (
   SELECT doc_id, source, lang, text, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS words,
          coalesce(len(regexp_extract_all(text, '\p{L}+|\p{N}|[^\x09-\x0D\x20\p{L}\p{N}]')), 0) AS pieces,
-         row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id NULLS LAST) AS copy FROM documents)
+         row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id NULLS LAST, source NULLS FIRST, lang NULLS FIRST) AS copy FROM documents)
 SELECT source, lang, v.tokenizer_version, count(*) AS docs,
        sum(CASE WHEN v.tokenizer_version = 'words-1' THEN words ELSE pieces END)::DECIMAL(38, 0) AS tokens
 FROM counted, (VALUES ('words-1'), ('pieces-2')) v(tokenizer_version)
@@ -88,7 +88,7 @@ def op5_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = written(read_table(spark, sf_dir, "documents").select(
         "doc_id", "source", "lang", F.struct(F.xxhash64(text).alias("a"), F.hash(text).alias("b"), F.length(text).alias("c")).alias("same"),
         *[rollups.token_count(F.col("text"), v).alias(v.replace("-", "_")) for v in rollups.PATTERNS]), "counted")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "source", "lang")
     kept = docs.groupBy("same").agg(F.min_by(F.struct("source", "lang", "words_1", "pieces_1", "pieces_2"), order).alias("k")).select("k.*")
     both = lambda rows, sign: rollups.changes(rows, "words-1", sign, F.col("words_1")).union(
         rollups.changes(rows, "pieces-1", sign, F.col("pieces_1")))
@@ -170,8 +170,9 @@ def op7_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_nearest_neighbours")
 def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found, _ = kmtree.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
-    return found
+    """The neighbours found, and the recall that calibration has measured for the number of leaves visited."""
+    found, measured = kmtree.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+    return found.withColumn("calibrated_recall", F.lit(measured["recall"]))
 
 
 @query("op9_packing")

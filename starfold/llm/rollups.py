@@ -107,6 +107,9 @@ class Rollup:
         commits = self.commits()
         covered = self._covered(commits)
         live = {batch: c for batch, c in commits.items() if batch not in covered}
+        # A compaction covers all that was committed when it read, so of several at a time one covers what the others do.
+        whole = max((c for c in live.values() if c["covers"]), key=lambda c: (len(c["covers"]), c["batch"]), default=None)
+        live = {batch: c for batch, c in live.items() if not c["covers"] or c is whole}
         reader = self.spark.read.schema(SCHEMA)
         if not live:
             return [], self.spark.createDataFrame([], SCHEMA)
@@ -119,6 +122,10 @@ class Rollup:
             "docs != 0 or tokens != 0")
 
     def compact(self) -> bool:
-        """Replace the committed deltas by their sum; their batches stay known."""
+        """Replace the committed deltas by their sum; their batches stay known.
+
+        It is named by what it covers: two that have read the same are one, and of two
+        that have not, only the one that covers more counts.
+        """
         batches, deltas = self._deltas()
-        return bool(batches) and self.commit(f"compaction {uuid.uuid4().hex}", deltas, batches)
+        return bool(batches) and self.commit(f"compaction {uuid.uuid5(uuid.NAMESPACE_URL, json.dumps(batches)).hex}", deltas, batches)

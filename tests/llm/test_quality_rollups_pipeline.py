@@ -80,6 +80,25 @@ def test_rollup(spark, odd, empty, tmp_path):
     assert store.totals().count() == 0
 
 
+def test_compactions_at_the_same_time(spark, odd, tmp_path):
+    """Two compactions that read the same deltas, and one that read before a further batch came, count nothing twice."""
+    store = rollups.Rollup(spark, str(tmp_path / "counts"))
+    store.commit("one", rollups.changes(odd, "words-1", 1))
+    store.commit("two", rollups.changes(odd, "words-1", 1))
+    early = store._deltas()
+    other = rollups.Rollup(spark, store.path)
+    other._deltas = lambda: early
+    store.commit("three", rollups.changes(odd, "words-1", -1))
+    expected = rows_of(store.totals())
+    assert store.compact() and rows_of(store.totals()) == expected
+    other.compact()
+    assert rows_of(store.totals()) == expected
+    other.compact()
+    assert rows_of(store.totals()) == expected
+    assert store.commit("four", rollups.changes(odd, "words-1", 1)) and store.compact()
+    assert sum(r[3] for r in rows_of(store.totals())) == 2 * sum(r[3] for r in expected)
+
+
 def test_delta_without_commit_is_not_read(spark, odd, tmp_path):
     store = rollups.Rollup(spark, str(tmp_path / "counts"))
     store.commit("one", rollups.changes(odd, "words-1", 1))
