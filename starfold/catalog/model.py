@@ -9,7 +9,7 @@ from ..plans import star as star_plans
 from ..plans.increment import increment, unresolved_lines
 from ..plans.retail import CATALOG
 from ..plans.snow import NATURAL_KEYS
-from .registry import Source, query
+from .registry import ORACLES, Source, query
 from .sql import CENTRE, SOUTH, quoted, with_views
 
 _CALENDAR = """SELECT t.tiempo_sk, t.fecha, CAST(day(fecha) AS INT) AS dia, CAST(month(fecha) AS INT) AS mes,
@@ -112,6 +112,12 @@ def conformed_dimension(s: Source):
     return s.warehouse.snow["dim_logistica"]
 
 
+# The other six conformed copies, whole.
+for _name, _original in {"dim_tiempo": "d1_calendar", "dim_campania": "d2_campaign", "dim_cliente": "d3_customer", "dim_geografia": "d4_geography",
+                         "dim_finca": "d5_farm", "dim_calidad": "d7_quality"}.items():
+    query(f"d12_{_name}", ORACLES[_original])(lambda s, n=_name: s.warehouse.snow[n])
+
+
 @query("d13_snow_fact", _FACT_SQL)
 def snow_fact(s: Source):
     return s.warehouse.snow["fact_exportaciones"]

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 
-from ..operators.reconcile import reconcile
+from pyspark.sql import DataFrame
+
+from ..operators.reconcile import reconcile, reconcile_many
 from ..plans.kpi import kpi_report
 from ..plans.questions import (
-    QUESTIONS, ask_dimensional, ask_oltp, ask_snow, ask_star, build_aggregate, refresh_aggregate,
+    QUESTIONS, ask_dimensional, ask_oltp, ask_snow, ask_star, build_aggregate, dimensional_lines, fact_measure, line_measure, measured,
+    oltp_lines, refresh_aggregate,
 )
+from ..plans.snow import products_with_family
 from ..sources.generated import inline_table
 from .registry import Source, query
 from .sql import half_up_int, mean6, with_views
@@ -41,7 +45,7 @@ def question_sql(name: str, stored: bool) -> str:
 
 for _name in ("a1", "a2", "a3", "a4", "a5"):
     query(f"{_name}_oltp", question_sql(_name, stored=False))(
-        lambda s, n=_name: ask_oltp(s.warehouse.oltp, QUESTIONS[n], s.warehouse.hot_join_keys()))
+        lambda s, n=_name: ask_oltp(s.warehouse.oltp, QUESTIONS[n], s.warehouse.hot_join_keys(), s.warehouse.chain))
     query(f"{_name}_star", question_sql(_name, stored=True))(lambda s, n=_name: ask_star(s.warehouse.star, QUESTIONS[n]))
     query(f"{_name}_snow", question_sql(_name, stored=True))(lambda s, n=_name: ask_snow(s.warehouse.snow, QUESTIONS[n]))
 
@@ -84,10 +88,32 @@ _RECONCILED = " UNION ALL ".join(
 def reconcile_models(s: Source):
     """Where rounding per line makes the star differ from the OLTP answer."""
     w = s.warehouse
-    oltp = ask_oltp(w.oltp, QUESTIONS["a1"], w.hot_join_keys())
+    oltp = ask_oltp(w.oltp, QUESTIONS["a1"], w.hot_join_keys(), w.chain)
     return reconcile(oltp, ask_star(w.star, QUESTIONS["a1"]), QUESTIONS["a1"].keys, _MEASURES)
 
 
+_THREE = " UNION ALL ".join(
+    f"SELECT {', '.join('a.' + k for k in QUESTIONS['a1'].keys)}, 'differs' AS estado, '{m}' AS medida, CAST(a.{m} AS DECIMAL(28,6)) AS valor_oltp, "
+    f"CAST(b.{m} AS DECIMAL(28,6)) AS valor_star, CAST(b.{m} AS DECIMAL(28,6)) AS valor_snow "
+    f"FROM a JOIN b USING ({', '.join(QUESTIONS['a1'].keys)}) WHERE a.{m} <> b.{m}" for m in _MEASURES)
+
+
+@query("a8_three_models", with_views(
+    "hechos", f"SELECT * FROM (WITH a AS ({question_body('a1', False)}), b AS ({question_body('a1', True)}) {_THREE})"))
+def three_models(s: Source):
+    """Where the three models differ, in one aggregation over the lines of all of them."""
+    return reconcile_many(lines_of_models(s), QUESTIONS["a1"].keys, _MEASURES)
+
+
+def lines_of_models(s: Source) -> dict[str, DataFrame]:
+    w, q = s.warehouse, QUESTIONS["a1"]
+    snow = {**w.snow, "dim_producto": products_with_family(w.snow)}
+    return {
+        "oltp": measured(oltp_lines(w.oltp, q, w.hot_join_keys(), w.chain), q, line_measure),
+        "star": measured(dimensional_lines(w.star["fact_exportaciones"], w.star, q), q, fact_measure),
+        "snow": measured(dimensional_lines(snow["fact_exportaciones"], snow, q), q, fact_measure)}
+
+
 #: Targets by family; one family has none.
 TARGETS = [("ECONOMY", 300000000), ("SMALL", 250000000), ("MEDIUM", 200000000), ("LARGE", 350000000), ("PROMO", 150000000)]
 _TARGET_ROWS = ", ".join(f"('{f}', {t})" for f, t in TARGETS)

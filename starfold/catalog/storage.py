@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from ..functions.numbers import money, number_text
 from ..plans.kpi import kpi_report, write_report
 from ..plans.questions import QUESTIONS, ask_star
-from ..schemas import OLTP
+from ..operators.joins import any_null
+from ..schemas import OLTP, SNOW, STAR
 from ..session import scratch_path
 from ..sinks import VersionedLayer, append, append_rejects, read_rejects, write_csv_report, write_partitioned
 from ..sources import conform, inline_table, read_csv_checked, read_csv_typed, read_query, register_views, series
@@ -185,3 +186,41 @@ def partitioned_write(s: Source):
     path = scratch_path(s.spark, "partitioned")
     write_partitioned(s.lineitem, path, ["l_returnflag"])
     return s.spark.read.parquet(path).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("lineas"))
+
+
+#: Rows of every declared table, in terms of the given tables.
+_ROWS = {
+    **dict.fromkeys(("fincas", "transitarios", "rutas_logisticas"), "SELECT COUNT(*) FROM supplier"), "parcelas": "SELECT 2 * COUNT(*) FROM supplier",
+    **dict.fromkeys(("cultivos", "cosechas", "lotes_origen", "lotes", "controles_calidad", "certificados", "costes_lote"), "SELECT COUNT(*) FROM part"),
+    **dict.fromkeys(("calibres", "tarifas"), "SELECT 4 * COUNT(*) FROM part"), "incidencias_calidad": "SELECT COUNT(*) FROM lotes WHERE lote_id % 5 = 0",
+    **dict.fromkeys(("clientes", "contratos"), "SELECT COUNT(*) FROM customer"), "pedidos": "SELECT COUNT(*) FROM orders",
+    "detalle_pedido": "SELECT COUNT(*) FROM lineitem", "campanias": "SELECT COUNT(*) FROM dim_campania", "puertos": "SELECT COUNT(*) FROM nation",
+    **dict.fromkeys(("envios", "aduanas", "costes_logisticos"), "SELECT COUNT(*) FROM envios"),
+    "incidencias_envio": "SELECT COUNT(*) FROM envios WHERE pedido_id % 4 = 0", **dict.fromkeys(("facturas", "cobros"), "SELECT COUNT(*) FROM totales"),
+    "tipos_cambio": "SELECT COUNT(*) FROM dim_tiempo",
+    "dim_tiempo": "SELECT COUNT(*) FROM dim_tiempo", "dim_campania": "SELECT COUNT(*) FROM dim_campania", "dim_cliente": "SELECT COUNT(*) FROM customer",
+    "dim_geografia": "SELECT COUNT(*) FROM dim_geografia", "dim_finca": "SELECT 2 * COUNT(*) FROM supplier", "dim_producto": "SELECT COUNT(*) FROM part",
+    "dim_calidad": "SELECT COUNT(*) FROM part", "dim_logistica": "SELECT COUNT(*) FROM supplier", "fact_exportaciones": "SELECT COUNT(*) FROM lineitem",
+    "dim_familia_producto": "SELECT COUNT(DISTINCT p_type) FROM part",
+}
+_LAYERS = {"oltp": OLTP, "star": STAR, "snow": SNOW}
+_ALL_TABLES = " UNION ALL ".join(
+    f"SELECT '{layer}' AS capa, '{name}' AS tabla, {len(table.names)} AS columnas, CAST(n AS BIGINT) AS filas, CAST(n AS BIGINT) AS completas FROM ({_ROWS[name]}) t(n)"
+    for layer, tables in _LAYERS.items() for name, table in tables.items())
+
+
+@query("s6_all_tables", with_views("dim_campania", f"SELECT * FROM (WITH a AS (SELECT 1 FROM lotes LIMIT 0), b AS (SELECT 1 FROM envios LIMIT 0), "
+       f"c AS (SELECT 1 FROM totales LIMIT 0), d AS (SELECT 1 FROM dim_tiempo LIMIT 0), e AS (SELECT 1 FROM dim_campania LIMIT 0), "
+       f"f AS (SELECT 1 FROM dim_geografia LIMIT 0) {_ALL_TABLES})"))
+def all_declared_schemas(s: Source):
+    """Every declared table of the three layers in its declared schema: rows, and rows that lack no required column."""
+    out = None
+    for layer, declared in _LAYERS.items():
+        for name, table in declared.items():
+            rows = conform(s.warehouse.served(getattr(s.warehouse, layer), name), table.schema)
+            required = [f.name for f in table.schema.fields if not f.nullable]
+            whole = F.count(F.when(~any_null(required), 1)) if required else F.count(F.lit(1))
+            one = rows.agg(F.count(F.lit(1)).alias("filas"), whole.alias("completas")).select(
+                F.lit(layer).alias("capa"), F.lit(name).alias("tabla"), F.lit(len(table.names)).alias("columnas"), "filas", "completas")
+            out = one if out is None else out.unionByName(one)
+    return out

@@ -41,8 +41,8 @@ def load_results(results: DataFrame, report: DataFrame) -> DataFrame:
 
 
 def write_report(report: DataFrame, path: str) -> None:
-    """One semicolon CSV, a row per family; amounts with a point, percentages with a comma."""
+    """One semicolon CSV with DOS line ends, a row per family; amounts with a point, percentages with a comma."""
     amounts = {c: number_text(c, 2) for c in ("ingresos_reales", "costes_totales", "margen_total")}
     percents = {c: number_text(c, 10, symbol=",") for c in ("pct_margen", "pct_objetivo")}
     write_csv_report(report, path, masks={**amounts, **percents},
-                     order_by=[F.desc("ingresos_reales"), "familia_producto"], files=1)
+                     line_sep="\r\n", order_by=[F.desc("ingresos_reales"), "familia_producto"], files=1)

@@ -6,7 +6,7 @@ A question is data: group keys, sums and means. All layouts answer it through
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -186,8 +186,8 @@ _ORDER_COLUMNS = {"anio", "trimestre", "pais", "nombre_cliente", "nombre_transit
                   "puerto_llegada"}
 
 
-def oltp_orders(t: Tables, columns: Sequence[str], hot: Mapping[str, Sequence[int]]) -> DataFrame:
-    """Order-grain half of the chain: order, shipment, logistic cost and what ``columns`` ask for."""
+def oltp_orders(t: Tables, columns: Sequence[str], hot: Mapping[str, Sequence[int]], keep: Sequence[str] = ()) -> DataFrame:
+    """Order-grain half of the chain: order, shipment, logistic cost and what ``columns`` ask for (with the keys to ``keep``)."""
     wanted = set(columns)
     shipped = t["envios"].select(
         "pedido_id", "envio_id", "ruta_id", days_between("fecha_envio", "fecha_entrega_real").alias("dias"))
@@ -202,11 +202,11 @@ def oltp_orders(t: Tables, columns: Sequence[str], hot: Mapping[str, Sequence[in
         routes = route_attributes(t["rutas_logisticas"], t["transitarios"], t["puertos"])
         legs = routes.select("ruta_id", "nombre_transitario", "puerto_salida", "puerto_llegada")
         orders = skew_join(orders, legs, "ruta_id", hot=hot.get("ruta_id", ()))
-    return orders.select("pedido_id", "logistico_kg", "dias", *[c for c in columns if c in _ORDER_COLUMNS])
+    return orders.select("pedido_id", "logistico_kg", "dias", *[c for c in columns if c in _ORDER_COLUMNS], *keep)
 
 
-def oltp_lots(t: Tables, columns: Sequence[str]) -> DataFrame:
-    """Lot-grain half of the chain: lot, harvest, crop, cost and what ``columns`` ask for."""
+def oltp_lots(t: Tables, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """Lot-grain half of the chain: lot, harvest, crop, cost and what ``columns`` ask for (with the keys to ``keep``)."""
     wanted = set(columns)
     lots = (
         t["costes_lote"].select("lote_id", F.col("coste_por_kg").alias("producto_kg"))
@@ -226,22 +226,87 @@ def oltp_lots(t: Tables, columns: Sequence[str]) -> DataFrame:
             .join(dominant_size(t["calibres"]), "lote_id")
             .join(t["certificados"].select("lote_id", "tipo_certificado"), "lote_id")
         )
-    return lots.select("lote_id", "producto_kg", *[c for c in columns if c not in _ORDER_COLUMNS])
+    return lots.select("lote_id", "producto_kg", *[c for c in columns if c not in _ORDER_COLUMNS], *keep)
 
 
-def ask_oltp(t: Tables, q: Question, hot: Mapping[str, Sequence[int]] | None = None) -> DataFrame:
-    """Answer ``q`` over the normalised tables.
+#: Which half of the chain a group key's tables are optional in, by the flag that says whether they know the row.
+_FLAGS = {
+    "pais": "_cliente", "nombre_cliente": "_cliente", "nombre_transitario": "_ruta", "puerto_salida": "_ruta", "puerto_llegada": "_ruta",
+    "nombre_campania": "_campania", "nombre_finca": "_finca", "categoria_comercial": "_calidad", "calibre": "_calidad", "tipo_certificado": "_calidad",
+}
+
+
+def full_orders(t: Tables, hot: Mapping[str, Sequence[int]]) -> DataFrame:
+    """The order half for every question: what a question may do without is joined outer, with a flag."""
+    orders = oltp_orders(t, ["anio", "trimestre"], hot, ["cliente_id", "ruta_id"])
+    customers = t["clientes"].select("cliente_id", "pais", "nombre_cliente", F.lit(True).alias("_cliente"))
+    routes = route_attributes(t["rutas_logisticas"], t["transitarios"], t["puertos"])
+    legs = routes.select("ruta_id", "nombre_transitario", "puerto_salida", "puerto_llegada", F.lit(True).alias("_ruta"))
+    orders = skew_join(orders, customers, "cliente_id", "left", hot=hot.get("cliente_id", ()))
+    return skew_join(orders, legs, "ruta_id", "left", hot=hot.get("ruta_id", ())).drop("cliente_id", "ruta_id")
+
+
+def full_lots(t: Tables) -> DataFrame:
+    """The lot half for every question, as :func:`full_orders`."""
+    lots = oltp_lots(t, ["familia_producto", "nombre_producto", "variedad"], ["campania_id", "parcela_id"])
+    campaigns = t["campanias"].select("campania_id", "nombre_campania", F.lit(True).alias("_campania"))
+    farms = t["parcelas"].select("parcela_id", "finca_id").join(t["fincas"].select("finca_id", "nombre_finca"), "finca_id").select(
+        "parcela_id", "nombre_finca", F.lit(True).alias("_finca"))
+    category = commercial_category("porcentaje_primera_categoria").alias("categoria_comercial")
+    quality = t["controles_calidad"].select("lote_id", category).join(dominant_size(t["calibres"]), "lote_id").join(
+        t["certificados"].select("lote_id", "tipo_certificado"), "lote_id").withColumn("_calidad", F.lit(True))
+    lots = lots.join(campaigns, "campania_id", "left").join(farms, "parcela_id", "left").join(quality, "lote_id", "left")
+    return lots.drop("campania_id", "parcela_id")
+
+
+def chain(t: Tables, hot: Callable[[], Mapping[str, Sequence[int]]]) -> dict:
+    """Builders of both halves, by the key they meet the lines on: stored once, every question reads its columns of them."""
+    return {"lote_id": lambda: full_lots(t), "pedido_id": lambda: full_orders(t, hot())}
+
+
+def _from_stored(half: DataFrame, key: str, q: Question) -> DataFrame:
+    own = [c for c in q.keys if c in half.columns]
+    known = [flag for flag in dict.fromkeys(_FLAGS.get(c) for c in own) if flag]
+    for flag in known:
+        half = half.filter(F.col(flag))
+    return half.select(key, *(["producto_kg"] if key == "lote_id" else ["logistico_kg", "dias"]), *own)
+
+
+def oltp_lines(t: Tables, q: Question, hot: Mapping[str, Sequence[int]] | None = None, halves: Tables | None = None) -> DataFrame:
+    """Lines with the group keys of ``q`` and what :func:`line_measure` needs.
 
     The chain of up to eleven tables is joined as two small halves, at order and
-    at lot grain, that meet on the line table. ``hot`` lists, per key column, the
-    values that hold a large share of the rows referring to them; they are salted.
+    at lot grain, that meet on the line table. ``halves`` gives them as :func:`chain`
+    stores them, else this question's are written once: their true size, not the
+    product of estimates, decides how the lines meet them. ``hot`` lists, per key
+    column, the values that hold a large share of the rows referring to them; they are salted.
     """
     hot = hot or {}
     lines = t["detalle_pedido"].select("pedido_id", "lote_id", "kilos_solicitados", "importe_neto")
-    for key, half in (("lote_id", oltp_lots(t, q.keys)), ("pedido_id", oltp_orders(t, q.keys, hot))):
-        # Written once: its true size, not the product of estimates, decides how the lines meet it.
-        lines = skew_join(lines, written(half, f"half-{key}"), key, hot=hot.get(key, ()))
-    return answer(lines, q, line_measure)
+    for key in ("lote_id", "pedido_id"):
+        if halves is not None:
+            half = _from_stored(halves[key], key, q)
+        else:
+            half = written(oltp_lots(t, q.keys) if key == "lote_id" else oltp_orders(t, q.keys, hot), f"half-{key}")
+        lines = skew_join(lines, half, key, hot=hot.get(key, ()))
+    return lines
+
+
+def ask_oltp(t: Tables, q: Question, hot: Mapping[str, Sequence[int]] | None = None, halves: Tables | None = None) -> DataFrame:
+    """Answer ``q`` over the normalised tables (see :func:`oltp_lines`)."""
+    return answer(oltp_lines(t, q, hot, halves), q, line_measure)
+
+
+def measured(lines: DataFrame, q: Question, measure) -> DataFrame:
+    """Lines with the group keys of ``q`` and its sums' measures, not aggregated yet."""
+    return lines.select(*q.keys, *[measure(m).alias(n) for n, m in q.sums.items()])
+
+
+def dimensional_lines(fact: DataFrame, dims: Mapping[str, DataFrame], q: Question) -> DataFrame:
+    """The fact with the group keys of ``q``, not aggregated."""
+    for name in dict.fromkeys(HOME[key] for key in q.keys):
+        fact = skew_join(fact, dims[name].select(SK[name], *[k for k in q.keys if HOME[k] == name]), SK[name])
+    return fact
 
 
 def build_aggregate(star: Tables, fact: DataFrame | None = None) -> DataFrame:

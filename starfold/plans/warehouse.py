@@ -16,6 +16,7 @@ from ..sinks.databases import save_database
 from . import snow as snow_plans
 from . import star as star_plans
 from .derive import served_lines
+from .questions import chain
 
 
 class LazyTables(Mapping):
@@ -78,6 +79,7 @@ class Warehouse:
         for name, builder in snow_plans.dimensions(self.star, self.snow).items():
             self.snow.define(name, builder)
         self.snow.define("fact_exportaciones", self._snow_fact)
+        self.chain = LazyTables(chain(self.oltp, self.hot_join_keys), lambda name: True, "chain")
         self._hot: dict[str, list[int]] | None = None
 
     def _star_fact(self) -> DataFrame:
