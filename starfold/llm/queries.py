@@ -67,9 +67,8 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_quality_classifier")
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
-    model = cotraining.train(docs, read_table(spark, sf_dir, "labels"))
-    scores = cotraining.score(docs, model).drop("text", "source", "lang")
+    rows = cotraining.prepare(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    scores = cotraining.score_rows(rows, cotraining.train_rows(rows))
     return scores.withColumn("kept", F.col("score") >= cotraining.REJECT_BELOW)
 
 

@@ -6,12 +6,14 @@ inequality a fingerprint at distance d of the vantage has all its links (distanc
 r or less) within d - r to d + r, so a branch that this band does not touch is
 pruned. The top of the tree is fitted on a bounded sample and deals all
 fingerprints to shards; one whose band overlaps the boundary also visits the other
-side. Each shard goes on with a tree of its own. What a shard finds leaves it as a
-spanning forest of its links, never as all pairs of a group.
+side. Shards that grow large are split into blocks of bounded size. Each block goes
+on with a tree of its own, and what it finds leaves it as a spanning forest of its
+links, never as all pairs of a group.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,7 +34,9 @@ SAMPLE = 65_536
 #: The tree's top has about sqrt(fingerprints) / SPREAD leaves, at most 2^DEPTH. Each level lets a fingerprint visit about
 #: half as many shards again, so shards grow with the input rather than only their number.
 SPREAD, DEPTH = 64, 12
-#: A shard's own tree stops at so many fingerprints and compares them in blocks.
+#: Fingerprints of a chunk of a shard; two chunks at most meet in a task.
+BLOCK_ROWS = 1 << 16
+#: A block's own tree stops at so many fingerprints and compares them in pieces.
 LEAF, BLOCK = 256, 512
 
 
@@ -169,8 +173,11 @@ class Forest:
                 label[:] = further
 
 
-def shard_forest(points: np.ndarray, home: np.ndarray, bits: int = LINK_BITS, seed: int = 7) -> np.ndarray:
-    """For each point the index of another it is joined with (or itself), over all links with a point at home."""
+def shard_forest(points: np.ndarray, home: np.ndarray, bits: int = LINK_BITS, seed: int = 7, among_homes: bool = True) -> np.ndarray:
+    """For each point the index of another it is joined with (or itself), over all links of a point at home with any other.
+
+    Without ``among_homes`` only links of points at home with visitors are looked for.
+    """
     forest, random = Forest(len(points)), np.random.default_rng(seed)
 
     def compare(queries: np.ndarray, homes: np.ndarray) -> None:
@@ -192,40 +199,91 @@ def shard_forest(points: np.ndarray, home: np.ndarray, bits: int = LINK_BITS, se
             inside = away <= radius
             if not inside.all():
                 walk(homes[inside], visitors[of_visitors - bits <= radius])
-                across = homes[inside & (away + bits > radius)]
+                across = homes[inside & (away + bits > radius)] if among_homes else homes[:0]
                 walk(homes[~inside], np.concatenate([visitors[of_visitors + bits > radius], across]))
                 return
-        compare(homes, homes)
+        if among_homes:
+            compare(homes, homes)
         compare(visitors, homes)
 
     walk(np.flatnonzero(home), np.flatnonzero(~home))
     return forest.label
 
 
+class Blocks:
+    """How shards are split into blocks of bounded size, each compared in a task of its own.
+
+    Visitors let a shard grow with the input whatever the number of shards. Its
+    fingerprints at home are dealt into chunks of about ``BLOCK_ROWS`` by hash, its
+    visitors too, and each pair of a home chunk with itself, a later home chunk or a
+    visitor chunk is a block. So every pair is compared in exactly one of them.
+    """
+
+    def __init__(self, sizes: dict[int, int]):
+        """``sizes``: leaf -> fingerprints at home, ~leaf -> visitors."""
+        chunks = lambda n: -(-n // BLOCK_ROWS)
+        leaves = sorted(leaf for leaf in sizes if leaf >= 0)
+        self.chunks = {leaf: (max(1, chunks(sizes[leaf])), chunks(sizes.get(~leaf, 0))) for leaf in leaves}
+        self.first = dict(zip(leaves, np.cumsum([0, *[a * (a + b) for a, b in self.chunks.values()]]).tolist()))
+
+    def of(self, leaf: int, points: np.ndarray, home: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(block, indices of the points in it, whether they are its homes)."""
+        homes, visitors = self.chunks[leaf]
+        mixed = (points * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+        of_home = [np.flatnonzero(home & (mixed % np.uint64(homes) == i)) for i in range(homes)]
+        of_visitor = [np.flatnonzero(~home & (mixed % np.uint64(visitors) == k)) for k in range(visitors)]
+        for i in range(homes):
+            for j, other in [(i, np.empty(0, np.int64)), *[(j, of_home[j]) for j in range(i + 1, homes)],
+                             *[(homes + k, of_visitor[k]) for k in range(visitors)]]:
+                at = np.concatenate([of_home[i], other])
+                if len(at):
+                    yield self.first[leaf] + i * (homes + visitors) + j, at, np.arange(len(at)) < len(of_home[i])
+
+    def among_homes(self, block: int) -> bool:
+        """Whether it is a block of a home chunk with itself."""
+        leaf = max((leaf for leaf in self.first if self.first[leaf] <= block), key=lambda leaf: self.first[leaf])
+        i, j = divmod(block - self.first[leaf], sum(self.chunks[leaf]))
+        return i == j
+
+
 def links(prints: DataFrame, bits: int = LINK_BITS) -> DataFrame:
-    """``a, b``: links that join all of ``prints`` (distinct ``fp``) that differ in at most ``bits`` bits, as forests per shard."""
+    """``a, b``: links that join all of ``prints`` (distinct ``fp``) that differ in at most ``bits`` bits, as forests per block."""
     count = prints.count()
     depth = min(DEPTH, max(0, int(np.ceil(np.log2(max(1.0, np.sqrt(count) / SPREAD))))))
     chosen = prints.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).toPandas()["fp"] if depth else []
     tree, _ = fit(np.array(chosen, np.int64).view(np.uint64), 1 << depth)
 
-    def to_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count_dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter = Counter()
+        for batch in batches:
+            for leaf, _, home in deal(tree, batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64), bits):
+                found[leaf] += int(home.sum())
+                found[~leaf] += int((~home).sum())  # visitors
+        yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.int32()), pa.array(found.values(), pa.int64())], ["shard", "n"])
+
+    sizes = prints.mapInArrow(count_dealt, "shard int, n bigint").groupBy("shard").agg(F.sum("n").alias("n")).collect()  # two rows a leaf
+    blocks = Blocks({r["shard"]: r["n"] for r in sizes})
+
+    def to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             points = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             for leaf, at, home in deal(tree, points, bits):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(at), leaf, np.int32)), pa.array(points[at].view(np.int64)), pa.array(home)],
-                    ["shard", "fp", "home"])
-
-    def in_shard(table: pa.Table) -> pa.Table:
+                for block, own, as_home in blocks.of(leaf, points[at], home):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(own), block, np.int64)), pa.array(points[at[own]].view(np.int64)), pa.array(as_home)],
+                        ["block", "fp", "home"])
+
+    def in_block(table: pa.Table) -> pa.Table:
+        if not len(table):
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
         points = table.column("fp").to_numpy().view(np.uint64)
-        label = shard_forest(points, table.column("home").to_numpy(), bits)
+        label = shard_forest(points, table.column("home").to_numpy(), bits, among_homes=blocks.among_homes(table.column("block")[0].as_py()))
         moved = np.flatnonzero(label != np.arange(len(label)))
         signed = points.view(np.int64)
         return pa.table({"a": signed[moved], "b": signed[label[moved]]})
 
-    dealt = prints.mapInArrow(to_shards, "shard int, fp bigint, home boolean")
-    return dealt.groupBy("shard").applyInArrow(in_shard, "a bigint, b bigint")
+    dealt = prints.mapInArrow(to_blocks, "block bigint, fp bigint, home boolean")
+    return dealt.groupBy("block").applyInArrow(in_block, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, bits: int = LINK_BITS, words_in_shingle: int = SHINGLE_WORDS) -> DataFrame:

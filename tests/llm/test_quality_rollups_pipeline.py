@@ -59,6 +59,55 @@ def test_quality_edges(spark, odd, odd_rows, empty, judged):
     assert cotraining.train(docs.union(docs), labels.union(labels)) is not None
 
 
+def test_scores_from_features_are_those_of_texts(judged, odd):
+    docs, labels = judged
+    model = cotraining.train(docs, labels)
+    for frame in (docs, odd):
+        by_text = sorted(((r.doc_id or -9, r.text_score, r.metadata_score, r.score) for r in cotraining.score(frame, model).collect()))
+        by_features = sorted(((r.doc_id or -9, r.text_score, r.metadata_score, r.score) for r in cotraining.score_rows(cotraining.prepare(frame, labels), model).collect()))
+        assert [pytest.approx(r, abs=1e-9) for r in by_text] == by_features
+
+
+def test_the_surest_of_all_unlabelled_texts_are_passed_on(spark, judged):
+    """Against plain sorting of every unlabelled distinct text; copies take no places."""
+    docs, labels = judged
+    docs = docs.union(docs.where("doc_id between 130 and 140").withColumn("doc_id", F.col("doc_id") + 1000)).union(docs.where("doc_id = 150")).repartition(7)
+    rows = cotraining.prepare(docs, labels)
+    model = cotraining.train_rows(rows, rounds=0)
+    assert model.passed_on == 0
+    plain, told = {}, {r.same for r in rows.where("quality >= 0").collect()}
+    for r in rows.where("quality < 0").collect():
+        own = cotraining._rows_of([r.text], [r.metadata])
+        for view in (0, 1):
+            p = float(cotraining._sigmoid(own[view].odds(model.weights[view]))[0])
+            for label, sure in ((1, p), (0, 1 - p)):
+                if sure >= 0.6 and r.same not in told:
+                    key = (view, label, r.same)
+                    plain[key] = max(plain.get(key, 0.0), sure)
+    got = cotraining.surest(rows, model.weights, (5, 9), 0.6, (told, told))
+    for view in (0, 1):
+        for label, most in ((0, 5), (1, 9)):
+            ranked = sorted(((-p, same) for (v, l, same), p in plain.items() if (v, l) == (view, label)))[:most]
+            assert [p.same for p in got if (p.view, p.label) == (view, label)] == [same for _, same in ranked]
+            assert len(ranked) == most
+
+
+def test_exchanged_labels_do_no_harm_when_few_are_known(spark, sf_dir):
+    """With 400 labelled documents: pseudo-labels from all others leave what is right within a hundredth or two."""
+    folder = sf_dir.replace("sf0.001", "sf0.1")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "source", "lang")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    seen, unseen = labels.where("doc_id % 4 != 0"), labels.where("doc_id % 4 = 0").select("doc_id", F.col("quality").alias("truth"))
+    rows, right = cotraining.prepare(docs, seen, 400), {}
+    for rounds in (0, cotraining.ROUNDS):
+        model = cotraining.train_rows(rows, rounds=rounds)
+        assert model.passed_on == 2 * rounds * cotraining.PASSED_ON
+        scores = cotraining.score_rows(rows, model).join(unseen, "doc_id")
+        of = lambda name: F.avg(((F.col(name) >= 0.5).cast("int") == F.col("truth")).cast("double"))
+        right[rounds] = scores.select(of("text_score"), of("metadata_score"), of("score")).first()
+    assert all(after >= before - 0.02 and after > 0.94 for before, after in zip(right[0], right[cotraining.ROUNDS])), right
+
+
 def rows_of(frame):
     return sorted(((r.source, r.lang, r.tokenizer_version, r.docs, int(r.tokens)) for r in frame.collect()), key=str)
 

@@ -69,6 +69,35 @@ def test_tree_finds_every_link(shards):
     assert len(by_label) == len(set(expected))
 
 
+@pytest.mark.parametrize("rows, shards", [(50, 1), (50, 4), (7, 2), (10**6, 8)])
+def test_blocks_find_every_link(monkeypatch, rows, shards):
+    """However shards are split, blocks are bounded and each pair meets once with a home in it."""
+    monkeypatch.setattr(simhash, "BLOCK_ROWS", rows)
+    prints = clustered(600, 9)
+    points = np.array(prints, np.uint64)
+    tree, _ = simhash.fit(points[::2], shards)
+    dealt = simhash.deal(tree, points, 4)
+    sizes = {}
+    for leaf, at, home in dealt:
+        sizes[leaf], sizes[~leaf] = int(home.sum()), int((~home).sum())
+    blocks, forest, seen, met = simhash.Blocks(sizes), simhash.Forest(len(points)), set(), {}
+    for leaf, at, home in dealt:
+        for block, own, as_home in blocks.of(leaf, points[at], home):
+            assert block not in seen and len(own) <= 4 * rows
+            seen.add(block)
+            label = simhash.shard_forest(points[at[own]], as_home, among_homes=blocks.among_homes(block))
+            forest.link(at[own], at[own[label]])
+            if leaf == dealt[0][0]:
+                for i in own[as_home]:
+                    for j in own if blocks.among_homes(block) else own[~as_home]:
+                        met[int(i), int(j)] = met.get((int(i), int(j)), 0) + 1
+    assert set(met.values()) <= {1}
+    expected, by_label = brute(prints), {}
+    for mine, theirs in zip(forest.label.tolist(), expected):
+        assert by_label.setdefault(mine, theirs) == theirs
+    assert len(by_label) == len(set(expected))
+
+
 def test_components(spark):
     pick = random.Random(2)
     links = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 300)] + [(pick.randrange(2000, 2400), pick.randrange(2000, 2400)) for _ in range(250)]
@@ -83,6 +112,7 @@ def test_components(spark):
 
 def test_documents(spark, monkeypatch):
     monkeypatch.setattr(simhash, "SPREAD", 1)
+    monkeypatch.setattr(simhash, "BLOCK_ROWS", 10)
     base = [words(i, 300, 5000) for i in range(60)]
     near = [t.rsplit(" ", 1)[0] + f" changed{i}" for i, t in enumerate(base[:20])]
     rows = [(i, t, "en", "a") for i, t in enumerate(base + near + base[:5] * 40)]
