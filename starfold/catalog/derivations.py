@@ -77,7 +77,8 @@ def pricing(s: Source):
     Discounts are found at order grain and families at lot grain, so the lines are joined twice.
     """
     t = s.warehouse.oltp
-    discounts = t["pedidos"].join(t["contratos"], "contrato_id").select(
+    contracts = t["contratos"].select("contrato_id", "descuento_general_porcentaje")
+    discounts = skew_join(t["pedidos"].select("pedido_id", "contrato_id"), contracts, "contrato_id").select(
         "pedido_id", F.col("descuento_general_porcentaje").alias("descuento_porcentaje"))
     families = t["cosechas"].join(t["cultivos"], "cultivo_id").select(F.col("cosecha_id").alias("lote_id"), "familia_producto")
     hot = s.warehouse.hot_join_keys()

@@ -171,7 +171,7 @@ def weather_run_climate(s: Source):
     return weather_layer(s).read("meteo.dim_clima")
 
 
-@query("k3_run_orphans", _STAGES + f"""SELECT *, -1 AS lkp_estacion, r.run_id FROM con_dato, (VALUES ('run-1'), ('run-2')) r(run_id)
+@query("k3_run_orphans", _STAGES + f"""SELECT con_dato.*, -1 AS lkp_estacion, r.run_id FROM con_dato, (VALUES ('run-1'), ('run-2')) r(run_id)
     WHERE (estacion_id IS NULL OR estacion_id NOT IN (SELECT estacion_id FROM est)) AND (r.run_id = 'run-2' OR {_FIRST_WEEKS})""")
 def weather_run_orphans(s: Source):
     log = weather_layer(s).read("meteo.huerfanas")

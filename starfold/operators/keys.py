@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import shared_dir, written
+from .joins import is_small
 
 _PARTITION_BITS = 33
 
@@ -36,3 +37,12 @@ def assign_sk(df: DataFrame, sk: str, order: Sequence[Column | str], start: int
         .join(F.broadcast(offsets), "_part")  # one row per range partition
         .select((F.col("_offset") + within + F.lit(start)).cast("bigint").alias(sk), *df.columns)
     )
+
+
+def number_dimension(df: DataFrame, sk: str, order: Sequence[Column | str]) -> DataFrame:
+    """:func:`assign_sk` for a dimension, whose size is seen after its rows are written once.
+
+    One that Spark would broadcast is numbered in one task; any larger one by ranges.
+    """
+    rows = written(df, f"rows-{sk}")
+    return assign_sk(rows, sk, order, bounded=is_small(rows))

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-from ..operators.keys import assign_sk
+from ..operators.keys import number_dimension
 from ..operators.lookup import key_map, rekey
 from ..session import written
 
@@ -24,14 +24,14 @@ NATURAL_KEYS = {
 
 
 def family_dim(products: DataFrame) -> DataFrame:
-    return assign_sk(products.select("familia_producto").distinct(), "familia_sk", ["familia_producto"])
+    return number_dimension(products.select("familia_producto").distinct(), "familia_sk", ["familia_producto"])
 
 
 def snow_product_dim(products: DataFrame, families: DataFrame) -> DataFrame:
     """Products that point to their family by key."""
     rows = products.drop("producto_sk").join(families, "familia_producto").select(
         "cultivo_id", "nombre_producto", "variedad", "familia_sk", "tipo_envase", "formato_comercial", "peso_unidad")
-    return assign_sk(rows, "producto_sk", ["cultivo_id"])
+    return number_dimension(rows, "producto_sk", ["cultivo_id"])
 
 
 def conformed_copy(star_dim: DataFrame, name: str) -> DataFrame:

@@ -12,7 +12,7 @@ from ..functions.dates import calendar_parts, days_between
 from ..functions.numbers import dec, flag, money, rounded, safe_ratio
 from ..operators.dedup import top1_per_group
 from ..operators.joins import skew_join, skewed
-from ..operators.keys import assign_sk
+from ..operators.keys import assign_sk, number_dimension
 from ..operators.lookup import resolve_keys
 from ..operators.reshape import select_values
 from ..session import written
@@ -55,14 +55,14 @@ def campaign_dim(campaigns: DataFrame) -> DataFrame:
     columns = ["campania_id", "nombre_campania", "fecha_inicio", "fecha_fin", "temporada", "anio_agricola",
                "observaciones_climaticas"]
     # One campaign per year.
-    return assign_sk(select_values(campaigns, columns), "campania_sk", ["campania_id"], bounded=True)
+    return number_dimension(select_values(campaigns, columns), "campania_sk", ["campania_id"])
 
 
 def customer_dim(customers: DataFrame) -> DataFrame:
     names = {"cliente_id": "cliente_id", "nombre_cliente": "nombre_cliente", "tipo_cliente": "tipo_cliente",
              "canal": "canal", "segmento": "segmento", "pais": "pais_cliente", "ciudad": "ciudad_cliente",
              "email": "email", "telefono": "telefono"}
-    return assign_sk(select_values(customers, names), "cliente_sk", ["cliente_id"])
+    return number_dimension(select_values(customers, names), "cliente_sk", ["cliente_id"])
 
 
 def geography_dim(customers: DataFrame, catalog: Catalog = Catalog()) -> DataFrame:
@@ -76,14 +76,14 @@ def geography_dim(customers: DataFrame, catalog: Catalog = Catalog()) -> DataFra
                   "Mercado Internacional").alias("zona_comercial"),
         list_band("pais", {"Europa": europe}, "Otro").alias("continente"),
     )
-    return assign_sk(places, "geografia_sk", ["pais", "ciudad"])
+    return number_dimension(places, "geografia_sk", ["pais", "ciudad"])
 
 
 def farm_dim(plots: DataFrame, farms: DataFrame) -> DataFrame:
     joined = plots.join(farms, "finca_id").select(
         "finca_id", "nombre_finca", F.col("nombre_parcela").alias("parcela"), "superficie_hectareas", "municipio",
         "provincia", "zona_agricola", "tipo_suelo", "sistema_riego", "parcela_id")
-    return assign_sk(joined, "finca_sk", ["finca_id", "parcela_id"]).drop("parcela_id")
+    return number_dimension(joined, "finca_sk", ["finca_id", "parcela_id"]).drop("parcela_id")
 
 
 def product_rows(crops: DataFrame, catalog: Catalog = Catalog()) -> DataFrame:
@@ -98,7 +98,7 @@ def product_rows(crops: DataFrame, catalog: Catalog = Catalog()) -> DataFrame:
 
 
 def product_dim(crops: DataFrame, catalog: Catalog = Catalog()) -> DataFrame:
-    return assign_sk(product_rows(crops, catalog), "producto_sk", ["cultivo_id"])
+    return number_dimension(product_rows(crops, catalog), "producto_sk", ["cultivo_id"])
 
 
 def dominant_size(sizes: DataFrame) -> DataFrame:
@@ -127,7 +127,7 @@ def quality_rows(lots: DataFrame, controls: DataFrame, sizes: DataFrame, certifi
 
 
 def quality_dim(lots: DataFrame, controls: DataFrame, sizes: DataFrame, certificates: DataFrame) -> DataFrame:
-    return assign_sk(quality_rows(lots, controls, sizes, certificates), "calidad_sk", ["lote_id"])
+    return number_dimension(quality_rows(lots, controls, sizes, certificates), "calidad_sk", ["lote_id"])
 
 
 def route_attributes(routes: DataFrame, forwarders: DataFrame, ports: DataFrame) -> DataFrame:
@@ -148,7 +148,7 @@ def logistics_dim(routes: DataFrame, forwarders: DataFrame, ports: DataFrame) ->
         "ruta_id", "nombre_transitario", "puerto_salida", "puerto_llegada", "tipo_transporte",
         F.concat("puerto_salida", F.lit(" -> "), "puerto_llegada").alias("ruta_logistica"),
         "duracion_estimada_dias")
-    return assign_sk(rows, "logistica_sk", ["ruta_id"])
+    return number_dimension(rows, "logistica_sk", ["ruta_id"])
 
 
 def dimensions(t: Tables, catalog: Catalog = Catalog()) -> dict:
@@ -173,13 +173,15 @@ def order_keys(t: Tables, dims: Tables) -> DataFrame:
         "geografia_sk": (dims["dim_geografia"], {"pais": "pais", "ciudad": "ciudad"}),
         "cliente_sk": (dims["dim_cliente"], {"cliente_id": "cliente_id"}),
     }).select("cliente_id", "cliente_sk", "geografia_sk")
+    customers = written(customers, "customer-keys")
     shipped = t["envios"].select(
         "pedido_id", "envio_id", "ruta_id", days_between("fecha_envio", "fecha_entrega_real").alias("tiempo_entrega_dias"))
     cost = t["costes_logisticos"].select("envio_id", F.col("coste_por_kg").alias("logistico_kg"))
     orders = (
         t["pedidos"].select("pedido_id", "cliente_id", "fecha_pedido")
-        .join(shipped, "pedido_id").join(cost, "envio_id").join(customers, "cliente_id")
+        .join(shipped, "pedido_id").join(cost, "envio_id")
     )
+    orders = skew_join(orders, customers, "cliente_id", hot=skewed(t["pedidos"], customers, ["cliente_id"]))
     resolved = resolve_keys(orders, {
         "tiempo_sk": (dims["dim_tiempo"], {"fecha_pedido": "fecha"}),
         "logistica_sk": (dims["dim_logistica"], {"ruta_id": "ruta_id"}),

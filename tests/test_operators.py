@@ -275,3 +275,13 @@ def test_reconcile(spark):
     got = rows(reconcile(a, b, ["k"], ["m"], tolerance=1).select("k", "estado", "medida"))
     assert got == [("w", "only_b", "m"), ("y", "differs", "m"), ("z", "only_a", "m")]
     assert reconcile(a, b, ["k"], ["m"], tolerance=2).filter("estado = 'differs'").count() == 0
+
+
+def test_reconcile_many(spark):
+    from starfold.operators.reconcile import reconcile_many
+
+    rows = lambda items: spark.createDataFrame(items, "k string, n int, m int").withColumn("m", F.col("m").cast("decimal(10,2)"))
+    sides = {"a": rows([("x", 1, 1), ("x", 1, 2), (None, 1, 5), ("y", 2, None)]), "b": rows([("x", 1, 3), (None, 1, 5), ("y", 2, None)]),
+             "c": rows([("x", 1, 4), (None, 1, 5), ("z", 2, 7)])}
+    got = {(r.k, r.estado): (r.valor_a, r.valor_b, r.valor_c) for r in reconcile_many(sides, ["k", "n"], ["m"]).collect()}
+    assert got == {("x", "differs"): (3, 3, 4), ("y", "missing"): (None, None, None), ("z", "missing"): (None, None, 7)}

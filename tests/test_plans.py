@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from starfold.operators.dedup import top1_per_group
 from starfold.operators.lookup import lookup
-from starfold.plans.questions import QUESTIONS, ask_star
+from starfold.plans.questions import QUESTIONS, ask_oltp, ask_star
 from starfold.plans.retail import warehouse
 from starfold.sources.tables import read_table
 
@@ -81,3 +81,24 @@ def test_no_python_in_any_plan(spark, sf_dir):
     for name in ("a1_oltp", "d16_weather_clean", "f7_canonicalise", "t4_split", "u1_upsert"):
         text = plan(QUERIES[name](spark, sf_dir))
         assert "ArrowEvalPython" not in text and "BatchEvalPython" not in text and "MapInPandas" not in text, name
+
+
+def test_three_models_are_reconciled_in_one_shuffle(spark, sf_dir):
+    from starfold.catalog.questions import _MEASURES, lines_of_models
+    from starfold.catalog.registry import Source
+    from starfold.operators.reconcile import reconcile_many
+
+    text = plan(reconcile_many(lines_of_models(Source(spark, sf_dir)), QUESTIONS["a1"].keys, _MEASURES))
+    assert text.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in text
+
+
+def test_order_questions_read_stored_halves(spark, sf_dir):
+    """Lines meet two stored halves of which only the columns asked for are read, and are shuffled only when grouped."""
+    w = warehouse(spark, sf_dir)
+    for name in ("a1", "a2", "a3", "a4", "a5"):
+        narrow = ask_oltp(w.oltp, QUESTIONS[name], w.hot_join_keys())
+        stored = ask_oltp(w.oltp, QUESTIONS[name], w.hot_join_keys(), w.chain)
+        text = plan(stored)
+        assert text.count("FileScan") == 3 and text.count("Exchange hashpartitioning") == 1, name
+        assert stored.exceptAll(narrow).count() == 0 == narrow.exceptAll(stored).count(), name
+    assert "nombre_cliente" not in re.sub(r"ReadSchema: [^\n]*detalle[^\n]*", "", plan(ask_oltp(w.oltp, QUESTIONS["a2"], w.hot_join_keys(), w.chain)))

@@ -219,3 +219,14 @@ def test_written_tables_live_in_the_shared_folder_until_dropped(spark, tmp_path,
     assert kept.count() == 3 and str(folder) in kept.inputFiles()[0]
     session.drop_scratch(spark)
     assert not folder.exists()
+
+
+def test_the_kpi_file_has_dos_line_ends(spark, tmp_path):
+    from starfold.plans.kpi import COLUMNS, write_report
+
+    values = {c: "familia" if c == "familia_producto" else 12 if c == "objetivo" else Decimal("1234.5") for c in COLUMNS}
+    kinds = {c: "string" if c == "familia_producto" else "int" if c == "objetivo" else "decimal(28,10)" for c in COLUMNS}
+    write_report(spark.createDataFrame([tuple(values.values())], ", ".join(f"{c} {k}" for c, k in kinds.items())), str(tmp_path / "kpi"))
+    (part,) = glob.glob(str(tmp_path / "kpi" / "part-*"))
+    text = open(part, "rb").read()
+    assert text.count(b"\r\n") == 2 == text.count(b"\n") and text.startswith(b"familia_producto;")
