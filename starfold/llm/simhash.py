@@ -226,18 +226,19 @@ class Blocks:
         self.chunks = {leaf: (max(1, chunks(sizes[leaf])), chunks(sizes.get(~leaf, 0))) for leaf in leaves}
         self.first = dict(zip(leaves, np.cumsum([0, *[a * (a + b) for a, b in self.chunks.values()]]).tolist()))
 
-    def of(self, leaf: int, points: np.ndarray, home: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(block, indices of the points in it, whether they are its homes)."""
+    def of(self, leaf: int, points: np.ndarray, home: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(block, index of the point, whether it is at home there) of every block that a point goes to."""
         homes, visitors = self.chunks[leaf]
-        mixed = (points * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
-        of_home = [np.flatnonzero(home & (mixed % np.uint64(homes) == i)) for i in range(homes)]
-        of_visitor = [np.flatnonzero(~home & (mixed % np.uint64(visitors) == k)) for k in range(visitors)]
-        for i in range(homes):
-            for j, other in [(i, np.empty(0, np.int64)), *[(j, of_home[j]) for j in range(i + 1, homes)],
-                             *[(homes + k, of_visitor[k]) for k in range(visitors)]]:
-                at = np.concatenate([of_home[i], other])
-                if len(at):
-                    yield self.first[leaf] + i * (homes + visitors) + j, at, np.arange(len(at)) < len(of_home[i])
+        both, mixed = homes + visitors, (points * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+        at = np.flatnonzero(home)
+        chunk, other = np.repeat((mixed[at] % np.uint64(homes)).astype(np.int64), both), np.tile(np.arange(both), len(at))
+        as_home = other >= chunk  # it meets earlier home chunks as their visitor
+        block = np.where(as_home, chunk * both + other, other * both + chunk)
+        guest = np.flatnonzero(~home)
+        column = homes + (mixed[guest] % np.uint64(max(1, visitors))).astype(np.int64)
+        blocks = np.concatenate([block, (np.arange(homes)[None, :] * both + column[:, None]).ravel()])
+        return self.first[leaf] + blocks, np.concatenate([np.repeat(at, both), np.repeat(guest, homes)]), np.concatenate(
+            [as_home, np.zeros(len(guest) * homes, bool)])
 
     def among_homes(self, block: int) -> bool:
         """Whether it is a block of a home chunk with itself."""
@@ -268,10 +269,9 @@ def links(prints: DataFrame, bits: int = LINK_BITS) -> DataFrame:
         for batch in batches:
             points = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             for leaf, at, home in deal(tree, points, bits):
-                for block, own, as_home in blocks.of(leaf, points[at], home):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(own), block, np.int64)), pa.array(points[at[own]].view(np.int64)), pa.array(as_home)],
-                        ["block", "fp", "home"])
+                block, own, as_home = blocks.of(leaf, points[at], home)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(block), pa.array(points[at[own]].view(np.int64)), pa.array(as_home)], ["block", "fp", "home"])
 
     def in_block(table: pa.Table) -> pa.Table:
         if not len(table):

@@ -82,8 +82,10 @@ def test_blocks_find_every_link(monkeypatch, rows, shards):
         sizes[leaf], sizes[~leaf] = int(home.sum()), int((~home).sum())
     blocks, forest, seen, met = simhash.Blocks(sizes), simhash.Forest(len(points)), set(), {}
     for leaf, at, home in dealt:
-        for block, own, as_home in blocks.of(leaf, points[at], home):
-            assert block not in seen and len(own) <= 4 * rows
+        of_point, index, at_home = blocks.of(leaf, points[at], home)
+        for block in np.unique(of_point).tolist():
+            own, as_home = index[of_point == block], at_home[of_point == block]
+            assert block not in seen and len(own) <= 4 * rows and len(np.unique(own)) == len(own)
             seen.add(block)
             label = simhash.shard_forest(points[at[own]], as_home, among_homes=blocks.among_homes(block))
             forest.link(at[own], at[own[label]])
