@@ -35,12 +35,14 @@ LABELLED = 3000
 HELD_OUT = 5
 ROUNDS, PASSED_ON, SURE = 3, 200, 0.95
 BUCKETS = 1 << 15
+#: Rows whose features a task unpacks at a time.
+TOGETHER = 256
 REJECT_BELOW = 0.5
 SEED = "quality-1"
 
 _REPEATED = re.compile(r"(.)\1+")
 _SHAPE = str.maketrans({chr(c): "A" if c < 91 else "a" for c in (*range(65, 91), *range(97, 123))} | {str(d): "0" for d in range(10)})
-_REMEMBERED = 300_000
+_REMEMBERED = 200_000
 
 
 class TextView:
@@ -218,6 +220,13 @@ def _from_metadata(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     return slots, np.full(len(slots), MetadataView._value)
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of ``TOGETHER`` rows, as their features are unpacked into wide numbers."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, TOGETHER):
+            yield batch.slice(at, TOGETHER)
+
+
 def _rows_of(texts, metadata) -> tuple[Rows, Rows]:
     """The rows of both views from what :func:`features` has written."""
     return Rows.of([_from_text(blob) for blob in texts]), Rows.of([_from_metadata(blob) for blob in metadata])
@@ -318,9 +327,7 @@ def surest(rows: DataFrame, weights: tuple[np.ndarray, np.ndarray], most: tuple[
         best: dict[tuple[int, int], dict[int, tuple]] = {(v, label): {} for v in (0, 1) for label in (0, 1)}
         least = dict.fromkeys(best, 0.0)  # what a full list asks for
         by_rank = lambda held: sorted(held.items(), key=lambda item: (-item[1][0], item[0]))
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _slices(batches):
             same, texts, metadata = batch.column(0).to_numpy(), batch.column(1), batch.column(2)
             for view, own in enumerate(_rows_of(texts.to_pylist(), metadata.to_pylist())):
                 p = _sigmoid(own.odds(weights[view]))
@@ -381,11 +388,10 @@ def score_rows(rows: DataFrame, model: Model | None) -> DataFrame:
         return rows.select("doc_id", *[F.lit(1.0).alias(n) for n in _SCORES])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                own = _rows_of(batch.column(1).to_pylist(), batch.column(2).to_pylist())
-                scores = model.combine((own[0].odds(model.weights[0]), own[1].odds(model.weights[1])))
-                yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, pa.float64()) for c in scores]], ["doc_id", *_SCORES])
+        for batch in _slices(batches):
+            own = _rows_of(batch.column(1).to_pylist(), batch.column(2).to_pylist())
+            scores = model.combine((own[0].odds(model.weights[0]), own[1].odds(model.weights[1])))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, pa.float64()) for c in scores]], ["doc_id", *_SCORES])
 
     return rows.select("doc_id", "text", "metadata").mapInArrow(run, "doc_id bigint, text_score double, metadata_score double, score double")
 
