@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.keys import number_dimension
 from ..operators.lookup import key_map, rekey
@@ -60,6 +61,25 @@ def snow_fact(fact: DataFrame, star: Mapping[str, DataFrame], snow: Mapping[str,
     return rekey(fact, {sk: written(key_map(star["dim_producto"], snow["dim_producto"], sk, natural), f"map-{sk}")})
 
 
+#: Column of a stored fact that serves both models: how far the snowflake model's keys of the line's product lie from the star's.
+SHIFTS = "_producto_shifts"
+
+
+def product_shifts(star: Mapping[str, DataFrame], snow: Mapping[str, DataFrame]) -> DataFrame:
+    """(product key of the star, :data:`SHIFTS`): a list, since natural keys may repeat, and mostly of one zero."""
+    sk, natural = NATURAL_KEYS["dim_producto"]
+    pairs = key_map(star["dim_producto"], snow["dim_producto"], sk, natural)
+    return pairs.groupBy(sk).agg(F.collect_list(F.col("_new_sk") - F.col(sk)).alias(SHIFTS))
+
+
+def snow_view(both: DataFrame) -> DataFrame:
+    """The rows that :func:`snow_fact` gives, read from a star fact that has the column :data:`SHIFTS`: nothing is moved or stored."""
+    sk, _ = NATURAL_KEYS["dim_producto"]
+    columns = [c for c in both.columns if c != SHIFTS]
+    rows = both.select(*columns, F.explode(SHIFTS).alias("_shift"))
+    return rows.select(*[(F.col(sk) + F.col("_shift")).alias(sk) if c == sk else F.col(c) for c in columns])
+
+
 def products_with_family(snow: Mapping[str, DataFrame]) -> DataFrame:
     """Two-hop product dimension: product and the family it belongs to."""
     return snow["dim_producto"].join(snow["dim_familia_producto"], "familia_sk")

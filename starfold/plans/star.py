@@ -212,8 +212,8 @@ KEYS = ["tiempo_sk", "producto_sk", "cliente_sk", "geografia_sk", "finca_sk", "c
         "campania_sk"]
 
 
-def fact_measures(lines: DataFrame) -> DataFrame:
-    """The eleven measures of an order line that knows its unit costs."""
+def fact_measures(lines: DataFrame, further: Sequence[str] = ()) -> DataFrame:
+    """The eleven measures of an order line that knows its unit costs, beside its keys and ``further`` columns."""
     kilos, gross, net = F.col("kilos_solicitados"), F.col("importe_bruto"), F.col("importe_neto")
     product, logistic = kilos * F.col("producto_kg"), kilos * F.col("logistico_kg")
     return lines.select(
@@ -229,12 +229,13 @@ def fact_measures(lines: DataFrame) -> DataFrame:
         rounded(net - (product + logistic), 2).alias("margen"),
         rounded(safe_ratio(net, kilos), 4).alias("precio_medio_kg"),
         "tiempo_entrega_dias",
+        *further,
         "anio_pedido",
     )
 
 
-def star_fact(t: Tables, dims: Tables) -> DataFrame:
-    """One row per order line.
+def star_fact(t: Tables, dims: Tables, of_products: DataFrame | None = None) -> DataFrame:
+    """One row per order line, with the further columns that ``of_products`` has of the product's key.
 
     Keys are resolved at order and at lot grain first, so the line table, the
     only large one, is joined twice instead of once per dimension. Both sides are
@@ -244,7 +245,11 @@ def star_fact(t: Tables, dims: Tables) -> DataFrame:
         "detalle_id", "pedido_id", "lote_id", "kilos_solicitados", "cajas_solicitadas",
         money("importe_bruto").alias("importe_bruto"), money("importe_neto").alias("importe_neto"))
     orders = written(order_keys(t, dims), "order-keys")
-    lots = written(lot_keys(t, dims), "lot-keys")
+    lots = lot_keys(t, dims)
+    further = [] if of_products is None else [c for c in of_products.columns if c != "producto_sk"]
+    if further:
+        lots = lots.join(of_products, "producto_sk", "left")
+    lots = written(lots, "lot-keys")
     hot_lots, hot_orders = skewed(lines, lots, ["lote_id"]), skewed(lines, orders, ["pedido_id"])
     with_lots = skew_join(lines, lots, "lote_id", hot=hot_lots)
-    return fact_measures(skew_join(with_lots, orders, "pedido_id", hot=hot_orders))
+    return fact_measures(skew_join(with_lots, orders, "pedido_id", hot=hot_orders), further)

@@ -52,10 +52,10 @@ class LazyTables(Mapping):
         self._builders[name] = builder
 
 
-def write_fact(spark: SparkSession, fact: DataFrame, label: str) -> DataFrame:
-    """Write a fact partitioned by year, so that loads and slices touch few files."""
+def write_fact(spark: SparkSession, fact: DataFrame, label: str, gather: bool = True) -> DataFrame:
+    """Write a fact partitioned by year, so that loads and slices touch few files (``gather``: see :func:`write_partitioned`)."""
     path = scratch_path(spark, label)
-    write_partitioned(fact, path, ["anio_pedido"])
+    write_partitioned(fact, path, ["anio_pedido"], gather=gather)
     return spark.read.schema(fact.schema).parquet(path)  # also when it has no rows
 
 
@@ -74,6 +74,7 @@ class Warehouse:
         for name, builder in oltp(self.oltp).items():
             self.oltp.define(name, builder)
         self.star = LazyTables(star_plans.dimensions(self.oltp, catalog), lambda n: n.startswith("dim_"), "star")
+        self._facts = LazyTables({"fact_exportaciones": self._both_facts}, lambda name: False, "facts")
         self.star.define("fact_exportaciones", self._star_fact)
         self.snow = LazyTables({}, lambda n: n in ("dim_producto", "dim_familia_producto"), "snow")
         for name, builder in snow_plans.dimensions(self.star, self.snow).items():
@@ -82,14 +83,18 @@ class Warehouse:
         self.chain = LazyTables(chain(self.oltp, self.hot_join_keys), lambda name: True, "chain")
         self._hot: dict[str, list[int]] | None = None
 
-    def _star_fact(self) -> DataFrame:
+    def _both_facts(self) -> DataFrame:
+        """The fact of both models, stored once: lines beyond a broadcast of their orders are written by the tasks that join them."""
         self.star.build([n for n in self.star if n.startswith("dim_")])
-        return write_fact(self.spark, star_plans.star_fact(self.oltp, self.star), "star-fact")
+        self.snow.build(["dim_familia_producto", "dim_producto"])
+        fact = star_plans.star_fact(self.oltp, self.star, snow_plans.product_shifts(self.star, self.snow))
+        return write_fact(self.spark, fact, "fact", gather=is_small(self.oltp["pedidos"]))
+
+    def _star_fact(self) -> DataFrame:
+        return self._facts["fact_exportaciones"].drop(snow_plans.SHIFTS)
 
     def _snow_fact(self) -> DataFrame:
-        fact = self.star["fact_exportaciones"]
-        self.snow.build([n for n in self.snow if n.startswith("dim_")])
-        return write_fact(self.spark, snow_plans.snow_fact(fact, self.star, self.snow), "snow-fact")
+        return snow_plans.snow_view(self._facts["fact_exportaciones"])
 
     def hot_join_keys(self) -> dict[str, list[int]]:
         """Lots, orders, customers and routes holding a large share of the rows that refer to them.

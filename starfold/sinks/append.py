@@ -37,10 +37,14 @@ def read_rejects(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return spark.read.schema(T.StructType([*schema.fields, T.StructField("run_id", T.StringType())])).parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], mode: str = "errorifexists") -> None:
+def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], mode: str = "errorifexists", gather: bool = True) -> None:
     """Write by partition without a flood of small files.
 
     REBALANCE gathers the rows of a partition value, splits the values that are
-    too large and merges those too small, at run time.
+    too large and merges those too small, at run time. It moves every row: without
+    ``gather`` each task writes its rows where they are, one file for each value it
+    holds, which suits few values in large tasks, and rows read from files that are
+    partitioned alike.
     """
-    df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
+    rows = df.hint("rebalance", *partition_by) if gather else df
+    rows.write.mode(mode).partitionBy(*partition_by).parquet(path)

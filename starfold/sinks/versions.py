@@ -196,20 +196,27 @@ class Load:
     def set_note(self, table: str, note: Mapping) -> None:
         self._tables[table] = {**self._tables[table], "note": dict(note)}
 
-    def append(self, table: str, df: DataFrame, partition_by: Sequence[str] = (), note: Mapping | None = None) -> DataFrame:
-        """Add rows to a table (a new one is made); gives the rows added, read back. A ``note`` takes the place of the former."""
+    def append(
+        self, table: str, df: DataFrame, partition_by: Sequence[str] = (), note: Mapping | None = None, gather: bool = True
+    ) -> DataFrame:
+        """Add rows to a table (a new one is made); gives the rows added, read back. A ``note`` takes the place of the former.
+
+        ``gather`` as for :func:`starfold.sinks.append.write_partitioned`.
+        """
         entry = self._tables.get(table)
         columns = list(entry["by"] if entry else partition_by)
         if entry and {*entry["parts"]}:
             raise ValueError(f"{table} is kept in parts, merge into it")
-        load = self._write(table, df, columns)
+        load = self._write(table, df, columns, gather)
         self._tables[table] = self._entry(
             df, columns, [*(entry["loads"] if entry else []), *load], self.note(table) if note is None else note)
         return self.read(table, load)
 
-    def replace(self, table: str, df: DataFrame, partition_by: Sequence[str] = (), note: Mapping | None = None) -> DataFrame:
+    def replace(
+        self, table: str, df: DataFrame, partition_by: Sequence[str] = (), note: Mapping | None = None, gather: bool = True
+    ) -> DataFrame:
         """Put ``df`` in the place of a table; gives its rows, read back."""
-        load = self._write(table, df, list(partition_by))
+        load = self._write(table, df, list(partition_by), gather)
         self._tables[table] = self._entry(df, list(partition_by), load, note or {})
         return self.read(table)
 
@@ -237,12 +244,12 @@ class Load:
         schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
         return {"schema": schema.jsonValue(), "by": columns, "loads": list(loads), "note": dict(note), "parts": {}}
 
-    def _write(self, table: str, df: DataFrame, columns: Sequence[str]) -> list[str]:
+    def _write(self, table: str, df: DataFrame, columns: Sequence[str], gather: bool = True) -> list[str]:
         """Write one load of a table; its name, or nothing when it has no rows."""
         load = uuid.uuid4().hex
         path = f"{self.layer.path}/tables/{table}/{_LOAD}={load}"
         if columns:
-            write_partitioned(df, path, columns)
+            write_partitioned(df, path, columns, gather=gather)
         else:
             df.write.parquet(path)
         names = [s.getPath().getName() for s in self.layer._list(path)]
