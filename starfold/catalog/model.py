@@ -9,6 +9,7 @@ from ..plans import star as star_plans
 from ..plans.increment import increment, unresolved_lines
 from ..plans.retail import CATALOG
 from ..plans.snow import NATURAL_KEYS
+from ..session import written
 from .registry import ORACLES, Source, query
 from .sql import CENTRE, SOUTH, quoted, with_views
 
@@ -150,8 +151,8 @@ def _loaded_in_two_steps(s: Source, model):
     batch = w.oltp["pedidos"].filter(F.col("fecha_pedido") >= _OVERLAP)
     for _ in range(2):
         days, rows = increment(w.oltp, dims, base, batch)
-        dims["dim_tiempo"] = dims["dim_tiempo"].unionByName(days)
-        base = base.unionByName(rows)
+        dims["dim_tiempo"] = dims["dim_tiempo"].unionByName(written(days, "days"))
+        base = base.unionByName(written(rows, "increment"))  # what the next load and the answer read is not joined again
     return base
 
 
@@ -162,7 +163,7 @@ def late_lines(s: Source):
     base = w.star["fact_exportaciones"].filter("detalle_id % 100 <= 3")
     for _ in range(2):
         _, rows = increment(w.oltp, w.star, base, w.oltp["pedidos"])
-        base = base.unionByName(rows)
+        base = base.unionByName(written(rows, "increment"))
     return base
 
 

@@ -7,7 +7,7 @@ from collections.abc import Iterator, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import skew_join
+from ..operators.joins import is_small, skew_join
 from ..operators.upsert import absent_rows, one_per_key
 from ..session import written
 from ..sinks.versions import Load, VersionedLayer
@@ -59,7 +59,8 @@ def publish_models(layer: VersionedLayer, load_id: str, oltp: Tables, star: Tabl
         load.replace(f"oltp.{name}", oltp[name])
     for model, tables in (("star", star), ("snow", snow)):
         for name in tables:
-            load.replace(f"{model}.{name}", tables[name], ["anio_pedido"] if name == FACT else ())
+            # A fact is stored by year already.
+            load.replace(f"{model}.{name}", tables[name], ["anio_pedido"] if name == FACT else (), gather=name != FACT)
     QUARTERLY.refresh(load)
     return load.commit()
 
@@ -107,8 +108,8 @@ def apply_increment(layer: VersionedLayer, load_id: str, changes: Tables, master
     days, lines = increment(t, star, star[FACT], orders)
     days = load.append(f"star.{CALENDAR}", days)
     load.append(f"snow.{CALENDAR}", days)  # a conformed dimension: the same keys
-    lines = load.append(f"star.{FACT}", lines)
-    load.append(f"snow.{FACT}", snow_fact(lines, star, snow).select(*snow[FACT].columns))
+    lines = load.append(f"star.{FACT}", lines, gather=is_small(orders))
+    load.append(f"snow.{FACT}", snow_fact(lines, star, snow).select(*snow[FACT].columns), gather=False)
     QUARTERLY.refresh(load)
     left = unresolved_lines(_between(of_orders(t["detalle_pedido"]), "pedido_id", touched), of_orders(star[FACT]))
     load.append(REJECTS, left.withColumn("load_id", F.lit(load_id)))
