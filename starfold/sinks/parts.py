@@ -20,6 +20,9 @@ from ..operators.upsert import upsert
 from .versions import PART, Load
 
 ROWS_PER_PART = 1_000_000
+#: Parts that a table may have before they get larger than asked for, up to :data:`ROWS_PER_PART`: the driver holds the
+#: bounds of all, every row looks its part up, and each is a file of its own.
+MANY_PARTS = 256
 _JSON = {"timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
 
 
@@ -55,9 +58,18 @@ def _router(schema: T.StructType, keys: Sequence[str], parts: dict[str, dict]) -
     return F.get(within, number(F.get(lows, group))), key > last
 
 
+def _part_size(rows: int, asked: int) -> int:
+    """Rows of a part of a table of ``rows``: those ``asked`` for, or more where these would make too many parts."""
+    return max(asked, min(ROWS_PER_PART, -(-rows // MANY_PARTS)))
+
+
 def write_parts(load: Load, table: str, df: DataFrame, keys: Sequence[str], rows_per_part: int = ROWS_PER_PART) -> None:
-    """Store ``df`` as parts of about ``rows_per_part`` rows by ranges of ``keys``, in the place of a former table."""
-    count = max(1, -(-df.count() // rows_per_part))
+    """Store ``df`` as parts of about ``rows_per_part`` rows by ranges of ``keys``, in the place of a former table.
+
+    Beyond :data:`MANY_PARTS` parts they are larger, as far as :data:`ROWS_PER_PART` rows.
+    """
+    rows = df.count()
+    count = max(1, -(-rows // _part_size(rows, rows_per_part)))
     ranged = df.repartitionByRange(count, *keys).withColumn(PART, F.spark_partition_id())
     load.set_parts(table, ranged, {}, _bounds(keys), {"keys": list(keys), "rows_per_part": rows_per_part})
 
@@ -89,6 +101,7 @@ def merge_parts(load: Load, table: str, source: DataFrame, **options) -> list[in
     if fresh:
         added = upsert(load.read(table).limit(0), plain(routed.where("_beyond")), keys, **options)
         after = max(map(_place, parts)) + 1
+        size = _part_size(sum(part["rows"] for part in parts.values()) + fresh, size)
         written.append(added.repartitionByRange(-(-fresh // size), *keys).withColumn(PART, F.spark_partition_id() + F.lit(after)))
     if written:
         both = written[0] if len(written) == 1 else written[0].unionByName(written[1])

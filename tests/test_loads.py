@@ -155,3 +155,15 @@ def test_rejects_of_a_run_are_logged_once(spark, tmp_path):
     with pytest.raises(Exception):
         append_rejects(failing, log, "run-3")
     assert append_rejects(bad, log, "run-3") and spark.read.parquet(log).where("run_id = 'run-3'").count() == 5
+
+
+def test_small_parts_grow_with_the_table(spark, layer, monkeypatch):
+    """However few rows a part is asked to have, the parts of a large table, which the driver knows, stay few."""
+    monkeypatch.setattr("starfold.sinks.parts.MANY_PARTS", 8)
+    load = layer.load()
+    write_parts(load, "t", keyed(spark, range(400), "a"), ["k"], rows_per_part=5)
+    assert len(load.parts("t")) == 8 and load.note("t")["rows_per_part"] == 5
+    merge_parts(load, "t", keyed(spark, range(390, 600), "b"))
+    load.commit()
+    assert len(load.parts("t")) <= 13  # 80 parts, and 120 with the merge, of 5 rows
+    assert rows(layer.read("t")) == rows(keyed(spark, range(390), "a").unionByName(keyed(spark, range(390, 600), "b")))
