@@ -31,6 +31,19 @@ def is_small(df: DataFrame) -> bool:
     return estimated_bytes(df) <= broadcast_limit(df)
 
 
+#: Share of Spark's limit that one of many broadcasts in a plan may take.
+_LEAN = 8
+
+
+def lean_join(df: DataFrame, side: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """Join for a chain of many sides that grow alike: only sides far below Spark's limit are broadcast.
+
+    A side just within that limit is ten times its files' size in memory, and each of a chain
+    would pass through the driver. The others are shuffled by key, also when they turn out to be small.
+    """
+    return df.join(side if _LEAN * estimated_bytes(side) <= broadcast_limit(side) else side.hint("merge"), on, how)
+
+
 def any_null(cols: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import add_days
 from ..functions.numbers import dec, money, rounded, safe_ratio
 from ..functions.text import cycle, map_values, zero_pad
-from ..operators.joins import skew_join
+from ..operators.joins import lean_join, skew_join
 from ..operators.reshape import expand_list, unpivot_exprs
 from ..schemas import SALES
 
@@ -78,8 +78,8 @@ def lots(harvests: DataFrame) -> DataFrame:
 
 def warehouse_lots(lots: DataFrame, harvests: DataFrame, crops: DataFrame) -> DataFrame:
     """lotes: lots as the warehouse receives them, with their product name."""
-    products = harvests.join(crops, "cultivo_id").select("cosecha_id", F.col("nombre_producto").alias("producto"))
-    return lots.join(products, "cosecha_id").select(
+    products = lean_join(harvests.select("cosecha_id", "cultivo_id"), crops.select("cultivo_id", F.col("nombre_producto").alias("producto")), "cultivo_id")
+    return lean_join(lots, products.drop("cultivo_id"), "cosecha_id").select(
         "lote_id", "codigo_lote", "producto",
         F.col("kilos_lote").alias("kilos_totales"),
         add_days("fecha_creacion_lote", 1).alias("fecha_entrada_almacen"),

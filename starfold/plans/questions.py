@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import days_between
 from ..functions.numbers import safe_ratio
-from ..operators.joins import is_small, skew_join
+from ..operators.joins import is_small, lean_join, skew_join
 from ..session import written
 from .snow import products_with_family
 from .star import commercial_category, dominant_size, route_attributes
@@ -215,27 +215,26 @@ def oltp_orders(t: Tables, columns: Sequence[str], hot: Mapping[str, Sequence[in
 def oltp_lots(t: Tables, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Lot-grain half of the chain: lot, harvest, crop, cost and what ``columns`` ask for (with the keys to ``keep``)."""
     wanted = set(columns)
-    lots = (
-        t["costes_lote"].select("lote_id", F.col("coste_por_kg").alias("producto_kg"))
-        .join(t["lotes_origen"].select("lote_id", "cosecha_id"), "lote_id")
-        .join(t["cosechas"].select("cosecha_id", "parcela_id", "cultivo_id", "campania_id"), "cosecha_id")
-        .join(t["cultivos"].select("cultivo_id", "familia_producto", "nombre_producto", "variedad"), "cultivo_id")
-    )
+    lots = t["costes_lote"].select("lote_id", F.col("coste_por_kg").alias("producto_kg"))
+    lots = lean_join(lots, t["lotes_origen"].select("lote_id", "cosecha_id"), "lote_id")
+    lots = lean_join(lots, t["cosechas"].select("cosecha_id", "parcela_id", "cultivo_id", "campania_id"), "cosecha_id")
+    lots = lean_join(lots, t["cultivos"].select("cultivo_id", "familia_producto", "nombre_producto", "variedad"), "cultivo_id")
     if "nombre_campania" in wanted:
-        lots = lots.join(t["campanias"].select("campania_id", "nombre_campania"), "campania_id")
+        lots = lean_join(lots, t["campanias"].select("campania_id", "nombre_campania"), "campania_id")
     if "nombre_finca" in wanted:
         farms = t["parcelas"].select("parcela_id", "finca_id").join(t["fincas"].select("finca_id", "nombre_finca"), "finca_id")
         lots = lots.join(farms.select("parcela_id", "nombre_finca"), "parcela_id")
     if wanted & {"categoria_comercial", "calibre", "tipo_certificado"}:
-        category = commercial_category("porcentaje_primera_categoria").alias("categoria_comercial")
-        lots = (
-            lots.join(t["controles_calidad"].select("lote_id", category), "lote_id")
-            .join(dominant_size(t["calibres"]), "lote_id")
-            .join(t["certificados"].select("lote_id", "tipo_certificado"), "lote_id")
-        )
+        lots = lean_join(lots, _lot_quality(t), "lote_id")
     return lots.select("lote_id", "producto_kg", *[c for c in columns if c not in _ORDER_COLUMNS], *keep)
 
 
+def _lot_quality(t: Tables) -> DataFrame:
+    category = commercial_category("porcentaje_primera_categoria").alias("categoria_comercial")
+    quality = lean_join(t["controles_calidad"].select("lote_id", category), dominant_size(t["calibres"]), "lote_id")
+    return lean_join(quality, t["certificados"].select("lote_id", "tipo_certificado"), "lote_id")
+
+
 #: Which half of the chain a group key's tables are optional in, by the flag that says whether they know the row.
 _FLAGS = {
     "pais": "_cliente", "nombre_cliente": "_cliente", "nombre_transitario": "_ruta", "puerto_salida": "_ruta", "puerto_llegada": "_ruta",
@@ -259,10 +258,9 @@ def full_lots(t: Tables) -> DataFrame:
     campaigns = t["campanias"].select("campania_id", "nombre_campania", F.lit(True).alias("_campania"))
     farms = t["parcelas"].select("parcela_id", "finca_id").join(t["fincas"].select("finca_id", "nombre_finca"), "finca_id").select(
         "parcela_id", "nombre_finca", F.lit(True).alias("_finca"))
-    category = commercial_category("porcentaje_primera_categoria").alias("categoria_comercial")
-    quality = t["controles_calidad"].select("lote_id", category).join(dominant_size(t["calibres"]), "lote_id").join(
-        t["certificados"].select("lote_id", "tipo_certificado"), "lote_id").withColumn("_calidad", F.lit(True))
-    lots = lots.join(campaigns, "campania_id", "left").join(farms, "parcela_id", "left").join(quality, "lote_id", "left")
+    quality = _lot_quality(t).withColumn("_calidad", F.lit(True))
+    lots = lean_join(lots, campaigns, "campania_id", "left").join(farms, "parcela_id", "left")
+    lots = lean_join(lots, quality, "lote_id", "left")
     return lots.drop("campania_id", "parcela_id")
 
 

@@ -102,3 +102,20 @@ def test_order_questions_read_stored_halves(spark, sf_dir):
         assert text.count("FileScan") == 3 and text.count("Exchange hashpartitioning") == 1, name
         assert stored.exceptAll(narrow).count() == 0 == narrow.exceptAll(stored).count(), name
     assert "nombre_cliente" not in re.sub(r"ReadSchema: [^\n]*detalle[^\n]*", "", plan(ask_oltp(w.oltp, QUESTIONS["a2"], w.hot_join_keys(), w.chain)))
+
+
+def test_a_chain_of_lots_is_not_broadcast_near_the_limit(spark):
+    """Sides that Spark would broadcast one by one are shuffled when each takes a large share of the limit."""
+    from starfold.operators.joins import broadcast_limit, estimated_bytes, lean_join
+
+    side = spark.range(100).selectExpr("id AS k", "id AS v")
+    size, limit = estimated_bytes(side), broadcast_limit(side)
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(size))
+        near = lean_join(spark.range(1000).selectExpr("id AS k"), side, "k")
+        assert "BroadcastHashJoin" not in near._jdf.queryExecution().executedPlan().toString() and near.count() == 100
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(8 * size))
+        far = lean_join(spark.range(1000).selectExpr("id AS k"), side, "k")
+        assert "BroadcastHashJoin" in far._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(limit))
