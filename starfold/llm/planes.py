@@ -23,6 +23,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import arrow_rows
+from .base import TEXT_ROWS
 from .tokens import shared
 
 CHUNK_IDS = 65_536
@@ -68,6 +70,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, shard = shared(tokenizer), TaskContext.get().partitionId()
+        encoder.begin(path)
         waiting, first, chunk, ordinal, total = bytearray(), 0, 0, 0, 0
         docs_here: list[tuple[int | None, int, int]] = []
         head = 0  # ids of the chunk to come that belong to a document begun before it
@@ -98,7 +101,8 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID,
 
     ordered = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).orderBy(
         F.col("doc_id").asc_nulls_last(), F.xxhash64("text"), F.monotonically_increasing_id())
-    ordered.mapInArrow(run, SCHEMA).write.option("compression", "uncompressed").parquet(path)
+    with arrow_rows(docs.sparkSession, TEXT_ROWS):
+        ordered.mapInArrow(run, SCHEMA).write.option("compression", "uncompressed").parquet(path)
 
 
 def _times(matrix: list[int], vector: int) -> int:

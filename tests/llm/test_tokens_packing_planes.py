@@ -31,6 +31,15 @@ def test_ids_are_those_of_whole_texts(whole, monkeypatch):
     assert list(encoder.encode(texts)) == [whole(t).tobytes() for t in texts]
 
 
+def test_words_of_a_job_go_with_those_after():
+    encoder = tokens.TokenIds(vocabulary())
+    whole = list(encoder.encode(["some words"]))
+    for job, known, older in (("a", 0, 2), ("a", 0, 2), ("b", 0, 0)):
+        encoder.begin(job)
+        assert (len(encoder._known), len(encoder._older)) == (known, older)
+    assert list(encoder.encode(["some words"])) == whole
+
+
 def test_ids_of_given_documents(spark, sf_dir, whole):
     texts = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()]
     assert list(tokens.TokenIds(vocabulary()).encode(texts)) == [whole(t).tobytes() for t in texts]
