@@ -8,7 +8,8 @@ Null texts are empty documents: the classifier judges them like any other, and a
 of them are near copies of one another, so at most one stays. Texts of any length
 are processed whole. Repeated rows count each until the near-copy stage, which keeps
 one of them; of equal ids the first position stays, null ids come last. An empty
-table passes all stages as one.
+table passes all stages as one. After the last stage the session keeps handing Python ``TEXT_ROWS`` rows at a time,
+as that stage's result is computed by its reader.
 """
 
 from __future__ import annotations
@@ -21,8 +22,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starfold.llm import cotraining, mixing, packing, pii, simhash
+from starfold.llm.base import TEXT_ROWS
 from starfold.llm.queries import vocabulary
-from starfold.session import drop_scratch, scratch_scope, written
+from starfold.session import drop_scratch, scratch_scope, set_arrow_rows, written
 from starfold.sources.tables import read_table
 
 
@@ -53,19 +55,23 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, vocabulary(), with_ids=True, remembered=40_000)
 
 
-def _apart(work: Callable[..., DataFrame], spark: SparkSession, docs: DataFrame, sf_dir: str, scope: str = "pipeline") -> DataFrame:
-    """Run a stage with scratch of its own, dropping that of the stage before: its result is written by now."""
+def _apart(work: Callable[..., DataFrame], rows: int | None, spark: SparkSession, docs: DataFrame, sf_dir: str, scope: str = "pipeline") -> DataFrame:
+    """Run a stage with scratch of its own, dropping that of the stage before: its result is written by now.
+
+    ``rows`` are those that the stage's result, which is computed by whoever writes it, hands Python at a time.
+    """
     drop_scratch(spark, scope)
+    set_arrow_rows(spark, rows)
     with scratch_scope(scope):
         return work(spark, docs, sf_dir)
 
 
-STAGES = [(name, partial(_apart, work)) for name, work in (
-    ("quality classifier", quality),
-    ("simhash near-dedup", near_duplicates),
-    ("pii", personal_data),
-    ("source mixing", source_mix),
-    ("packing", packed),
+STAGES = [(name, partial(_apart, work, rows)) for name, work, rows in (
+    ("quality classifier", quality, TEXT_ROWS),
+    ("simhash near-dedup", near_duplicates, None),
+    ("pii", personal_data, None),
+    ("source mixing", source_mix, None),
+    ("packing", packed, TEXT_ROWS),
 )]
 
 #: The classifier, fingerprint trees and tokenizer have no SQL form; tests/llm compares the stages with brute force.

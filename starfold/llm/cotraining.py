@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import written
+from ..session import arrow_rows, written
+from .base import TEXT_ROWS
 
 #: Most labelled rows a fit uses.
 LABELLED = 3000
@@ -313,7 +314,8 @@ def prepare(docs: DataFrame, labels: DataFrame, most_labelled: int = LABELLED) -
     ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id")).where("doc_id is not null")
     chosen = told.join(ids, "doc_id", "left_semi").orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id").limit(most_labelled)
     seen = features(docs).join(F.broadcast(chosen), "doc_id", "left")  # at most most_labelled rows
-    return written(seen.select("_row", "doc_id", "same", "text", "metadata", F.coalesce("quality", F.lit(-1)).alias("quality")), "views")
+    with arrow_rows(docs.sparkSession, TEXT_ROWS):
+        return written(seen.select("_row", "doc_id", "same", "text", "metadata", F.coalesce("quality", F.lit(-1)).alias("quality")), "views")
 
 
 def surest(rows: DataFrame, weights: tuple[np.ndarray, np.ndarray], most: tuple[int, int], sure: float, left_out: tuple[set[int], set[int]]) -> list[Passed]:
@@ -354,7 +356,9 @@ def surest(rows: DataFrame, weights: tuple[np.ndarray, np.ndarray], most: tuple[
     order = Window.partitionBy("view", "label").orderBy(F.desc("confidence"), "same")
     distinct = found.withColumn("_n", F.row_number().over(first)).where("_n = 1")
     kept = distinct.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= F.when(F.col("label") == 1, most[1]).otherwise(most[0]))
-    return [Passed(r["view"], r["label"], r["same"], r["text"], r["metadata"]) for r in kept.orderBy("view", "label", "_n").collect()]
+    with arrow_rows(rows.sparkSession, TEXT_ROWS):
+        best = kept.orderBy("view", "label", "_n").collect()
+    return [Passed(r["view"], r["label"], r["same"], r["text"], r["metadata"]) for r in best]
 
 
 def train_rows(rows: DataFrame, passed_on: int = PASSED_ON, rounds: int = ROUNDS, sure: float = SURE) -> Model | None:

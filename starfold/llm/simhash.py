@@ -23,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import written
+from ..session import arrow_rows, written
+from .base import TEXT_ROWS
 from .components import components
 
 SHINGLE_WORDS = 4
@@ -296,7 +297,8 @@ def near_duplicates(docs: DataFrame, bits: int = LINK_BITS, words_in_shingle: in
     meet in one fingerprint before anything is compared, so large groups of copies
     cost no comparisons. An empty table gives no rows.
     """
-    rows = written(with_fingerprint(docs, words_in_shingle), "simhash")
+    with arrow_rows(docs.sparkSession, TEXT_ROWS):
+        rows = written(with_fingerprint(docs, words_in_shingle), "simhash")
     prints = written(rows.groupBy("fp").agg(F.min("doc_id").alias("_first")), "fingerprints")
     roots = components(links(prints.select("fp"), bits))
     named = prints.join(roots, prints.fp == roots.node, "left").select(

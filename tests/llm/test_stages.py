@@ -55,3 +55,51 @@ def test_scratch_of_a_stage_goes_with_the_next(spark, labelled):
     first = names()
     near(spark, docs, labelled).count()
     assert first and not first & names()
+
+
+def test_tasks_of_python_take_few_texts_at_a_time(spark, tmp_path, monkeypatch):
+    from starfold.llm import planes, simhash
+    from starfold.llm.base import TEXT_ROWS
+    from starfold.llm.queries import vocabulary
+    from starfold.session import arrow_rows
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, rows = spark.conf.get(key), lambda: int(spark.conf.get(key))
+    docs = spark.range(3000).coalesce(1).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+
+    def counted(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    sizes = lambda: [r.n for r in docs.select("doc_id").mapInArrow(counted, "n bigint").collect()]
+    with arrow_rows(spark, TEXT_ROWS):
+        assert max(sizes()) == TEXT_ROWS and sum(sizes()) == 3000
+        with arrow_rows(spark, 10**9):
+            assert rows() == TEXT_ROWS, "a smaller number stays"
+    assert spark.conf.get(key) == before
+
+    seen = []
+    put = type(spark.conf).set
+    monkeypatch.setattr(type(spark.conf), "set", lambda self, k, v: (seen.append(str(v)) if k == key else None, put(self, k, v))[1])
+    planes.write_ids(docs, f"{tmp_path}/planes", vocabulary())
+    assert seen == [str(TEXT_ROWS), before]
+    assert planes.read_digests(spark, f"{tmp_path}/planes").count() == 3000
+    seen.clear()
+    simhash.near_duplicates(docs)
+    assert seen[:2] == [str(TEXT_ROWS), before] and spark.conf.get(key) == before
+
+
+def test_stages_hand_few_texts_to_python(spark, sf_dir):
+    from starfold.llm.base import TEXT_ROWS
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(50)
+    try:
+        for name, stage in corpus_pipeline.STAGES:
+            stage(spark, docs, sf_dir)
+            assert spark.conf.get(key) == (str(TEXT_ROWS) if name in ("quality classifier", "packing") else before)
+    finally:
+        spark.conf.set(key, before)
