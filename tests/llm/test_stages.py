@@ -64,7 +64,8 @@ def test_tasks_of_python_take_few_texts_at_a_time(spark, tmp_path, monkeypatch):
     from starfold.session import arrow_rows
 
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before, rows = spark.conf.get(key), lambda: int(spark.conf.get(key))
+    before, rows = "10000", lambda: int(spark.conf.get(key))
+    spark.conf.set(key, before)  # other tests have run the pipeline in this session
     docs = spark.range(3000).coalesce(1).selectExpr("id AS doc_id", "concat('text ', id) AS text")
 
     def counted(batches):
@@ -91,11 +92,13 @@ def test_tasks_of_python_take_few_texts_at_a_time(spark, tmp_path, monkeypatch):
     assert seen[:2] == [str(TEXT_ROWS), before] and spark.conf.get(key) == before
 
 
-def test_stages_hand_few_texts_to_python(spark, sf_dir):
+def test_stages_hand_few_texts_to_python(spark, sf_dir, monkeypatch):
+    from starfold import session
     from starfold.llm.base import TEXT_ROWS
 
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
+    key, before = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+    spark.conf.set(key, before)
+    monkeypatch.setattr(session, "_given_rows", {})
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(50)
     try:
         for name, stage in corpus_pipeline.STAGES:
