@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..plans.jobs import RUNS, clean_weather, load_customers
 from ..plans.key_checks import all_repeated, check_references, check_unique
 from ..plans.load import FACT, QUARTERLY, apply_increment, publish_models
-from ..session import scratch_path
+from ..session import CODEC, scratch_path, written
 from ..sinks import VersionedLayer, append_rejects, merge_parts, stable_keys, write_parts
 from .cleaning import _CLIMATE, _GOOD, _STAGES
 from .dirty import CUSTOMERS_SQL, customers, observations, stations
@@ -33,21 +33,23 @@ def first_load(s: Source) -> tuple[dict, dict, dict]:
         "pedidos": known, "detalle_pedido": w.oltp["detalle_pedido"].filter(_EARLY).join(ids, "pedido_id", "left_semi"),
         "envios": shipped, "costes_logisticos": w.oltp["costes_logisticos"].join(shipped.select("envio_id"), "envio_id", "left_semi")}
     models = []
-    for model in (w.star, w.snow):
-        old = model[FACT].filter(f"anio_pedido < {_CUTOFF[:4]} AND {_EARLY}")
+    for model, fact in ((w.star, w.fact_of_both), (w.snow, w.snow[FACT])):
+        old = fact.filter(f"anio_pedido < {_CUTOFF[:4]} AND {_EARLY}")
         models.append({**{n: model[n] for n in model}, FACT: old, "dim_tiempo": model["dim_tiempo"].filter(F.col("fecha") < _CUTOFF)})
     return oltp, *models
 
 
 def second_load(s: Source) -> dict[str, DataFrame]:
-    """All orders from before the cut-off on, with their lines, shipments and costs, and the late lines of the earlier orders."""
+    """All orders from before the cut-off on, with their lines, shipments and costs, and the late lines of the earlier orders: stored, as sent."""
     w = s.warehouse
     recent = w.oltp["pedidos"].filter(F.col("fecha_pedido") >= _OVERLAP)
     ids = recent.select("pedido_id")
-    lines, shipped = w.oltp["detalle_pedido"], w.oltp["envios"].join(ids, "pedido_id", "left_semi")
-    return {
-        "pedidos": recent, "detalle_pedido": lines.join(ids, "pedido_id", "left_semi").unionByName(lines.filter(_LATE)).select(*lines.columns),
-        "envios": shipped, "costes_logisticos": w.oltp["costes_logisticos"].join(shipped.select("envio_id"), "envio_id", "left_semi")}
+    lines, late = w.oltp["detalle_pedido"], F.coalesce(F.expr(_LATE), F.lit(False))
+    recent_lines = lines.filter(~late).join(ids, "pedido_id", "left_semi").select(*lines.columns)
+    shipped = written(w.oltp["envios"].join(ids, "pedido_id", "left_semi"), "sent-envios")
+    costs = w.oltp["costes_logisticos"].join(shipped.select("envio_id"), "envio_id", "left_semi")
+    return {"pedidos": recent, "detalle_pedido": written(recent_lines.unionByName(lines.filter(late)), "sent-detalle_pedido", CODEC),
+            "envios": shipped, "costes_logisticos": written(costs, "sent-costes_logisticos")}
 
 
 _layers: dict[tuple[str, str, str], VersionedLayer] = {}

@@ -15,13 +15,15 @@ class StoredAggregate:
     """A table ``name`` of a layer with the aggregate of its table ``of``, beside a note of the loads it holds.
 
     ``compute`` aggregates rows of ``of`` (given the load, to read dimensions through
-    it), ``combine`` adds up two such results.
+    it), ``combine`` adds up two such results. Where it can add up rows as well, ``lines`` gives
+    those of ``of`` in the form of the aggregate, so that new ones are not grouped twice.
     """
 
     name: str
     of: str
     compute: Callable[[Load, DataFrame], DataFrame]
     combine: Callable[[DataFrame, DataFrame], DataFrame]
+    lines: Callable[[Load, DataFrame], DataFrame] | None = None
 
     def refresh(self, load: Load, mode: str = "incremental") -> str:
         """Bring the aggregate up to what ``load`` reads; what was done: ``current``, ``incremental`` or ``full``.
@@ -40,7 +42,7 @@ class StoredAggregate:
         missing = [one for one in now if one not in set(held)]
         if not missing:
             return "current"
-        delta = self.compute(load, load.read(self.of, missing))
+        delta = (self.lines or self.compute)(load, load.read(self.of, missing))
         load.replace(self.name, self.combine(load.read(self.name), delta), note={"loads": now})
         return "incremental"
 

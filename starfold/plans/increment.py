@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import skew_join
+from ..operators.joins import is_small, skew_join
 from ..operators.keys import assign_sk
 from ..operators.upsert import absent_rows
 from ..session import written
@@ -49,13 +49,34 @@ def increment(t: Tables, dims: Tables, fact: DataFrame, orders: DataFrame) -> tu
     and lots that the new lines do not touch are left alone, so the work follows the load.
     """
     pending = written(new_lines(t["detalle_pedido"], orders, fact), "load-lines")
-    touched = skew_join(orders, pending.select("pedido_id").distinct(), "pedido_id", "left_semi").select(*orders.columns)
+    calendar, rows = resolved(t, dims, orders, pending)
+    return calendar, rows.select(*fact.columns)
+
+
+def resolved(t: Tables, dims: Tables, orders: DataFrame, pending: DataFrame, of_products: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(calendar rows that ``orders`` add, fact rows of the lines ``pending``, which are read several times)."""
     calendar = extend_calendar(dims["dim_tiempo"], orders)  # dates of orders without lines, too
     grown = {**{name: dims[name] for name in dims}, "dim_tiempo": dims["dim_tiempo"].unionByName(calendar)}
-    slice_ = {name: t[name] for name in t}
-    slice_["pedidos"], slice_["detalle_pedido"] = touched, pending
-    slice_["lotes_origen"] = t["lotes_origen"].join(pending.select("lote_id").distinct(), "lote_id", "left_semi")
-    return calendar, star_fact(slice_, grown).select(*fact.columns)
+    slice_ = {**{name: t[name] for name in t}, "pedidos": orders, "detalle_pedido": pending}
+    # Few lines touch few orders and lots. Many would be moved once more to find out which, without sparing much.
+    if is_small(pending.select("pedido_id", "lote_id")):
+        slice_["pedidos"] = orders.join(pending.select("pedido_id").distinct(), "pedido_id", "left_semi").select(*orders.columns)
+        slice_["lotes_origen"] = t["lotes_origen"].join(pending.select("lote_id").distinct(), "lote_id", "left_semi")
+    return calendar, star_fact(slice_, grown, of_products)
+
+
+def not_loaded(lines: DataFrame, fact: DataFrame, mostly: bool = False) -> DataFrame:
+    """Lines whose identifier ``fact`` lacks, and those without one. ``lines`` is read several times.
+
+    Identifiers alone are compared. Whole lines are moved only if those wanted, or with
+    ``mostly`` those not wanted, are more than a broadcast.
+    """
+    ids = lines.filter("detalle_id IS NOT NULL").select("detalle_id").distinct()
+    found = written(ids.join(fact.select("detalle_id").distinct(), "detalle_id", "left_semi" if mostly else "left_anti"), "load-ids")
+    if mostly:
+        return skew_join(lines, found, "detalle_id", "left_anti").select(*lines.columns)
+    wanted = skew_join(lines, found, "detalle_id", "left_semi").select(*lines.columns)
+    return wanted.unionByName(lines.filter("detalle_id IS NULL"))
 
 
 def unresolved_lines(lines: DataFrame, fact: DataFrame) -> DataFrame:

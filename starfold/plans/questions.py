@@ -138,12 +138,12 @@ def ask_dimensional(fact: DataFrame, dims: Mapping[str, DataFrame], q: Question,
     large = [n for n in sides if n not in small]
     if pre_aggregate is None:
         pre_aggregate = len(large) > 1
-    for name in small:
-        fact = fact.join(sides[name], SK[name])
     if not pre_aggregate:
-        for name in large:
+        for name in [*large, *small]:  # the fact is moved before attributes widen it
             fact = skew_join(fact, sides[name], SK[name])
         return answer(fact, q, fact_measure)
+    for name in small:
+        fact = fact.join(sides[name], SK[name])
     found = [k for n in small for k in needed[n]]
     reduced = partial_sums(fact, [*found, *[SK[n] for n in large]], q, fact_measure)
     for name in large:
@@ -308,9 +308,10 @@ def measured(lines: DataFrame, q: Question, measure) -> DataFrame:
 
 
 def dimensional_lines(fact: DataFrame, dims: Mapping[str, DataFrame], q: Question) -> DataFrame:
-    """The fact with the group keys of ``q``, not aggregated."""
-    for name in dict.fromkeys(HOME[key] for key in q.keys):
-        fact = skew_join(fact, dims[name].select(SK[name], *[k for k in q.keys if HOME[k] == name]), SK[name])
+    """The fact with the group keys of ``q``, not aggregated; it meets the dimensions that move it first, while it has no attributes."""
+    sides = {name: dims[name].select(SK[name], *[k for k in q.keys if HOME[k] == name]) for name in dict.fromkeys(HOME[key] for key in q.keys)}
+    for name in sorted(sides, key=lambda n: is_small(sides[n])):
+        fact = skew_join(fact, sides[name], SK[name])
     return fact
 
 
@@ -320,8 +321,15 @@ def build_aggregate(star: Tables, fact: DataFrame | None = None) -> DataFrame:
     return ask_dimensional(star["fact_exportaciones"] if fact is None else fact, star, q)
 
 
+def aggregate_lines(star: Tables, fact: DataFrame) -> DataFrame:
+    """Lines of the fact with the columns of :func:`build_aggregate`, for :func:`refresh_aggregate` to add."""
+    q = QUESTIONS["a6"]
+    lines = fact.select(*dict.fromkeys(SK[HOME[key]] for key in q.keys), *[fact_measure(m).alias(n) for n, m in q.sums.items()])
+    return dimensional_lines(lines, star, q).select(*q.keys, *q.sums)
+
+
 def refresh_aggregate(old: DataFrame, delta: DataFrame) -> DataFrame:
-    """Incremental refresh: all measures are sums, so the delta's aggregate is added to the old one."""
+    """Incremental refresh: all measures are sums, so the delta, aggregated or not, is added to the old aggregate."""
     q = QUESTIONS["a6"]
     both = old.unionByName(delta)
     return both.groupBy(*q.keys).agg(*[F.sum(n).cast("decimal(24,2)").alias(n) for n in q.sums])

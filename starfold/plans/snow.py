@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -74,10 +74,16 @@ def product_shifts(star: Mapping[str, DataFrame], snow: Mapping[str, DataFrame])
 
 def snow_view(both: DataFrame) -> DataFrame:
     """The rows that :func:`snow_fact` gives, read from a star fact that has the column :data:`SHIFTS`: nothing is moved or stored."""
+    for step in snow_steps(both.columns):
+        both = both.selectExpr(*step)
+    return both
+
+
+def snow_steps(columns: Sequence[str]) -> list[list[str]]:
+    """:func:`snow_view` as lists of SQL expressions, for a fact of these columns."""
     sk, _ = NATURAL_KEYS["dim_producto"]
-    columns = [c for c in both.columns if c != SHIFTS]
-    rows = both.select(*columns, F.explode(SHIFTS).alias("_shift"))
-    return rows.select(*[(F.col(sk) + F.col("_shift")).alias(sk) if c == sk else F.col(c) for c in columns])
+    columns = [c for c in columns if c != SHIFTS]
+    return [[*columns, f"explode({SHIFTS}) AS _shift"], [f"{sk} + _shift AS {sk}" if c == sk else c for c in columns]]
 
 
 def products_with_family(snow: Mapping[str, DataFrame]) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.joins import hot_keys, is_small
 from ..schemas import FINANCE, LOGISTICS, PRODUCTION, QUALITY, SALES, SNOW, STAR
-from ..session import scratch_path, written
+from ..session import CODEC, scratch_path, written
 from ..sinks.append import write_partitioned
 from ..sinks.databases import save_database
 from . import snow as snow_plans
@@ -33,7 +33,7 @@ class LazyTables(Mapping):
         with self._locks.setdefault(name, Lock()):
             if name not in self._built:
                 df = self._builders[name]()
-                self._built[name] = written(df, f"{self._layer}-{name}") if self._stored(name) else df
+                self._built[name] = written(df, f"{self._layer}-{name}", CODEC) if self._stored(name) else df
             return self._built[name]
 
     def build(self, names: Sequence[str], at_once: int = 4) -> None:
@@ -90,11 +90,16 @@ class Warehouse:
         fact = star_plans.star_fact(self.oltp, self.star, snow_plans.product_shifts(self.star, self.snow))
         return write_fact(self.spark, fact, "fact", gather=is_small(self.oltp["pedidos"]))
 
+    @property
+    def fact_of_both(self) -> DataFrame:
+        """The stored fact with the column :data:`starfold.plans.snow.SHIFTS`."""
+        return self._facts["fact_exportaciones"]
+
     def _star_fact(self) -> DataFrame:
-        return self._facts["fact_exportaciones"].drop(snow_plans.SHIFTS)
+        return self.fact_of_both.drop(snow_plans.SHIFTS)
 
     def _snow_fact(self) -> DataFrame:
-        return snow_plans.snow_view(self._facts["fact_exportaciones"])
+        return snow_plans.snow_view(self.fact_of_both)
 
     def hot_join_keys(self) -> dict[str, list[int]]:
         """Lots, orders, customers and routes holding a large share of the rows that refer to them.

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import CODEC
+
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
@@ -47,4 +49,4 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], mod
     partitioned alike.
     """
     rows = df.hint("rebalance", *partition_by) if gather else df
-    rows.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    rows.write.mode(mode).option("compression", CODEC).partitionBy(*partition_by).parquet(path)

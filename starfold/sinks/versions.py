@@ -10,6 +10,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..session import CODEC
 from .append import write_partitioned
 
 _MANIFEST = "manifest.json"
@@ -87,13 +88,17 @@ class VersionedLayer:
         return self._rows(table, tables[table])
 
     def _rows(self, table: str, entry: dict, loads: Sequence[str] | None = None) -> DataFrame:
-        schema, base = T.StructType.fromJson(entry["schema"]), f"{self.path}/tables/{table}"
+        schema, base = T.StructType.fromJson(entry["schema"]), f"{self.path}/tables/{entry.get('at', table)}"
+        stored = T.StructType.fromJson(entry.get("stored", entry["schema"]))
         loads = entry["loads"] if loads is None else loads
         if not loads:
             return self.spark.createDataFrame([], schema)
         own = [T.StructField(_LOAD, T.StringType())] + [T.StructField(PART, T.IntegerType())] * ("/" in loads[0])
-        rows = self.spark.read.schema(T.StructType([*schema.fields, *own])).option("basePath", base)
-        return rows.parquet(*[f"{base}/{_LOAD}={load}" for load in loads]).select(*schema.names)
+        reader = self.spark.read.schema(T.StructType([*stored.fields, *own])).option("basePath", base)
+        rows = reader.parquet(*[f"{base}/{_LOAD}={load}" for load in loads]).select(*stored.names)
+        for step in entry.get("steps", ()):
+            rows = rows.selectExpr(*step)
+        return rows.select(*schema.names)
 
     def load(self, load_id: str | None = None) -> Load:
         """Begin a load on the current version. One whose ``load_id`` is in it already is ``applied`` and has nothing to do."""
@@ -135,7 +140,7 @@ class VersionedLayer:
         held: dict[str, set[str]] = {}
         for number in kept:
             for table, entry in self.tables(number).items():
-                held.setdefault(table, set()).update(entry["loads"])
+                held.setdefault(entry.get("at", table), set()).update(entry["loads"])
         oldest = time.time() - grace_seconds
 
         def drop(status) -> None:
@@ -197,27 +202,49 @@ class Load:
         self._tables[table] = {**self._tables[table], "note": dict(note)}
 
     def append(
-        self, table: str, df: DataFrame, partition_by: Sequence[str] = (), note: Mapping | None = None, gather: bool = True
+        self, table: str, df: DataFrame, partition_by: Sequence[str] = (), note: Mapping | None = None, gather: bool = True,
+        beside: Sequence[str] = (),
     ) -> DataFrame:
         """Add rows to a table (a new one is made); gives the rows added, read back. A ``note`` takes the place of the former.
 
-        ``gather`` as for :func:`starfold.sinks.append.write_partitioned`.
+        ``gather`` as for :func:`starfold.sinks.append.write_partitioned`. The columns ``beside`` are stored with the rows,
+        but are not the table's: only tables that :meth:`share` its files read them.
         """
         entry = self._tables.get(table)
         columns = list(entry["by"] if entry else partition_by)
         if entry and {*entry["parts"]}:
             raise ValueError(f"{table} is kept in parts, merge into it")
+        if self.shares(table):
+            raise ValueError(f"{table} shares the files of {entry['at']}")
         load = self._write(table, df, columns, gather)
         self._tables[table] = self._entry(
-            df, columns, [*(entry["loads"] if entry else []), *load], self.note(table) if note is None else note)
+            df.drop(*beside), columns, [*(entry["loads"] if entry else []), *load], self.note(table) if note is None else note)
         return self.read(table, load)
 
+    def shares(self, table: str) -> bool:
+        return "at" in self._tables.get(table, {})
+
+    def share(self, table: str, of: str, stored: T.StructType, steps: Sequence[Sequence[str]], loads: Sequence[str]) -> DataFrame:
+        """Put ``loads`` of the table ``of``, read through ``steps`` (lists of SQL expressions), in the place of ``table``; gives its rows.
+
+        ``stored`` are the columns read, those beside the rows of ``of`` included. Nothing is written, and the
+        rows stay when ``of`` is replaced.
+        """
+        stored = T.StructType([T.StructField(f.name, f.dataType, True) for f in stored.fields])
+        rows = self.layer.spark.createDataFrame([], stored)
+        for step in steps:
+            rows = rows.selectExpr(*step)
+        at = {"at": of, "stored": stored.jsonValue(), "steps": [list(step) for step in steps]}
+        self._tables[table] = {**self._entry(rows, [], loads, self.note(table)), **at}
+        return self.read(table)
+
     def replace(
-        self, table: str, df: DataFrame, partition_by: Sequence[str] = (), note: Mapping | None = None, gather: bool = True
+        self, table: str, df: DataFrame, partition_by: Sequence[str] = (), note: Mapping | None = None, gather: bool = True,
+        beside: Sequence[str] = (),
     ) -> DataFrame:
-        """Put ``df`` in the place of a table; gives its rows, read back."""
+        """Put ``df`` in the place of a table; gives its rows, read back. ``beside`` as for :meth:`append`."""
         load = self._write(table, df, list(partition_by), gather)
-        self._tables[table] = self._entry(df, list(partition_by), load, note or {})
+        self._tables[table] = self._entry(df.drop(*beside), list(partition_by), load, note or {})
         return self.read(table)
 
     def set_parts(self, table: str, df: DataFrame, kept: Mapping[str, Mapping], describe: Sequence, note: Mapping | None = None) -> None:
@@ -251,7 +278,7 @@ class Load:
         if columns:
             write_partitioned(df, path, columns, gather=gather)
         else:
-            df.write.parquet(path)
+            df.write.option("compression", CODEC).parquet(path)
         names = [s.getPath().getName() for s in self.layer._list(path)]
         return [load] if any(not n.startswith(("_", ".")) for n in names) else []
 
