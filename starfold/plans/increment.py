@@ -28,16 +28,20 @@ def new_lines(lines: DataFrame, orders: DataFrame, fact: DataFrame) -> DataFrame
 
     Only the years the orders fall in are read from the fact, and only the range of
     their numbers from the lines. The orders' numbers are written first, so that a small
-    load is seen to be small and the lines stay where they are.
+    load is seen to be small and the lines stay where they are. Numbers alone tell which
+    lines are new: a load of known lines moves none of them.
     """
     ids = written(orders.select("pedido_id"), "load-orders")
     low, high = ids.agg(F.min("pedido_id"), F.max("pedido_id")).first()
     if low is None:
         return lines.limit(0)
     first, last = orders.agg(F.year(F.min("fecha_pedido")), F.year(F.max("fecha_pedido"))).first()
-    own = skew_join(lines.filter(F.col("pedido_id").between(low, high)), ids, "pedido_id", "left_semi")
+    near, numbers, without = lines.filter(F.col("pedido_id").between(low, high)), ["pedido_id", "detalle_id"], F.col("detalle_id").isNull()
+    own = skew_join(near.filter(~without).select(*numbers), ids, "pedido_id", "left_semi").distinct()
     loaded = fact.filter(F.col("anio_pedido").between(first, last) & F.col("pedido_id").between(low, high))
-    return skew_join(own, loaded.select("detalle_id").distinct(), "detalle_id", "left_anti").select(*lines.columns)
+    new = written(own.join(loaded.select("detalle_id").distinct(), "detalle_id", "left_anti"), "load-new")
+    parts = skew_join(near, new, numbers, "left_semi"), skew_join(near.filter(without), ids, "pedido_id", "left_semi")
+    return parts[0].select(*lines.columns).unionByName(parts[1].select(*lines.columns))
 
 
 def increment(t: Tables, dims: Tables, fact: DataFrame, orders: DataFrame) -> tuple[DataFrame, DataFrame]:

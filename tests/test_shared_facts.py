@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from starfold.catalog.loads import first_load, second_load
 from starfold.catalog.registry import Source
-from starfold.plans.increment import not_loaded
+from starfold.plans.increment import new_lines, not_loaded
 from starfold.plans.load import FACT, QUARTERLY, apply_increment, publish_models
 from starfold.plans.snow import SHIFTS, snow_fact
 from starfold.sinks import VersionedLayer
@@ -82,3 +82,26 @@ def test_new_lines_are_grouped_once(spark, sf_dir, tmp_path):
     twice = QUARTERLY.combine(load.read(QUARTERLY.name), delta)
     expected = QUARTERLY.compute(load, star.unionByName(star))
     assert rows(twice) == rows(expected.select(*twice.columns)) and twice.agg(F.count("*")).first()[0] > 0
+
+
+def test_a_load_of_known_lines_moves_none(spark):
+    """Beyond a broadcast, lines that the fact holds are told by their numbers; only those without an identifier meet their orders."""
+    orders = spark.range(1, 4001).selectExpr("id AS pedido_id", "DATE'2024-01-05' AS fecha_pedido")
+    lines = spark.range(1, 8001).selectExpr("IF(id = 7, NULL, id) AS detalle_id", "id % 5000 + 1 AS pedido_id", "uuid() AS nota")
+    fact = lines.selectExpr("detalle_id", "pedido_id", "2024 AS anio_pedido")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "3000")
+    try:
+        known = new_lines(lines, orders, fact)
+        assert plan(known).count("SortMergeJoin") == 1
+        assert [r.pedido_id for r in known.collect()] == [8]
+        some = new_lines(lines, orders, fact.filter("detalle_id % 2 = 0"))
+        assert sorted(r.pedido_id for r in some.collect()) == sorted(
+            r.pedido_id for r in lines.filter("pedido_id <= 4000 AND (detalle_id % 2 = 1 OR detalle_id IS NULL)").collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+
+
+def test_order_lines_are_read_where_they_are_given(spark, sf_dir):
+    """A projection of one table is not stored again."""
+    lines = Source(spark, sf_dir).warehouse.oltp["detalle_pedido"]
+    assert [path.rpartition("/")[2] for path in lines.inputFiles()] == ["lineitem.parquet"]
