@@ -21,8 +21,8 @@ from .derive import num
 from .star import Catalog
 from .warehouse import Warehouse
 
-#: Tables read more than once that take a shuffle or a typed ingest to build.
-STORED = ("detalle_pedido", "campanias", "envios", "costes_logisticos", "costes_lote")
+#: Tables read more than once that take a shuffle to build.
+STORED = ("campanias", "envios", "costes_logisticos", "costes_lote")
 
 ORDER_STATES = {"O": "pendiente", "P": "enviado", "F": "entregado"}
 
