@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Sequence
 from functools import reduce
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,9 +27,55 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def is_small(df: DataFrame) -> bool:
-    """Whether Spark would broadcast ``df`` by its estimated size."""
-    return estimated_bytes(df) <= broadcast_limit(df)
+#: Bytes that a row takes in a broadcast: its place in the hash table and its header, each of its columns, and a text.
+_ROW, _COLUMN, _TEXT = 32, 8, 24
+#: How many times Spark's limit the rows of a broadcast may take; how much less than it files are whose rows need not be
+#: counted; how much smaller an estimate may get by the columns that a plan does not read.
+_UNPACKED, _TINY, _PRUNED = 4, 256, 4
+
+_rows: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
+_distinct_of: WeakKeyDictionary[DataFrame, DataFrame] = WeakKeyDictionary()
+
+
+def distinct_rows(df: DataFrame) -> DataFrame:
+    """``df.distinct()``; when it is asked whether that is small, the rows of ``df`` are counted, without a shuffle."""
+    rows = df.distinct()
+    _distinct_of[rows] = df
+    return rows
+
+
+def memory_bytes(df: DataFrame) -> int:
+    """About what the rows take as a broadcast, which is built on the driver: from their number, counted once for a DataFrame."""
+    df = _distinct_of.get(df, df)
+    if df not in _rows:
+        _rows[df] = df.count()
+    texts = sum(isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)) for f in df.schema.fields)
+    return _rows[df] * (_ROW + _COLUMN * len(df.columns) + _TEXT * texts)
+
+
+def is_small(df: DataFrame, share: int = 1) -> bool:
+    """Whether Spark would broadcast ``df`` by its estimated size, and its rows are in memory what that size promises.
+
+    The estimate is the size of files. Packed well, the keys of millions of rows are less than Spark's
+    limit in files, and hundreds of MB in the driver's memory. ``share``: the part of either that ``df`` may take.
+    """
+    files, limit = share * estimated_bytes(df), broadcast_limit(df)
+    return files <= limit and (_TINY * files <= limit or share * memory_bytes(df) <= _UNPACKED * limit)
+
+
+def _packed(df: DataFrame) -> bool:
+    """Whether Spark may broadcast ``df``, also when columns that nobody reads are gone, although its rows are too many for that."""
+    files, limit = estimated_bytes(df), broadcast_limit(df)
+    return files <= _PRUNED * limit < _PRUNED * _TINY * files and memory_bytes(df) > _UNPACKED * limit
+
+
+def sized_join(df: DataFrame, side: DataFrame, on: Sequence[str] | str, how: str = "inner") -> DataFrame:
+    """Join of tables that may both grow: Spark broadcasts neither of them just because its files are small."""
+    if _packed(side):
+        side = side.hint("merge")
+    elif how == "inner" and _packed(df):  # the left side of other joins stays where it is
+        side = F.broadcast(side) if is_small(side) else side.hint("merge")
+    return df.join(side, on, how)
 
 
 #: Share of Spark's limit that one of many broadcasts in a plan may take.
@@ -41,7 +88,7 @@ def lean_join(df: DataFrame, side: DataFrame, on: str, how: str = "inner") -> Da
     A side just within that limit is ten times its files' size in memory, and each of a chain
     would pass through the driver. The others are shuffled by key, also when they turn out to be small.
     """
-    return df.join(side if _LEAN * estimated_bytes(side) <= broadcast_limit(side) else side.hint("merge"), on, how)
+    return df.join(side if is_small(side, _LEAN) else side.hint("merge"), on, how)
 
 
 def any_null(cols: Sequence[str]) -> Column:
@@ -128,8 +175,8 @@ def skew_join(
     """
     on = [on] if isinstance(on, str) else list(on)
     if is_small(side):
-        return big.join(side, on, how)
+        return sized_join(big, side, on, how)
     hot = hot_keys(big, on) if hot is None else hot
     if not hot and how in ("inner", "left_semi"):
-        return big.join(side, on, how)
-    return salted_join(big, side, on, hot, how, salts)
+        return sized_join(big, side, on, how)
+    return salted_join(big, side.hint("merge") if _packed(side) else side, on, hot, how, salts)

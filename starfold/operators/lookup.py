@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .dedup import top1_per_group
-from .joins import skew_join, skewed
+from .joins import distinct_rows, sized_join, skew_join, skewed
 
 
 def lookup(
@@ -42,7 +42,7 @@ def lookup(
 
 def orphans(df: DataFrame, ref: DataFrame, keys: Mapping[str, str]) -> DataFrame:
     """Rows of ``df`` without a partner in ``ref``; a NULL key has none."""
-    side = ref.select(*[F.col(r).alias(d) for d, r in keys.items()]).distinct()  # a hot key of ``ref`` combines before the shuffle
+    side = distinct_rows(ref.select(*[F.col(r).alias(d) for d, r in keys.items()]))  # a hot key of ``ref`` combines before the shuffle
     return skew_join(df, side, list(keys), "left_anti").select(*df.columns)
 
 
@@ -74,7 +74,7 @@ def unresolved(source: DataFrame, dims: Mapping[str, tuple[DataFrame, Mapping[st
 def key_map(old_dim: DataFrame, new_dim: DataFrame, sk: str, natural: Sequence[str]) -> DataFrame:
     """(``sk``, ``_new_sk``) pairs of two dimensions that share natural keys."""
     new = new_dim.select(F.col(sk).alias("_new_sk"), *natural)
-    return old_dim.select(sk, *natural).join(new, list(natural)).select(sk, "_new_sk")
+    return sized_join(old_dim.select(sk, *natural), new, list(natural)).select(sk, "_new_sk")
 
 
 def rekey(fact: DataFrame, maps: Mapping[str, DataFrame]) -> DataFrame:

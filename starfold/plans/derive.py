@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import add_days
 from ..functions.numbers import dec, money, rounded, safe_ratio
 from ..functions.text import cycle, map_values, zero_pad
-from ..operators.joins import lean_join, skew_join
+from ..operators.joins import lean_join, sized_join, skew_join
 from ..operators.reshape import expand_list, unpivot_exprs
 from ..schemas import SALES
 
@@ -185,7 +185,7 @@ def shipments(orders: DataFrame, totals: DataFrame, routes: DataFrame, route_of:
     planned = add_days(out, F.col("duracion_estimada_dias"))
     keyed = orders.select("pedido_id", "fecha_pedido", route_of.cast("bigint").alias("ruta_id"))
     legs = routes.select("ruta_id", "transitario_id", "duracion_estimada_dias", "coste_base_kg")
-    return keyed.join(totals.select("pedido_id", "kilos"), "pedido_id").join(legs, "ruta_id").select(
+    return sized_join(sized_join(keyed, totals.select("pedido_id", "kilos"), "pedido_id"), legs, "ruta_id").select(
         order.alias("envio_id"), "pedido_id", "ruta_id", "transitario_id",
         out.alias("fecha_envio"),
         planned.alias("fecha_entrega_estimada"),
@@ -228,7 +228,7 @@ def shipment_incidents(shipments: DataFrame, every: int = 4) -> DataFrame:
 def invoices(orders: DataFrame, totals: DataFrame) -> DataFrame:
     """facturas: one invoice per order with discount, tax and total."""
     order, net = F.col("pedido_id"), F.col("neto")
-    return totals.join(orders.select("pedido_id", "fecha_pedido"), "pedido_id").select(
+    return sized_join(totals, orders.select("pedido_id", "fecha_pedido"), "pedido_id").select(
         order.alias("factura_id"), "pedido_id",
         add_days("fecha_pedido", 1).alias("fecha_emision"),
         add_days("fecha_pedido", 31).alias("fecha_vencimiento"),
@@ -308,6 +308,6 @@ def served_lines(t: Mapping[str, DataFrame]) -> DataFrame:
     declared = SALES["detalle_pedido"].names
     if set(declared) <= set(t["detalle_pedido"].columns):
         return t["detalle_pedido"].select(*declared)
-    grown = t["lotes_origen"].select("lote_id", "cosecha_id").join(t["cosechas"].select("cosecha_id", "cultivo_id"), "cosecha_id")
-    names = grown.join(t["cultivos"].select("cultivo_id", F.col("nombre_producto").alias("producto"), "variedad"), "cultivo_id")
+    grown = sized_join(t["lotes_origen"].select("lote_id", "cosecha_id"), t["cosechas"].select("cosecha_id", "cultivo_id"), "cosecha_id")
+    names = sized_join(grown, t["cultivos"].select("cultivo_id", F.col("nombre_producto").alias("producto"), "variedad"), "cultivo_id")
     return skew_join(t["detalle_pedido"], names.select("lote_id", "producto", "variedad"), "lote_id").select(*declared)

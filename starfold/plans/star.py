@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import calendar_parts, days_between
 from ..functions.numbers import dec, flag, money, rounded, safe_ratio
 from ..operators.dedup import top1_per_group
-from ..operators.joins import skew_join, skewed
+from ..operators.joins import sized_join, skew_join, skewed
 from ..operators.keys import assign_sk, number_dimension
 from ..operators.lookup import resolve_keys
 from ..operators.reshape import select_values
@@ -80,7 +80,8 @@ def geography_dim(customers: DataFrame, catalog: Catalog = Catalog()) -> DataFra
 
 
 def farm_dim(plots: DataFrame, farms: DataFrame) -> DataFrame:
-    joined = plots.join(farms, "finca_id").select(
+    own = plots.select("parcela_id", "finca_id", "nombre_parcela", "superficie_hectareas")
+    joined = sized_join(own, farms.select("finca_id", "nombre_finca", "municipio", "provincia", "zona_agricola", "tipo_suelo", "sistema_riego"), "finca_id").select(
         "finca_id", "nombre_finca", F.col("nombre_parcela").alias("parcela"), "superficie_hectareas", "municipio",
         "provincia", "zona_agricola", "tipo_suelo", "sistema_riego", "parcela_id")
     return number_dimension(joined, "finca_sk", ["finca_id", "parcela_id"]).drop("parcela_id")
@@ -114,16 +115,14 @@ def commercial_category(first_class: Column | str) -> Column:
 
 def quality_rows(lots: DataFrame, controls: DataFrame, sizes: DataFrame, certificates: DataFrame) -> DataFrame:
     certificate = F.col("tipo_certificado")
-    return (
-        lots.select("lote_id", F.col("estado").alias("estado_lote"))
-        .join(controls.select("lote_id", "porcentaje_primera_categoria"), "lote_id")
-        .join(dominant_size(sizes), "lote_id")
-        .join(certificates.select("lote_id", "tipo_certificado"), "lote_id")
-        .select("lote_id", commercial_category("porcentaje_primera_categoria").alias("categoria_comercial"),
-                "calibre", "tipo_certificado", "estado_lote",
-                flag(certificate == "ECO").alias("tiene_certificacion_eco"),
-                flag(certificate == "GlobalGAP").alias("tiene_certificacion_global_gap"))
-    )
+    rows = lots.select("lote_id", F.col("estado").alias("estado_lote"))
+    rows = sized_join(rows, controls.select("lote_id", "porcentaje_primera_categoria"), "lote_id")
+    rows = sized_join(rows, dominant_size(sizes), "lote_id")
+    rows = sized_join(rows, certificates.select("lote_id", "tipo_certificado"), "lote_id")
+    return rows.select("lote_id", commercial_category("porcentaje_primera_categoria").alias("categoria_comercial"),
+                       "calibre", "tipo_certificado", "estado_lote",
+                       flag(certificate == "ECO").alias("tiene_certificacion_eco"),
+                       flag(certificate == "GlobalGAP").alias("tiene_certificacion_global_gap"))
 
 
 def quality_dim(lots: DataFrame, controls: DataFrame, sizes: DataFrame, certificates: DataFrame) -> DataFrame:
@@ -134,13 +133,9 @@ def route_attributes(routes: DataFrame, forwarders: DataFrame, ports: DataFrame)
     """Routes with forwarder and both ports; the port table plays two roles."""
     departure = ports.select(F.col("puerto_id").alias("puerto_salida_id"), F.col("nombre_puerto").alias("puerto_salida"))
     arrival = ports.select(F.col("puerto_id").alias("puerto_llegada_id"), F.col("nombre_puerto").alias("puerto_llegada"))
-    return (
-        routes.select("ruta_id", "transitario_id", "puerto_salida_id", "puerto_llegada_id", "tipo_transporte",
-                      "duracion_estimada_dias")
-        .join(forwarders.select("transitario_id", "nombre_transitario"), "transitario_id")
-        .join(departure, "puerto_salida_id")
-        .join(arrival, "puerto_llegada_id")
-    )
+    own = routes.select("ruta_id", "transitario_id", "puerto_salida_id", "puerto_llegada_id", "tipo_transporte", "duracion_estimada_dias")
+    legs = sized_join(own, forwarders.select("transitario_id", "nombre_transitario"), "transitario_id")
+    return legs.join(departure, "puerto_salida_id").join(arrival, "puerto_llegada_id")
 
 
 def logistics_dim(routes: DataFrame, forwarders: DataFrame, ports: DataFrame) -> DataFrame:
@@ -177,10 +172,7 @@ def order_keys(t: Tables, dims: Tables) -> DataFrame:
     shipped = t["envios"].select(
         "pedido_id", "envio_id", "ruta_id", days_between("fecha_envio", "fecha_entrega_real").alias("tiempo_entrega_dias"))
     cost = t["costes_logisticos"].select("envio_id", F.col("coste_por_kg").alias("logistico_kg"))
-    orders = (
-        t["pedidos"].select("pedido_id", "cliente_id", "fecha_pedido")
-        .join(shipped, "pedido_id").join(cost, "envio_id")
-    )
+    orders = sized_join(sized_join(t["pedidos"].select("pedido_id", "cliente_id", "fecha_pedido"), shipped, "pedido_id"), cost, "envio_id")
     orders = skew_join(orders, customers, "cliente_id", hot=skewed(t["pedidos"], customers, ["cliente_id"]))
     resolved = resolve_keys(orders, {
         "tiempo_sk": (dims["dim_tiempo"], {"fecha_pedido": "fecha"}),
@@ -193,12 +185,11 @@ def order_keys(t: Tables, dims: Tables) -> DataFrame:
 def lot_keys(t: Tables, dims: Tables) -> DataFrame:
     """Everything the fact takes from a lot, at lot grain: four keys and the production cost."""
     harvests = t["cosechas"].select("cosecha_id", "parcela_id", "cultivo_id", "campania_id")
-    lots = (
-        t["lotes_origen"].select("lote_id", "cosecha_id")
-        .join(t["costes_lote"].select("lote_id", F.col("coste_por_kg").alias("producto_kg")), "lote_id")
-        .join(harvests, "cosecha_id")
-        .join(t["parcelas"].select("parcela_id", "finca_id", "nombre_parcela"), "parcela_id")
-    )
+    cost = t["costes_lote"].select("lote_id", F.col("coste_por_kg").alias("producto_kg"))
+    lots = sized_join(t["lotes_origen"].select("lote_id", "cosecha_id"), cost, "lote_id")
+    lots = sized_join(lots, harvests, "cosecha_id")
+    lots = sized_join(lots, t["parcelas"].select("parcela_id", "finca_id", "nombre_parcela"), "parcela_id")
+    lots = written(lots, "lots")  # hot keys of large dimensions are looked for in it
     resolved = resolve_keys(lots, {
         "producto_sk": (dims["dim_producto"], {"cultivo_id": "cultivo_id"}),
         "finca_sk": (dims["dim_finca"], {"finca_id": "finca_id", "nombre_parcela": "parcela"}),
