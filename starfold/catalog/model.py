@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.joins import sized_join
 from ..operators.lookup import key_map, rekey, resolve_keys, unresolved
 from ..plans import star as star_plans
 from ..plans.increment import increment, unresolved_lines
@@ -173,7 +174,7 @@ def unresolved_in_load(s: Source):
     """Lines that a load into a model without the indebted customers leaves out."""
     w = s.warehouse
     solvent = s.customer.filter("c_acctbal >= 0").select((F.col("c_custkey") + 1).alias("cliente_id"))
-    dims = {**{n: w.star[n] for n in NATURAL_KEYS}, "dim_cliente": w.star["dim_cliente"].join(solvent, "cliente_id", "left_semi")}
+    dims = {**{n: w.star[n] for n in NATURAL_KEYS}, "dim_cliente": sized_join(w.star["dim_cliente"], solvent, "cliente_id", "left_semi")}
     _, rows = increment(w.oltp, dims, w.star["fact_exportaciones"].limit(0), w.oltp["pedidos"])
     return unresolved_lines(w.oltp["detalle_pedido"], rows).select("detalle_id", "pedido_id", "lote_id")
 
@@ -203,7 +204,7 @@ def keys_of_orders(s: Source):
 def unresolved_orders(s: Source):
     """Orders the inner joins of a load would drop, given a dimension without the indebted customers."""
     solvent = s.customer.filter("c_acctbal >= 0").select((F.col("c_custkey") + 1).alias("cliente_id"))
-    dim = s.warehouse.star["dim_cliente"].join(solvent, "cliente_id", "left_semi")
+    dim = sized_join(s.warehouse.star["dim_cliente"], solvent, "cliente_id", "left_semi")
     lost = unresolved(s.warehouse.oltp["pedidos"], {"cliente_sk": (dim, {"cliente_id": "cliente_id"})})
     return lost.select("dimension", "pedido_id", "cliente_id")
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import is_small, skew_join
+from ..operators.joins import distinct_rows, is_small, sized_join, skew_join
 from ..operators.keys import assign_sk
 from ..operators.upsert import absent_rows
 from ..session import written
@@ -39,7 +39,7 @@ def new_lines(lines: DataFrame, orders: DataFrame, fact: DataFrame) -> DataFrame
     near, numbers, without = lines.filter(F.col("pedido_id").between(low, high)), ["pedido_id", "detalle_id"], F.col("detalle_id").isNull()
     own = skew_join(near.filter(~without).select(*numbers), ids, "pedido_id", "left_semi").distinct()
     loaded = fact.filter(F.col("anio_pedido").between(first, last) & F.col("pedido_id").between(low, high))
-    new = written(own.join(loaded.select("detalle_id").distinct(), "detalle_id", "left_anti"), "load-new")
+    new = written(sized_join(own, distinct_rows(loaded.select("detalle_id")), "detalle_id", "left_anti"), "load-new")
     parts = skew_join(near, new, numbers, "left_semi"), skew_join(near.filter(without), ids, "pedido_id", "left_semi")
     return parts[0].select(*lines.columns).unionByName(parts[1].select(*lines.columns))
 
@@ -76,7 +76,8 @@ def not_loaded(lines: DataFrame, fact: DataFrame, mostly: bool = False) -> DataF
     ``mostly`` those not wanted, are more than a broadcast.
     """
     ids = lines.filter("detalle_id IS NOT NULL").select("detalle_id").distinct()
-    found = written(ids.join(fact.select("detalle_id").distinct(), "detalle_id", "left_semi" if mostly else "left_anti"), "load-ids")
+    held = distinct_rows(fact.select("detalle_id"))
+    found = written(sized_join(ids, held, "detalle_id", "left_semi" if mostly else "left_anti"), "load-ids")
     if mostly:
         return skew_join(lines, found, "detalle_id", "left_anti").select(*lines.columns)
     wanted = skew_join(lines, found, "detalle_id", "left_semi").select(*lines.columns)
@@ -85,4 +86,4 @@ def not_loaded(lines: DataFrame, fact: DataFrame, mostly: bool = False) -> DataF
 
 def unresolved_lines(lines: DataFrame, fact: DataFrame) -> DataFrame:
     """Lines that a load left out, since a dimension or an order does not know them: for the reject log."""
-    return skew_join(lines, fact.select("detalle_id").distinct(), "detalle_id", "left_anti").select(*lines.columns)
+    return skew_join(lines, distinct_rows(fact.select("detalle_id")), "detalle_id", "left_anti").select(*lines.columns)
