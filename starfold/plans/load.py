@@ -7,7 +7,7 @@ from collections.abc import Iterator, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import is_small, skew_join
+from ..operators.joins import distinct_rows, is_small, sized_join, skew_join
 from ..operators.upsert import one_per_key
 from ..session import written
 from ..sinks.versions import Load, VersionedLayer
@@ -92,7 +92,7 @@ def _between(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
 def _unknown(batch: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     """Rows of ``batch`` whose key is not stored, and those without a key; whole rows are moved only if many are new."""
     keys = batch.filter(F.col(key).isNotNull()).select(key).distinct()
-    new = written(keys.join(_between(stored, key, batch).select(key).distinct(), key, "left_anti"), "load-keys")
+    new = written(sized_join(keys, distinct_rows(_between(stored, key, batch).select(key)), key, "left_anti"), "load-keys")
     rows = skew_join(batch, new, key, "left_semi").select(*batch.columns)
     return rows.unionByName(batch.filter(F.col(key).isNull()))
 
@@ -123,7 +123,8 @@ def apply_increment(layer: VersionedLayer, load_id: str, changes: Tables, master
         else:
             fresh[name] = stored.limit(0)
     t = {**masters, **{name: load.read(f"oltp.{name}") for name in CHANGING}}
-    shipped = _between(t["envios"], "envio_id", fresh["costes_logisticos"]).join(fresh["costes_logisticos"].select("envio_id"), "envio_id", "left_semi")
+    shipped = _between(t["envios"], "envio_id", fresh["costes_logisticos"])
+    shipped = sized_join(shipped, fresh["costes_logisticos"].select("envio_id"), "envio_id", "left_semi")
     ids = [fresh[name].select("pedido_id") for name in ("pedidos", "detalle_pedido", "envios")] + [shipped.select("pedido_id")]
     touched = written(ids[0].union(ids[1]).union(ids[2]).union(ids[3]).distinct(), "load-touched")
     of_orders = lambda df: skew_join(_between(df, "pedido_id", touched), touched, "pedido_id", "left_semi").select(*df.columns)
